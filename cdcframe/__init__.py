@@ -14,7 +14,7 @@ from cdcframe.sinks.stage import stage_read, stage_write
 from cdcframe.sinks.table import TargetTable
 from cdcframe.sources.feed import net_changes
 from cdcframe.sources.log import consume, log_after, log_page, number_batches, number_rows, read_log
-from cdcframe.sources.scan import high_watermark, high_watermark_value, resume_snapshot, snapshot, snapshot_page
+from cdcframe.sources.scan import high_watermark, high_watermark_value, key_columns, resume_snapshot, snapshot, snapshot_page
 from cdcframe.streaming.stream import run_to_end, stream_append, stream_apply, stream_changes
 
 __all__ = [
@@ -40,6 +40,7 @@ __all__ = [
     "high_watermark",
     "high_watermark_value",
     "infer_schema",
+    "key_columns",
     "late_updates",
     "log_after",
     "log_page",

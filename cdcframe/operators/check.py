@@ -4,23 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cdcframe.functions.columns import col, column_list
+from cdcframe.functions.columns import column_list
 from cdcframe.functions.types import logical_type
+from cdcframe.operators.infer import collect_types
 from cdcframe.operators.shape import REMOVE
 
+OK = "ok"
+
 
 class SchemaMismatch(ValueError):
     """The batch does not fit the target table."""
 
 
-def schema_types(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """The columns of a schema with their logical types, as `field_types` gives them for a batch."""
-    rows = [(field.name, logical_type(field.dataType)) for field in schema]
-    return spark.createDataFrame(rows, "field string, logical_type string")
+def _verdicts(
+    batch: dict[str, str], target: T.StructType, keys: Iterable[str], first_operation: str | None
+) -> list[tuple[str, str | None, str | None, str]]:
+    """One row per column: name, type in the batch, type in the target, verdict."""
+    ours = {name.lower(): logical for name, logical in batch.items()}
+    theirs = {field.name.lower(): logical_type(field.dataType) for field in target}
+    starts_with_delete = first_operation == REMOVE
+    waived = not theirs or (starts_with_delete and {key.lower() for key in keys} <= theirs.keys())
+
+    def verdict(name: str) -> str:
+        if waived:
+            return OK
+        if name not in theirs:
+            return "missing in target"
+        if name not in ours:
+            return OK if starts_with_delete else "missing in batch"
+        return OK if ours[name] == theirs[name] else "type differs"
+
+    return [(name, ours.get(name), theirs.get(name), verdict(name)) for name in sorted(ours.keys() | theirs.keys())]
 
 
 def schema_report(
@@ -28,34 +45,22 @@ def schema_report(
 ) -> DataFrame:
     """One row per column: its type in the batch, in the target, and the verdict.
 
-    Verdicts are `ok`, `missing in target`, `missing in batch` and `type differs`. Names are compared
-    without regard to case. A target without columns accepts anything. A batch that starts with a
-    delete needs only its keys in the target; if they are not there, its columns must be, but the
-    target may have more.
+    `batch_types` is what `field_types` or `avro_fields` found. Verdicts are `ok`, `missing in target`,
+    `missing in batch` and `type differs`. Names are compared without regard to case. A target without
+    columns accepts anything. A batch that starts with a delete needs only its keys in the target; if
+    they are not there, its columns must be, but the target may have more.
     """
-    spark = batch_types.sparkSession
-    names = {field.name.lower() for field in target}
-    starts_with_delete = first_operation == REMOVE
-    waived = not names or (starts_with_delete and {key.lower() for key in column_list(keys)} <= names)
-    ours = batch_types.select(F.lower("field").alias("column"), col("logical_type").alias("batch_type"))
-    theirs = schema_types(spark, target).select(F.lower("field").alias("column"), col("logical_type").alias("target_type"))
-    missing_in_batch = F.lit("ok" if starts_with_delete else "missing in batch")
-    verdict = (
-        F.when(F.lit(waived), "ok")
-        .when(col("target_type").isNull(), "missing in target")
-        .when(col("batch_type").isNull(), missing_in_batch)
-        .when(col("batch_type") != col("target_type"), "type differs")
-        .otherwise("ok")
-    )
-    return ours.join(theirs, "column", "full").select("column", "batch_type", "target_type", verdict.alias("verdict"))
+    rows = _verdicts(collect_types(batch_types), target, column_list(keys), first_operation)
+    report = "column string, batch_type string, target_type string, verdict string"
+    return batch_types.sparkSession.createDataFrame(rows, report)
 
 
 def check_schema(
-    batch: T.StructType, target: T.StructType, keys: str | Iterable[str], spark: SparkSession, first_operation: str | None
+    batch: T.StructType, target: T.StructType, keys: str | Iterable[str], first_operation: str | None = None
 ) -> None:
-    """Raise if a batch of the given schema does not fit the target; the report names each column."""
-    report = schema_report(schema_types(spark, batch), target, keys, first_operation)
-    bad = report.filter(col("verdict") != "ok").orderBy("column").collect()
+    """Raise, naming each column that is wrong, if a batch of the given schema does not fit the target."""
+    types = {field.name: logical_type(field.dataType) for field in batch}
+    rows = _verdicts(types, target, column_list(keys), first_operation)
+    bad = [f"{name}: {verdict} ({ours}, {theirs})" for name, ours, theirs, verdict in rows if verdict != OK]
     if bad:
-        lines = [f"{row['column']}: {row['verdict']} ({row['batch_type']}, {row['target_type']})" for row in bad]
-        raise SchemaMismatch("the batch does not fit the target table: " + "; ".join(lines))
+        raise SchemaMismatch("the batch does not fit the target table: " + "; ".join(bad))

@@ -70,20 +70,6 @@ def field_types(batch: DataFrame, payload: str = "after") -> DataFrame:
     return kinds.groupBy("field").agg(merged.alias("logical_type"))
 
 
-def infer_schema(batch: DataFrame, mode: str = "batch", payload: str = "after", seq: str = "seq") -> T.StructType:
-    """The payload schema of a batch of JSON records, with its fields in order of name.
-
-    `first` looks at the first record only; `batch` looks at all of them.
-    """
-    if mode not in ("first", "batch"):
-        raise ValueError(f"mode must be 'first' or 'batch', not {mode!r}")
-    found = field_types(first_record(batch, payload, seq) if mode == "first" else batch, payload)
-    rows = found.limit(_MAX_FIELDS + 1).collect()
-    if len(rows) > _MAX_FIELDS:
-        raise ValueError(f"payloads have more than {_MAX_FIELDS} different fields: not the rows of a table")
-    return T.StructType([T.StructField(r["field"], spark_type(r["logical_type"])) for r in sorted(rows)])
-
-
 def _lookup(table: dict[str, str], name: Column) -> Column:
     return F.create_map(*[F.lit(item) for pair in table.items() for item in pair])[name]
 
@@ -123,3 +109,32 @@ def avro_fields(batch: DataFrame, metadata_key: str = "avro.schema") -> DataFram
     return fields.select(
         "schema_id", "records", name.alias("field"), checked(logical.isNotNull(), logical, unmapped).alias("logical_type")
     )
+
+
+def collect_types(types: DataFrame) -> dict[str, str]:
+    """The logical type of each field, on the driver. A table has few enough columns for that."""
+    rows = types.select("field", "logical_type").distinct().limit(_MAX_FIELDS + 1).collect()
+    if len(rows) > _MAX_FIELDS:
+        raise ValueError(f"more than {_MAX_FIELDS} different fields: not the rows of a table")
+    found: dict[str, str] = {}
+    for field, logical in sorted(rows):
+        if found.setdefault(field, logical) != logical:
+            raise ValueError(f"field {field} is both {found[field]} and {logical}")
+    return found
+
+
+def infer_schema(
+    batch: DataFrame, mode: str = "batch", payload: str = "after", seq: str = "seq", avro_key: str | None = None
+) -> T.StructType:
+    """The payload schema of a batch of JSON records, with its fields in order of name.
+
+    `first` looks at the first record only, `batch` at all of them. With `avro_key`, the types come from
+    the Avro schemas under that key of the metadata instead of from the payloads.
+    """
+    if mode not in ("first", "batch"):
+        raise ValueError(f"mode must be 'first' or 'batch', not {mode!r}")
+    source = "metadata" if avro_key else payload
+    if mode == "first":
+        batch = first_record(batch, source, seq)
+    types = collect_types(avro_fields(batch, avro_key) if avro_key else field_types(batch, payload))
+    return T.StructType([T.StructField(name, spark_type(logical)) for name, logical in types.items()])

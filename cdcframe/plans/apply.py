@@ -14,7 +14,7 @@ from cdcframe.operators.check import SchemaMismatch, check_schema
 from cdcframe.operators.compact import compact
 from cdcframe.operators.infer import infer_schema
 from cdcframe.operators.merge import merge
-from cdcframe.operators.render import Bookkeeping, render, with_bookkeeping
+from cdcframe.operators.render import Bookkeeping, render
 from cdcframe.operators.shape import ENVELOPE, OPERATION, REMOVE, SEQ, flatten_records
 from cdcframe.sinks.files import Files
 from cdcframe.sinks.stage import stage_read, stage_write
@@ -31,13 +31,10 @@ def _payload_schema(batch: DataFrame) -> T.StructType:
     return T.StructType([field for field in batch.schema if field.name not in ENVELOPE])
 
 
-def _is_json(records: DataFrame) -> bool:
-    return isinstance(records.schema["after"].dataType, T.StringType)
-
-
-def record_schema(records: DataFrame, mode: str = "batch") -> T.StructType:
+def record_schema(records: DataFrame, mode: str = "batch", avro_key: str | None = None) -> T.StructType:
     """The payload schema of change records; that of JSON payloads is inferred, see `infer_schema`."""
-    return infer_schema(records, mode) if _is_json(records) else records.schema["after"].dataType
+    after = records.schema["after"].dataType
+    return infer_schema(records, mode, avro_key=avro_key) if isinstance(after, T.StringType) else after
 
 
 @dataclass(frozen=True)
@@ -50,14 +47,14 @@ class Applied:
 
 def _check(table: TargetTable, batch: DataFrame) -> None:
     """Refuse a batch that does not fit the table, unless it starts with a delete that needs only its key."""
-    schema = with_bookkeeping(batch.limit(0).drop(*ENVELOPE), table.prefix).schema
+    schema = Bookkeeping(table.prefix).schema(_payload_schema(batch))
     try:
-        check_schema(schema, table.schema, table.keys, table.spark, None)
+        check_schema(schema, table.schema, table.keys)
     except SchemaMismatch:
         first = batch.agg(F.min_by(col(OPERATION), col(SEQ))).first()[0]
         if first != REMOVE:
             raise
-        check_schema(schema, table.schema, table.keys, table.spark, first)
+        check_schema(schema, table.schema, table.keys, first)
 
 
 def _fit(batch: DataFrame, table: TargetTable) -> DataFrame:
@@ -117,6 +114,7 @@ def apply_records(
     batch_id: int | None = None,
     schema: T.StructType | None = None,
     mode: str = "batch",
+    avro_key: str | None = None,
     buckets: int = 64,
     prefix: str = "cdc",
     **options,
@@ -127,7 +125,7 @@ def apply_records(
     """
     spark = records.sparkSession
     if schema is None:
-        schema = record_schema(records, mode)
+        schema = record_schema(records, mode, avro_key)
     batch = flatten_records(records, keys, schema)
     if TargetTable.exists(spark, table_path):
         table = TargetTable.open(spark, table_path)

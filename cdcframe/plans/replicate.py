@@ -73,15 +73,18 @@ def replicate(
     snapshot_at: datetime,
     consumed_at: datetime,
     batch_size: int = 1000,
+    with_snapshot: bool = True,
     **options,
 ) -> TargetTable:
     """Bring a target table from nothing through version `old` of a source table to version `new`.
 
-    First a snapshot of the old version, then the changes to the new one, by way of the change log.
+    First a snapshot of the old version, unless it is left out, then the changes to the new one, by way
+    of the change log.
     """
     schema = old.schema
-    records = snapshot_records(old, ordering, keys, name, snapshot_at)
-    apply_records(table_path, records, keys, batch_id=0, schema=schema, **options)
+    if with_snapshot:
+        records = snapshot_records(old, ordering, keys, name, snapshot_at)
+        apply_records(table_path, records, keys, batch_id=0, schema=schema, **options)
     consume(net_changes(old, new, keys), log_path, 0, consumed_at)
     log = number_batches(read_log(old.sparkSession, log_path), batch_size)
     return apply_records(table_path, change_records(log, keys, name), keys, batch_id=1, schema=schema, **options)

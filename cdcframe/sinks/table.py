@@ -19,6 +19,8 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,7 @@ from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping
 from cdcframe.sinks.files import Files
 
+_VERSION = "v"
 _BUCKET = "bucket"
 SMALL_CHANGES_BYTES = 32 * 1024 * 1024
 _ROW_OVERHEAD = 64
@@ -127,11 +130,20 @@ class TargetTable:
         return F.pmod(F.hash(*[col(key) for key in self.keys]), F.lit(self.buckets))
 
     def _read(self, buckets: Iterable[int]) -> DataFrame:
-        versions = self._manifest["versions"]
-        paths = [f"{self.path}/data/v={versions[str(b)]}/{_BUCKET}={b}" for b in buckets if str(b) in versions]
-        if not paths:
+        current: dict[int, list[int]] = {}
+        for bucket in buckets:
+            version = self._manifest["versions"].get(str(bucket))
+            if version is not None:
+                current.setdefault(version, []).append(bucket)
+        if not current:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        data = f"{self.path}/data"
+        stored = T.StructType([*self.schema, T.StructField(_VERSION, T.LongType()), T.StructField(_BUCKET, T.IntegerType())])
+        rows = self.spark.read.schema(stored).option("basePath", data)
+        rows = rows.parquet(*[f"{data}/{_VERSION}={version}" for version in current])
+        # Both are partition columns: other buckets are left out before any file is opened.
+        wanted = [(col(_VERSION) == version) & col(_BUCKET).isin(of_version) for version, of_version in current.items()]
+        return rows.filter(reduce(or_, wanted)).select(*self.schema.names)
 
     def read(self) -> DataFrame:
         """The rows of the table, soft-deleted ones included."""
@@ -184,7 +196,7 @@ class TargetTable:
         merged = merge(current, changes, self.keys, self.prefix, small_changes=small)
         rows = merged.select(*self.schema.names, self._bucket().alias(_BUCKET))
         rows.write.mode("overwrite").option("compression", "zstd").partitionBy(_BUCKET).parquet(
-            f"{self.path}/data/v={commit}"
+            f"{self.path}/data/{_VERSION}={commit}"
         )
 
     def vacuum(self, keep: int = 2) -> None:
@@ -193,7 +205,7 @@ class TargetTable:
         kept = [json.loads(self._files.read_text(_manifest_path(self.path, c))) for c in commits[-max(keep, 1) :]]
         live = {(version, int(bucket)) for manifest in kept for bucket, version in manifest["versions"].items()}
         for folder in self._files.names(f"{self.path}/data"):
-            version = int(folder.removeprefix("v="))
+            version = int(folder.removeprefix(f"{_VERSION}="))
             buckets = {bucket for v, bucket in live if v == version}
             if version > commits[-1]:
                 continue

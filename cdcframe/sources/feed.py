@@ -20,11 +20,6 @@ INSERT = "INSERT"
 DELETE = "DELETE"
 
 
-def row_id(df: DataFrame, keys: Iterable[str]) -> Column:
-    """A fixed identity of a row, taken from its key columns."""
-    return F.sha2(json_object(df, keys), 256)
-
-
 def net_changes(
     old: DataFrame, new: DataFrame, keys: str | Iterable[str], columns: Iterable[str] | None = None
 ) -> DataFrame:
@@ -34,6 +29,9 @@ def net_changes(
     `METADATA$ISUPDATE` is true for the DELETE with the old image and for the INSERT with the new one.
     What came and went in between does not show.
 
+    The row id is a digest of the key. Where a key has several rows on one side, so that it does not
+    identify them, it is a digest of the row and the number of the copy.
+
     The versions are taken as bags of rows and cancelled against each other by a grouped sum over whole
     rows, which is combined before the shuffle; copies of a row, and keys with many rows, are therefore
     never paired with one another. Only the rows left over are then brought together by key.
@@ -50,16 +48,18 @@ def net_changes(
     left = both.groupBy(*[col(name) for name in names]).agg(F.sum("_net").alias("_net")).filter(col("_net") != 0)
 
     sides = left.groupBy(*[col(key).alias(f"_key{i}") for i, key in enumerate(keys)]).agg(
-        F.count_if(col("_net") < 0).alias("_gone"), F.count_if(col("_net") > 0).alias("_come")
+        F.sum(F.greatest(-col("_net"), F.lit(0))).alias("_gone"), F.sum(F.greatest(col("_net"), F.lit(0))).alias("_come")
     )
-    changed = sides.filter((col("_gone") > 0) & (col("_come") > 0)).drop("_gone", "_come").withColumn("_pair", F.lit(True))
+    pair, many = (col("_gone") > 0) & (col("_come") > 0), (col("_gone") > 1) | (col("_come") > 1)
+    marked = sides.select(*sides.columns[: len(keys)], pair.alias("_pair"), many.alias("_many")).filter(pair | many)
     same_key = [col(key).eqNullSafe(col(f"_key{i}")) for i, key in enumerate(keys)]
-    rows = _repeat(left.join(changed, same_key, "left"), F.abs(col("_net")))
+    rows = _repeat(left.join(marked, same_key, "left"), F.abs(col("_net")))
+    of_key, of_row = json_object(rows, keys), json_object(rows, [*names, "_step", "_copy"])
     return rows.select(
         *[col(name) for name in names],
         F.when(col("_net") > 0, INSERT).otherwise(DELETE).alias(ACTION),
         F.coalesce(col("_pair"), F.lit(False)).alias(IS_UPDATE),
-        row_id(rows, keys).alias(ROW_ID),
+        F.sha2(F.when(col("_many"), of_row).otherwise(of_key), 256).alias(ROW_ID),
     )
 
 

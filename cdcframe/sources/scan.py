@@ -17,6 +17,11 @@ from cdcframe.functions.columns import checked, col, require
 from cdcframe.functions.payload import SNAPSHOT_POSITION, Position
 
 
+def key_columns(keys: Iterable[str], primary_keys: Iterable[str], ordering: str) -> list[str]:
+    """The columns that key the records of a table: the named ones, else its primary key, else the ordering column."""
+    return list(keys) or list(primary_keys) or [ordering]
+
+
 def high_watermark(df: DataFrame, ordering: str) -> DataFrame:
     """One row with the largest value of the ordering column, NULL for an empty table."""
     require(df, ordering, "ordering column")
