@@ -1,15 +1,16 @@
 """The change log: an append-only parquet directory, paged and resumed by row number.
 
-Rows are numbered in the order (consume time, row id, is-update, action). The row id is a digest, so
-its leading hex digits cut the rows of one consume into even slices that are in order of row id. The
-number of a row is the size of all slices before its own plus its rank within the slice. Only slice
-sizes are added up across the log; no task sees more than one slice, and the slices outside a page
-are filtered out before anything is ranked.
+Rows are numbered in the order (consume time, row id, is-update, action). The number of a row is the size
+of all consumes before its own, plus the size of the slices before its own within the consume, plus its
+rank within the slice. The row id is a digest, so its leading hex digits cut a consume into even slices
+that are in order of row id. No task ranks more than one slice, and whatever lies outside a page is
+filtered out before anything is ranked.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,41 +45,51 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(_CONSUME)
 
 
-def _slices(log: DataFrame, rows_per_slice: int) -> tuple[DataFrame, DataFrame]:
-    """The log with its slice column, and the number of rows before each slice."""
-    digits = math.ceil(math.log(max(log.count() / rows_per_slice, 1), 16))
-    cut = log.withColumn("_slice", F.substring(col(ROW_ID), 1, digits))
-    sizes = cut.groupBy(col(CONSUMED_AT), col("_slice")).agg(F.count(F.lit(1)).alias("_size"))
+@dataclass(frozen=True)
+class _Consume:
+    """One consume of the log: when it was, the number of its first row, and how many rows it has."""
 
-    # Three running sums: over days, over the consumes of a day, over the slices of a consume. The
-    # first has no partition key; it sees one row per calendar day of the log.
-    day = F.unix_micros(col(CONSUMED_AT)).cast("bigint")
-    day = F.floor(day / F.lit(86_400_000_000)).alias("_day")
-    consumes = sizes.groupBy(day, col(CONSUMED_AT)).agg(F.sum("_size").alias("_size"))
-    days = consumes.groupBy("_day").agg(F.sum("_size").alias("_size"))
+    at: int
+    start: int
+    size: int
 
-    def before(window: Window) -> F.Column:
-        return F.coalesce(F.sum("_size").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    days = days.select("_day", before(Window.orderBy("_day")).alias("_before_day"))
-    consumes = consumes.select("_day", CONSUMED_AT, before(Window.partitionBy("_day").orderBy(CONSUMED_AT)).alias("_before_ts"))
-    starts = consumes.join(days, "_day").select(CONSUMED_AT, (col("_before_day") + col("_before_ts")).alias("_before_ts"))
-    within = Window.partitionBy(CONSUMED_AT).orderBy("_slice")
-    sizes = sizes.withColumn("_before_slice", before(within)).join(starts, CONSUMED_AT)
-    return cut, sizes.select(CONSUMED_AT, "_slice", "_size", (col("_before_ts") + col("_before_slice")).alias("_before"))
+def _consumes(log: DataFrame) -> list[_Consume]:
+    """The consumes of the log in order. There is one per run of `consume`, however many rows it wrote."""
+    at = F.unix_micros(col(CONSUMED_AT)).alias("at")
+    found, start = [], 0
+    for row in sorted(log.groupBy(at).agg(F.count(F.lit(1)).alias("size")).collect()):
+        found.append(_Consume(row["at"], start, row["size"]))
+        start += row["size"]
+    return found
 
 
 def _numbered(log: DataFrame, first: int, end: int | None, rows_per_slice: int) -> DataFrame:
     """The rows with `first <= row_number < end`, numbered from 0 over the whole log."""
-    cut, slices = _slices(log, rows_per_slice)
-    wanted = col("_before") + col("_size") > F.lit(first)
-    if end is not None:
-        wanted &= col("_before") < F.lit(end)
-    if first > 0 or end is not None:
-        slices = slices.filter(wanted)
-    rank = F.row_number().over(Window.partitionBy(CONSUMED_AT, "_slice").orderBy(ROW_ID, IS_UPDATE, ACTION))
-    rows = cut.join(slices.drop("_size"), [CONSUMED_AT, "_slice"])
-    rows = rows.withColumn(ROW_NUMBER, col("_before") + rank - 1)
+    consumes = [c for c in _consumes(log) if c.start + c.size > first and (end is None or c.start < end)]
+    starts = log.sparkSession.createDataFrame([(c.at, c.start) for c in consumes], "at bigint, _start bigint")
+    starts = starts.select(F.timestamp_micros(col("at")).alias(CONSUMED_AT), "_start")
+    edges = [F.timestamp_micros(F.lit(c.at).cast("bigint")) for c in consumes[:1] + consumes[-1:]]
+    kept = log.filter(col(CONSUMED_AT).between(*edges)) if edges else log.filter(F.lit(False))
+
+    largest = max((c.size for c in consumes), default=0)
+    digits = math.ceil(math.log(max(largest / rows_per_slice, 1), 16))
+    by = [CONSUMED_AT, "_slice"]
+    cut = kept.withColumn("_slice", F.substring(col(ROW_ID), 1, digits))
+    if digits == 0:
+        slices = starts.select(CONSUMED_AT, F.lit("").alias("_slice"), col("_start").alias("_before"))
+    else:
+        earlier = Window.partitionBy(CONSUMED_AT).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = cut.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+        sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).join(starts, CONSUMED_AT)
+        slices = sizes.select(*by, "_size", (col("_start") + col("_before")).alias("_before"))
+        wanted = col("_before") + col("_size") > F.lit(first)
+        if end is not None:
+            wanted &= col("_before") < F.lit(end)
+        slices = slices.filter(wanted).drop("_size")
+
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(ROW_ID, IS_UPDATE, ACTION))
+    rows = cut.join(slices, by).withColumn(ROW_NUMBER, col("_before") + rank - 1)
     rows = rows.filter(col(ROW_NUMBER) >= F.lit(first))
     if end is not None:
         rows = rows.filter(col(ROW_NUMBER) < F.lit(end))
@@ -88,8 +99,8 @@ def _numbered(log: DataFrame, first: int, end: int | None, rows_per_slice: int)
 def number_rows(log: DataFrame, rows_per_slice: int = _ROWS_PER_SLICE) -> DataFrame:
     """The log with the number of each row, counted from 0 in log order.
 
-    Takes a log that is stored, since it is scanned twice: once for the slice sizes, which reads two
-    columns, and once for the rows.
+    Takes a log that is stored, since it is scanned for the sizes first, which reads one column or two,
+    and then for the rows.
     """
     return _numbered(log, 0, None, rows_per_slice)
 

@@ -1,0 +1,117 @@
+"""Compaction against a fold over the records in order, and the documented cases."""
+
+import random
+
+import pytest
+
+from cdcframe import compact, late_updates, render
+from tests.inspect_plan import fails
+
+SCHEMA = "_seq bigint, _operation string, _read_at bigint, id bigint, v string"
+
+
+def fold(records):
+    """The winners and the late updates, going through the records one by one."""
+    winners, latest, late = {}, {}, []
+    for record in sorted(records):
+        _, operation, read_at, key, _ = record
+        if operation == "update":
+            if key in latest and read_at <= latest[key]:
+                late.append(record)
+                continue
+            latest[key] = read_at
+        winners[key] = record
+    return sorted(winners.values()), late
+
+
+def log(seed, rows, keys, hot=False):
+    rng = random.Random(seed)
+    operations = ["create", "snapshot", "update", "update", "update", "delete"]
+    return [
+        (n, rng.choice(operations), rng.randrange(50), 0 if hot and rng.random() < 0.4 else rng.randrange(keys), f"v{n}")
+        for n in range(rows)
+    ]
+
+
+@pytest.mark.parametrize("seed,rows,keys,hot", [(1, 3000, 200, False), (2, 3000, 2000, False), (3, 3000, 30, True), (4, 1, 1, False)])
+def test_equals_fold(spark, seed, rows, keys, hot):
+    records = log(seed, rows, keys, hot)
+    batch = spark.createDataFrame(records, SCHEMA).repartition(7)
+    winners, late = fold(records)
+    columns = SCHEMA.replace(",", "").split()[::2]
+    assert sorted(map(tuple, compact(batch, "id").select(*columns).collect())) == winners
+    for stretch in (17, 1_000_000):
+        assert sorted(map(tuple, late_updates(batch, "id", stretch).collect())) == late
+
+
+def test_no_records(spark):
+    batch = spark.createDataFrame([], SCHEMA)
+    assert compact(batch, "id").count() == 0
+    assert late_updates(batch, "id").count() == 0
+
+
+def rendered(spark, records):
+    batch = spark.createDataFrame(records, "_seq bigint, _operation string, _read_at bigint, id string, firstName string, lastName string")
+    rows = render(compact(batch, "id"), "id")
+    assert rows.columns == ["cdc_operation", "cdc_created_at", "cdc_updated_at", "cdc_deleted_at", "firstName", "id", "lastName"]
+    micros = [f"unix_micros({c}) {c}" if c.endswith("_at") else c for c in rows.columns]
+    return sorted(map(tuple, rows.selectExpr(*micros).collect()), key=lambda row: row[5])
+
+
+T = 1_700_000_000_000_000
+
+
+def test_four_keys(spark):
+    records = [
+        (0, "create", T, "1", "spongebob", "squarepants"),
+        (1, "create", T, "2", "patrick", "star"),
+        (2, "update", T, "3", "squidward", "tentacles"),
+        (3, "delete", T, "4", "sandy", "cheeks"),
+    ]
+    assert rendered(spark, records) == [
+        ("create", T, None, None, "spongebob", "1", "squarepants"),
+        ("create", T, None, None, "patrick", "2", "star"),
+        ("update", None, T, None, "squidward", "3", "tentacles"),
+        ("delete", None, None, T, None, "4", None),
+    ]
+
+
+def test_create_update_delete_of_a_key(spark):
+    records = [(0, "create", T, "1", "a", "b"), (1, "update", T + 1, "1", "c", "d"), (2, "delete", T + 2, "1", "c", "d")]
+    assert rendered(spark, records) == [("delete", None, None, T + 2, None, "1", None)]
+
+
+def test_repeated_creates(spark):
+    assert rendered(spark, [(0, "create", T, "1", "a", "b"), (1, "create", T, "1", "c", "d")]) == [
+        ("create", T, None, None, "c", "1", "d")
+    ]
+
+
+def test_repeated_updates(spark):
+    assert rendered(spark, [(0, "update", T, "1", "a", "b"), (1, "update", T + 1, "1", "c", "d")]) == [
+        ("update", None, T + 1, None, "c", "1", "d")
+    ]
+    # Not read later: the first one stays.
+    assert rendered(spark, [(0, "update", T, "1", "a", "b"), (1, "update", T, "1", "c", "d")]) == [
+        ("update", None, T, None, "a", "1", "b")
+    ]
+
+
+def test_create_then_update_forgets_the_created_time(spark):
+    assert rendered(spark, [(0, "create", T, "1", "a", "b"), (1, "update", T + 1, "1", "c", "d")]) == [
+        ("update", None, T + 1, None, "c", "1", "d")
+    ]
+
+
+@pytest.mark.parametrize(
+    "record",
+    [(0, "merge", T, 1, "a"), (0, None, T, 1, "a"), (0, "create", None, 1, "a"), (None, "create", T, 1, "a"), (0, "create", T, None, "a")],
+)
+def test_incomplete_records_are_refused(spark, record):
+    assert "a record has no valid" in fails(compact(spark.createDataFrame([record], SCHEMA), "id"))
+
+
+def test_composite_key(spark):
+    rows = [(0, "create", 1, 1, 1, "a"), (1, "create", 1, 1, 2, "b"), (2, "delete", 1, 1, 2, None)]
+    batch = spark.createDataFrame(rows, "_seq bigint, _operation string, _read_at bigint, a bigint, b bigint, v string")
+    assert {(r.a, r.b): r._operation for r in compact(batch, ["a", "b"]).collect()} == {(1, 1): "create", (1, 2): "delete"}

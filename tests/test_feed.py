@@ -1,0 +1,80 @@
+"""Net changes against counting rows, for keyed tables and for tables with copies."""
+
+import random
+from collections import Counter
+
+import pytest
+
+from cdcframe import net_changes
+from cdcframe.functions.columns import MissingColumn
+from cdcframe.sources import feed
+from cdcframe.sources.feed import ACTION, IS_UPDATE, ROW_ID
+
+SCHEMA = "k bigint, a string, b double"
+
+
+def expected(old, new):
+    gone, come = Counter(old) - Counter(new), Counter(new) - Counter(old)
+    pairs = {row[0] for row in gone} & {row[0] for row in come}
+    rows = [("DELETE", row[0] in pairs, *row) for row in gone.elements()]
+    return sorted(rows + [("INSERT", row[0] in pairs, *row) for row in come.elements()], key=repr)
+
+
+def found(spark, old, new):
+    changes = net_changes(spark.createDataFrame(old, SCHEMA), spark.createDataFrame(new, SCHEMA), "k")
+    return changes, sorted(map(tuple, changes.select(ACTION, IS_UPDATE, "k", "a", "b").collect()), key=repr)
+
+
+def table(rng, rows, keys):
+    return [(rng.randrange(keys), rng.choice("xyz"), rng.choice([None, 0.5, 1.5])) for _ in range(rows)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bags(spark, seed):
+    rng = random.Random(seed)
+    old, new = table(rng, 400, 60), table(rng, 400, 60)
+    old += [(7, "x", 0.5)] * 300
+    changes, rows = found(spark, old, new)
+    assert rows == expected(old, new)
+    # Every row has an identity of its own, but for the two halves of a change.
+    ids = Counter(map(tuple, changes.select(ROW_ID, ACTION).collect()))
+    assert set(ids.values()) == {1}
+
+
+def test_keyed(spark):
+    old = [(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (None, "n", 1.0)]
+    new = [(1, "a", 1.0), (2, "b", 2.0), (4, "d", 4.0), (None, "n", 2.0)]
+    changes, rows = found(spark, old, new)
+    assert rows == expected(old, new)
+    ids = {(r["k"], r[ROW_ID]) for r in changes.collect()}
+    assert len(ids) == 4
+
+
+def test_row_id_is_the_same_in_every_version(spark):
+    first = found(spark, [(1, "a", 1.0)], [(1, "b", 1.0)])[0].select(ROW_ID).distinct().collect()
+    second = found(spark, [(1, "b", 1.0)], [])[0].select(ROW_ID).distinct().collect()
+    assert first == second
+
+
+def test_nothing(spark):
+    assert found(spark, [(1, "a", 1.0)] * 3, [(1, "a", 1.0)] * 3)[1] == []
+    assert found(spark, [], [])[1] == []
+
+
+def test_many_copies_are_made_in_steps(spark):
+    n = 200_000
+    old = spark.range(n).selectExpr("1L k", "'a' a", "1d b")
+    changes = net_changes(old, old.limit(0), "k")
+    assert changes.count() == n
+    assert changes.select(ROW_ID).distinct().count() == n
+
+
+def test_missing_key(spark):
+    with pytest.raises(MissingColumn):
+        net_changes(spark.range(1), spark.range(1), "key")
+
+
+def test_columns(spark):
+    old, new = spark.createDataFrame([(1, "a", 1.0)], SCHEMA), spark.createDataFrame([(1, "a", 2.0)], SCHEMA)
+    assert net_changes(old, new, "k", ["a"]).count() == 0
+    assert net_changes(old, new, "k", ["b"]).columns == ["k", "b", *feed.METADATA[:3]]
