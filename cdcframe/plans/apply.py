@@ -17,7 +17,7 @@ from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping, render
 from cdcframe.operators.shape import ENVELOPE, OPERATION, REMOVE, SEQ, flatten_records
 from cdcframe.sinks.files import Files
-from cdcframe.sinks.stage import stage_read, stage_write
+from cdcframe.sinks.stage import ROUTE, stage_read, stage_write
 from cdcframe.sinks.table import Commit, TargetTable
 
 
@@ -98,7 +98,7 @@ def apply_to_table(
     stage = table.stage_path()
     stage_write(changes, stage, fmt, codec, table.prefix)
     files = Files(table.spark, stage)
-    if not any(name.startswith("_route=") for name in files.names(stage)):
+    if not any(name.startswith(f"{ROUTE}=") for name in files.names(stage)):
         commit = table.merge(table.spark.createDataFrame([], table.schema), batch_id, writer)
     else:
         commit = table.merge(stage_read(table.spark, stage, table.schema, fmt), batch_id, writer)

@@ -9,7 +9,7 @@ from cdcframe.functions.columns import col
 from cdcframe.functions.text import decode_text, encode_text
 from cdcframe.operators.render import route
 
-_ROUTE = "_route"
+ROUTE = "_cdc_route"
 ROUTES = ("inserts", "updates")
 
 # The codecs of each format. Spark has no zstd codec for text files.
@@ -45,10 +45,10 @@ def stage_write(rows: DataFrame, path: str, fmt: str = "parquet", codec: str | N
     `csv` holds text fields in table order and does not tell NULL from ''. `parquet` keeps both.
     """
     codec = _check(fmt, codec)
-    routed = rows.withColumn(_ROUTE, route(rows, prefix))
+    routed = rows.withColumn(ROUTE, route(rows, prefix))
     if fmt == "csv":
         routed = encode_text(routed)
-    writer = routed.write.mode("overwrite").partitionBy(_ROUTE).option("compression", codec)
+    writer = routed.write.mode("overwrite").partitionBy(ROUTE).option("compression", codec)
     if fmt == "csv":
         writer.options(**_CSV_WRITE).csv(path)
     else:
@@ -61,7 +61,7 @@ def stage_read(
     """Staged rows as typed columns. The columns of a CSV stage go by position."""
     _check(fmt, None)
     stored = schema if fmt == "parquet" else T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(schema))])
-    reader = spark.read.schema(T.StructType([*stored, T.StructField(_ROUTE, T.StringType())]))
+    reader = spark.read.schema(T.StructType([*stored, T.StructField(ROUTE, T.StringType())]))
     rows = reader.parquet(path) if fmt == "parquet" else reader.options(**_CSV_READ).csv(path)
-    rows = rows.filter(col(_ROUTE).isin(*routes)).drop(_ROUTE)
+    rows = rows.filter(col(ROUTE).isin(*routes)).drop(ROUTE)
     return rows if fmt == "parquet" else decode_text(rows, schema)

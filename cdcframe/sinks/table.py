@@ -2,9 +2,9 @@
 
 Layout of a table folder:
 
-    data/v=<commit>/bucket=<b>/*.parquet    the rows of a bucket as of a commit
-    manifest/<commit>.json                  which version of each bucket is current, and the batches done
-    stage/<commit>/                         the batch being merged
+    data/_cdc_version=<commit>/_cdc_bucket=<b>/    the rows of a bucket as of a commit
+    manifest/<commit>.json                         which version of each bucket is current, and the batches done
+    stage/<commit>/                                the batch being merged
 
 A merge reads the current files of the buckets its batch touches, writes their merged rows as a new
 version, and becomes visible when its manifest is put in place by one rename. Nothing is written over
@@ -31,8 +31,9 @@ from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping
 from cdcframe.sinks.files import Files
 
-_VERSION = "v"
-_BUCKET = "bucket"
+# Folder columns; a table cannot have columns of these names.
+_VERSION = "_cdc_version"
+_BUCKET = "_cdc_bucket"
 SMALL_CHANGES_BYTES = 32 * 1024 * 1024
 _ROW_OVERHEAD = 64
 
@@ -88,6 +89,8 @@ class TargetTable:
         for key in keys:
             if key not in schema.names:
                 raise ValueError(f"key column not found: {key}")
+        if {_VERSION, _BUCKET} & set(schema.names):
+            raise ValueError(f"{_VERSION} and {_BUCKET} are reserved")
         manifest = {
             "commit": 0,
             "keys": keys,

@@ -1,0 +1,96 @@
+"""Types found in batches, and the check against a target."""
+
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from cdcframe import SchemaMismatch, avro_fields, check_schema, field_types, infer_schema
+from cdcframe.functions.types import UnsupportedType, logical_type, spark_type
+from cdcframe.operators.infer import collect_types
+from tests.inspect_plan import fails
+
+
+def payloads(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "seq bigint, after string")
+
+
+def test_types_over_the_batch(spark):
+    batch = payloads(spark, '{"a":1,"b":1,"c":null,"d":"x","e":true,"f":{"x":1},"g":1}', '{"a":2,"b":1.5,"c":null,"d":1,"e":null,"h":[1]}', None)
+    assert collect_types(field_types(batch)) == {
+        "a": "integer", "b": "float", "c": "variant", "d": "varchar", "e": "boolean", "f": "varchar", "g": "integer", "h": "varchar",
+    }
+
+
+def test_first_record_only(spark):
+    batch = payloads(spark, '{"a":1}', '{"a":1.5,"b":2}')
+    assert infer_schema(batch, "first") == T.StructType.fromDDL("a bigint")
+    assert infer_schema(batch, "batch") == T.StructType.fromDDL("a double, b bigint")
+    with pytest.raises(ValueError):
+        infer_schema(batch, "all")
+
+
+def avro(spark, *fields):
+    text = json.dumps({"type": "record", "name": "r", "fields": [{"name": f"f{i}", "type": t} for i, t in enumerate(fields)]})
+    return spark.createDataFrame([(0, {"avro.schema": text}, "{}")], "seq bigint, metadata map<string, string>, after string")
+
+
+def test_avro(spark):
+    batch = avro(spark, "int", {"type": "int", "logicalType": "date"}, ["null", "double"], ["string"])
+    assert collect_types(avro_fields(batch)) == {"f0": "integer", "f1": "date", "f2": "float", "f3": "varchar"}
+    assert infer_schema(batch, "first", avro_key="avro.schema") == T.StructType.fromDDL("f0 bigint, f1 date, f2 double, f3 string")
+    assert avro_fields(batch.selectExpr("seq", "map('other', 'x') metadata")).count() == 0
+
+
+@pytest.mark.parametrize("bad", [["int", "string"], {"type": "fixed", "name": "f", "size": 4}, "null", ["null"]])
+def test_avro_types_without_a_counterpart(spark, bad):
+    assert "no logical type for Avro field f0" in fails(avro_fields(avro(spark, bad)))
+
+
+def test_a_logical_type_on_an_unknown_name_falls_back(spark):
+    assert collect_types(avro_fields(avro(spark, {"type": "long", "logicalType": "local-timestamp-micros"}))) == {"f0": "integer"}
+
+
+TARGET = (
+    T.StructType().add("ID", T.LongType()).add("name", T.StringType()).add("at", T.TimestampType())
+)
+
+
+@pytest.mark.parametrize(
+    "batch,first,error",
+    [
+        ("id bigint, Name string, at timestamp", "create", None),
+        ("id int, name string, at timestamp", "create", None),
+        ("id bigint, name string", "create", "at: missing in batch"),
+        ("id bigint, name string, at timestamp, x int", "update", "x: missing in target"),
+        ("id bigint, name int, at timestamp", "snapshot", r"name: type differs \(integer, varchar\)"),
+        ("id bigint, name string, at timestamp_ntz", "create", "at: type differs"),
+        ("id bigint, name int", "delete", None),
+        ("id bigint, x int", "delete", None),
+    ],
+)
+def test_check(batch, first, error, spark):
+    if error is None:
+        check_schema(T.StructType.fromDDL(batch), TARGET, "id", first)
+    else:
+        with pytest.raises(SchemaMismatch, match=error):
+            check_schema(T.StructType.fromDDL(batch), TARGET, "id", first)
+
+
+def test_check_of_a_delete_whose_key_is_unknown(spark):
+    check_schema(T.StructType.fromDDL("name string"), TARGET, "other", "delete")
+    with pytest.raises(SchemaMismatch):
+        check_schema(T.StructType.fromDDL("other string"), TARGET, "other", "delete")
+    check_schema(T.StructType.fromDDL("other string"), T.StructType(), "other", "create")
+
+
+def test_logical_types():
+    assert logical_type(T.ArrayType(T.FloatType())) == "vector"
+    assert logical_type(T.DecimalType(10, 0)) == "integer" and logical_type(T.DecimalType(10, 2)) == "float"
+    for dtype in (T.DayTimeIntervalType(), T.NullType()):
+        with pytest.raises(UnsupportedType):
+            logical_type(dtype)
+    with pytest.raises(UnsupportedType):
+        spark_type("geography")
+    for name in ("integer", "vector", "variant", "object", "timestamp_ntz"):
+        assert logical_type(spark_type(name)) == name
