@@ -13,7 +13,7 @@ from cdcframe.plans.replicate import change_records, replicate, snapshot_records
 from cdcframe.sinks.stage import stage_read, stage_write
 from cdcframe.sinks.table import TargetTable
 from cdcframe.sources.feed import net_changes
-from cdcframe.sources.log import consume, log_after, log_page, number_batches, number_rows, read_log
+from cdcframe.sources.log import consume, log_after, log_page, number_batches, read_log
 from cdcframe.sources.scan import high_watermark, high_watermark_value, key_columns, resume_snapshot, snapshot, snapshot_page
 from cdcframe.streaming.stream import run_to_end, stream_append, stream_apply, stream_changes
 
@@ -48,7 +48,6 @@ __all__ = [
     "merge_stats",
     "net_changes",
     "number_batches",
-    "number_rows",
     "parse_position",
     "payload_json",
     "payload_side",

@@ -52,24 +52,27 @@ def to_records(
     position: Column,
     seq: Column,
     columns: Iterable[str] | None = None,
+    as_json: bool = True,
 ) -> DataFrame:
     """Rows as change records.
 
     A record has a `seq`, `position`, `operation`, `metadata` (the table name and the read time in
-    microseconds), a `key` struct, and its row as JSON text in `after`. `before` is always NULL, and a
-    delete has no `after` either: its key says it all.
+    microseconds), a `key` struct, and its row in `after`: as JSON text for consumers elsewhere, or as a
+    struct for those in the same job. `before` is always NULL, and a delete has no `after` either: its
+    key says it all.
     """
     operation = F.lit(operation) if isinstance(operation, str) else operation
     metadata = F.create_map(F.lit("table"), F.lit(table), F.lit("readAt"), read_at.cast("string"))
-    nothing = F.lit(None).cast("string")
+    row = payload_json(df, columns) if as_json else record_key(df, df.columns if columns is None else columns)
+    after = F.when(operation != REMOVE, row)
     return df.select(
         seq.alias("seq"),
         position.alias("position"),
         operation.alias("operation"),
         metadata.alias("metadata"),
         record_key(df, keys).alias("key"),
-        nothing.alias("before"),
-        F.when(operation != REMOVE, payload_json(df, columns)).alias("after"),
+        F.when(F.lit(False), row).alias("before"),
+        after.alias("after"),
     )
 
 

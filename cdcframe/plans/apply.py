@@ -16,7 +16,7 @@ from cdcframe.operators.infer import infer_schema
 from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping, render
 from cdcframe.operators.shape import ENVELOPE, OPERATION, REMOVE, SEQ, flatten_records
-from cdcframe.sinks.files import Files
+from cdcframe.files import Files
 from cdcframe.sinks.stage import ROUTE, stage_read, stage_write
 from cdcframe.sinks.table import Commit, TargetTable
 

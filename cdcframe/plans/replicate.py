@@ -32,6 +32,7 @@ def snapshot_records(
     table: str,
     read_at: datetime,
     columns: Iterable[str] | None = None,
+    as_json: bool = True,
 ) -> DataFrame:
     """A whole bounded snapshot as records. All have the sequence 0: a key occurs once."""
     maximum = high_watermark_value(df, ordering)
@@ -40,16 +41,16 @@ def snapshot_records(
     last, top = json_value(col(ordering), kind), json_value(F.lit(maximum).cast(kind), kind)
     position = position_json(SNAPSHOT_POSITION, last, top, time=F.timestamp_micros(at))
     rows = snapshot(df, ordering, maximum)
-    return to_records(rows, SNAPSHOT, keys, table, at, position, F.lit(0).cast("bigint"), columns)
+    return to_records(rows, SNAPSHOT, keys, table, at, position, F.lit(0).cast("bigint"), columns, as_json)
 
 
-def change_records(batches: DataFrame, keys: str | Iterable[str], table: str) -> DataFrame:
+def change_records(batches: DataFrame, keys: str | Iterable[str], table: str, as_json: bool = True) -> DataFrame:
     """Batched change-log rows as records, one per change, in the order of their row numbers."""
     rows = classify(collapse_pairs(batches), "_operation")
     columns = payload_columns(batches)
     position = position_json(CHANGE_POSITION, index=col(INDEX_IN_BATCH), batch=col(BATCH_ID), time=col(CONSUMED_AT))
     read_at = F.unix_micros(col(CONSUMED_AT))
-    return to_records(rows, col("_operation"), keys, table, read_at, position, col(ROW_NUMBER), columns)
+    return to_records(rows, col("_operation"), keys, table, read_at, position, col(ROW_NUMBER), columns, as_json)
 
 
 def snapshot_then_changes(snapshots: DataFrame, changes: DataFrame) -> DataFrame:
@@ -81,10 +82,9 @@ def replicate(
     First a snapshot of the old version, unless it is left out, then the changes to the new one, by way
     of the change log.
     """
-    schema = old.schema
     if with_snapshot:
-        records = snapshot_records(old, ordering, keys, name, snapshot_at)
-        apply_records(table_path, records, keys, batch_id=0, schema=schema, **options)
+        records = snapshot_records(old, ordering, keys, name, snapshot_at, as_json=False)
+        apply_records(table_path, records, keys, batch_id=0, **options)
     consume(net_changes(old, new, keys), log_path, 0, consumed_at)
     log = number_batches(read_log(old.sparkSession, log_path), batch_size)
-    return apply_records(table_path, change_records(log, keys, name), keys, batch_id=1, schema=schema, **options)
+    return apply_records(table_path, change_records(log, keys, name, as_json=False), keys, batch_id=1, **options)

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from cdcframe.functions.columns import col, column_list
 from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping
-from cdcframe.sinks.files import Files
+from cdcframe.files import Files
 
 # Folder columns; a table cannot have columns of these names.
 _VERSION = "_cdc_version"

@@ -1,136 +1,101 @@
-"""The change log: an append-only parquet directory, paged and resumed by row number.
+"""The change log: an append-only parquet directory whose rows are numbered when they are written.
 
-Rows are numbered in the order (consume time, row id, is-update, action). The number of a row is the size
-of all consumes before its own, plus the size of the slices before its own within the consume, plus its
-rank within the slice. The row id is a digest, so its leading hex digits cut a consume into even slices
-that are in order of row id. No task ranks more than one slice, and whatever lies outside a page is
-filtered out before anything is ranked.
+Rows are numbered from 0 in the order (consume time, row id, is-update, action). The number is stored
+with the row, and each file holds a range of numbers, so that a page, a batch or the rest of the log
+after a position is a filter that skips the files and row groups outside it: nothing is sorted or
+shuffled to read the log, however far into it.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcframe.files import Files
 from cdcframe.functions.columns import col
 from cdcframe.functions.payload import CHANGE_POSITION, Position
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, METADATA, ROW_ID
 
-ROW_NUMBER = "row_number"
+ROW_NUMBER = "METADATA$ROW_NUMBER"
 BATCH_ID = "batch_id"
 INDEX_IN_BATCH = "index_in_batch"
 _CONSUME = "consume_id"
-_ROWS_PER_SLICE = 1_000_000
+_ORDER = [ROW_ID, IS_UPDATE, ACTION]
 
 
 def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None = None) -> None:
     """Append all pending changes to the log at `path`, stamped with one consume time.
 
-    A consume writes its own directory, so repeating it after a failure replaces what the first
-    attempt left behind and duplicates nothing. Give `at` when repeating.
+    Consume ids go up with time. A consume writes its own directory, so repeating the last one after a
+    failure replaces what the first attempt left behind and duplicates nothing; give `at` when repeating.
+
+    The changes are computed once, into draft files that follow the order of the row ids. What is known
+    of a row then is its file and its place there; the sizes of the files make that a row number.
     """
     at = at or datetime.now(timezone.utc)
     if at.tzinfo is None:
         raise ValueError("the consume time needs a time zone")
+    spark, consume_id = changes.sparkSession, int(consume_id)
+    files = Files(spark, path)
+    earlier = [int(name.removeprefix(f"{_CONSUME}=")) for name in files.names(path) if name.startswith(f"{_CONSUME}=")]
+    if max(earlier, default=consume_id) > consume_id:
+        raise ValueError(f"the log has consumes after {consume_id}, whose rows are numbered already")
+    earlier = [n for n in earlier if n < consume_id]
+    first = spark.read.parquet(*[f"{path}/{_CONSUME}={n}" for n in earlier]).count() if earlier else 0
+
+    draft = f"{path}/_draft/{consume_id}"
+    changes.repartitionByRange(*[col(name) for name in _ORDER]).sortWithinPartitions(*_ORDER).write.mode(
+        "overwrite"
+    ).parquet(draft)
+    drafted = spark.read.schema(changes.schema).parquet(draft)
+    rows = drafted.withColumns({"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")})
+    # One row per file of this consume, as many as there were tasks.
+    starts = spark.createDataFrame(_file_starts(rows, first), "_file string, _start bigint")
     stamp = F.timestamp_micros(F.lit(round(at.timestamp() * 1_000_000)).cast("bigint"))
-    changes.withColumn(CONSUMED_AT, stamp).write.mode("overwrite").parquet(f"{path}/{_CONSUME}={int(consume_id)}")
+    rows.join(F.broadcast(starts), "_file").select(
+        *[col(name) for name in changes.columns],
+        stamp.alias(CONSUMED_AT),
+        (col("_start") + col("_place")).alias(ROW_NUMBER),
+    ).write.mode("overwrite").parquet(f"{path}/{_CONSUME}={consume_id}")
+    files.delete(draft)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The change log at `path`: the table columns and the four metadata columns."""
-    return spark.read.parquet(path).drop(_CONSUME)
+def _file_starts(rows: DataFrame, first: int) -> list[tuple[str, int]]:
+    """The number of the first row of each draft file. Files are in order of their task numbers."""
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("size")).collect()
+    starts = []
+    for name, size in sorted(sizes, key=lambda row: (int(row["_file"].split("-")[1]), row["_file"])):
+        starts.append((name, first))
+        first += size
+    return starts
 
 
-@dataclass(frozen=True)
-class _Consume:
-    """One consume of the log: when it was, the number of its first row, and how many rows it has."""
-
-    at: int
-    start: int
-    size: int
-
-
-def _consumes(log: DataFrame) -> list[_Consume]:
-    """The consumes of the log in order. There is one per run of `consume`, however many rows it wrote."""
-    at = F.unix_micros(col(CONSUMED_AT)).alias("at")
-    found, start = [], 0
-    for row in sorted(log.groupBy(at).agg(F.count(F.lit(1)).alias("size")).collect()):
-        found.append(_Consume(row["at"], start, row["size"]))
-        start += row["size"]
-    return found
-
-
-def _numbered(log: DataFrame, first: int, end: int | None, rows_per_slice: int) -> DataFrame:
-    """The rows with `first <= row_number < end`, numbered from 0 over the whole log."""
-    consumes = [c for c in _consumes(log) if c.start + c.size > first and (end is None or c.start < end)]
-    starts = log.sparkSession.createDataFrame([(c.at, c.start) for c in consumes], "at bigint, _start bigint")
-    starts = starts.select(F.timestamp_micros(col("at")).alias(CONSUMED_AT), "_start")
-    edges = [F.timestamp_micros(F.lit(c.at).cast("bigint")) for c in consumes[:1] + consumes[-1:]]
-    kept = log.filter(col(CONSUMED_AT).between(*edges)) if edges else log.filter(F.lit(False))
-
-    largest = max((c.size for c in consumes), default=0)
-    digits = math.ceil(math.log(max(largest / rows_per_slice, 1), 16))
-    by = [CONSUMED_AT, "_slice"]
-    cut = kept.withColumn("_slice", F.substring(col(ROW_ID), 1, digits))
-    if digits == 0:
-        slices = starts.select(CONSUMED_AT, F.lit("").alias("_slice"), col("_start").alias("_before"))
-    else:
-        earlier = Window.partitionBy(CONSUMED_AT).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = cut.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-        sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).join(starts, CONSUMED_AT)
-        slices = sizes.select(*by, "_size", (col("_start") + col("_before")).alias("_before"))
-        wanted = col("_before") + col("_size") > F.lit(first)
-        if end is not None:
-            wanted &= col("_before") < F.lit(end)
-        slices = slices.filter(wanted).drop("_size")
-
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(ROW_ID, IS_UPDATE, ACTION))
-    rows = cut.join(slices, by).withColumn(ROW_NUMBER, col("_before") + rank - 1)
-    rows = rows.filter(col(ROW_NUMBER) >= F.lit(first))
-    if end is not None:
-        rows = rows.filter(col(ROW_NUMBER) < F.lit(end))
-    return rows.select(*[col(name) for name in log.columns], col(ROW_NUMBER))
-
-
-def number_rows(log: DataFrame, rows_per_slice: int = _ROWS_PER_SLICE) -> DataFrame:
-    """The log with the number of each row, counted from 0 in log order.
-
-    Takes a log that is stored, since it is scanned for the sizes first, which reads one column or two,
-    and then for the rows.
-    """
-    return _numbered(log, 0, None, rows_per_slice)
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The change log at `path`: the table columns, the four metadata columns and the row number."""
+    return spark.read.parquet(path).drop(_CONSUME)
 
 
-def _with_batches(rows: DataFrame, size: int) -> DataFrame:
-    index = col(ROW_NUMBER) % F.lit(size)
-    return rows.select(
-        *[col(name) for name in rows.columns],
-        (col(ROW_NUMBER) - index).alias(BATCH_ID),
-        index.alias(INDEX_IN_BATCH),
-    )
+def payload_columns(log: DataFrame) -> list[str]:
+    """The columns of the table itself, without those of the log."""
+    return [name for name in log.columns if name not in (*METADATA, ROW_NUMBER, BATCH_ID, INDEX_IN_BATCH)]
 
 
-def number_batches(log: DataFrame, size: int, rows_per_slice: int = _ROWS_PER_SLICE) -> DataFrame:
+def number_batches(log: DataFrame, size: int) -> DataFrame:
     """The log with the batch of each row (the number of the batch's first row) and its index there."""
-    return _with_batches(number_rows(log, rows_per_slice), size)
+    index = col(ROW_NUMBER) % F.lit(size)
+    return log.withColumn(BATCH_ID, col(ROW_NUMBER) - index).withColumn(INDEX_IN_BATCH, index)
 
 
-def log_page(log: DataFrame, offset: int, size: int, rows_per_slice: int = _ROWS_PER_SLICE) -> DataFrame:
+def log_page(log: DataFrame, offset: int, size: int) -> DataFrame:
     """The `size` rows of the log from row number `offset` on, in log order."""
-    return _numbered(log, offset, offset + size, rows_per_slice).orderBy(col(ROW_NUMBER))
+    page = log.filter((col(ROW_NUMBER) >= F.lit(offset)) & (col(ROW_NUMBER) < F.lit(offset + size)))
+    return page.orderBy(col(ROW_NUMBER))
 
 
-def log_after(log: DataFrame, position: Position, size: int, rows_per_slice: int = _ROWS_PER_SLICE) -> DataFrame:
+def log_after(log: DataFrame, position: Position, size: int) -> DataFrame:
     """The batched rows of the log that come after a saved position."""
     if position.kind != CHANGE_POSITION:
         raise ValueError("the saved position is not one of a change log")
-    return _with_batches(_numbered(log, position.rows_done, None, rows_per_slice), size)
-
-
-def payload_columns(log: DataFrame) -> list[str]:
-    """The columns of the table itself, without the four metadata columns."""
-    return [name for name in log.columns if name not in METADATA and name not in (ROW_NUMBER, BATCH_ID, INDEX_IN_BATCH)]
+    return number_batches(log.filter(col(ROW_NUMBER) >= F.lit(position.rows_done)), size)

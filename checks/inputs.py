@@ -11,6 +11,7 @@ from cdcframe import consume, net_changes, payload_json, read_log, render
 from cdcframe.functions.columns import col
 from cdcframe.functions.times import ntz_micros
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, ROW_ID
+from cdcframe.sources.log import ROW_NUMBER
 from cdcframe.workspace import work_folder
 
 FIRST_CONSUME = datetime(2024, 3, 1, 12, 0, 0, tzinfo=timezone.utc)
@@ -143,12 +144,12 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, order_log_path(spark, sf_dir))
 
 
-def shown_log(log: DataFrame, *more: str | Column) -> DataFrame:
+def shown_log(log: DataFrame) -> DataFrame:
     """A change log with plain column names and the consume time in microseconds."""
-    names = {ACTION: "action", IS_UPDATE: "is_update", ROW_ID: "row_id"}
-    columns = [col(name).alias(names.get(name, name)) for name in log.columns if name != CONSUMED_AT and name not in more]
+    names = {ACTION: "action", IS_UPDATE: "is_update", ROW_ID: "row_id", ROW_NUMBER: "row_number"}
+    columns = [col(name).alias(names.get(name, name)) for name in log.columns if name != CONSUMED_AT]
     stamp = [F.unix_micros(col(CONSUMED_AT)).alias("consumed_at")] if CONSUMED_AT in log.columns else []
-    return log.select(*columns, *stamp, *more)
+    return log.select(*columns, *stamp)
 
 
 def order_target(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,7 +82,8 @@ ORACLES["table_net_change_counts"] = f"""
 {_FORWARD} select "action", is_update, count(*) n from forward group by all"""
 
 ORACLES["change_log_consume"] = f"""
-{_FORWARD} select * replace (epoch_us(o_orderdate) as o_orderdate), {_ROW_ID} row_id, {T1} consumed_at from forward"""
+{_FORWARD} select * replace (epoch_us(o_orderdate) as o_orderdate), {_ROW_ID} row_id, {T1} consumed_at,
+  row_number() over (order by row_id, is_update, "action") - 1 "row_number" from forward"""
 
 _LOG = f"""{_FORWARD}, {_changes('v2', 'v1', 'backward')},
 log as (

@@ -13,7 +13,7 @@ from cdcframe.functions.columns import col
 from cdcframe.functions.times import micros_of, ntz_micros
 from cdcframe.operators.infer import first_record
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE
-from cdcframe.sources.log import BATCH_ID, INDEX_IN_BATCH, ROW_NUMBER
+from cdcframe.sources.log import BATCH_ID, INDEX_IN_BATCH
 from cdcframe.workspace import work_folder
 from checks import inputs as i
 
@@ -111,12 +111,12 @@ def change_log_consume(spark, sf):
 
 
 def _log_row(log: DataFrame, *more: str) -> DataFrame:
-    return i.shown_log(log, *more).select("o_orderkey", "o_totalprice", "action", "is_update", "consumed_at", *more)
+    return i.shown_log(log).select("o_orderkey", "o_totalprice", "action", "is_update", "consumed_at", *more)
 
 
 @query
 def change_log_page(spark, sf):
-    return _log_row(c.log_page(i.order_log(spark, sf), 2500, PAGE), ROW_NUMBER)
+    return _log_row(c.log_page(i.order_log(spark, sf), 2500, PAGE), "row_number")
 
 
 @query

@@ -4,8 +4,10 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from cdcframe import consume, log_after, log_page, number_batches, number_rows, parse_position, read_log
+from cdcframe import consume, log_after, log_page, number_batches, parse_position, read_log
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, ROW_ID
+from cdcframe.sources.log import ROW_NUMBER
+from tests.inspect_plan import pushed_filters
 
 AT = datetime(2024, 5, 1, 23, 59, 59, tzinfo=timezone.utc)
 
@@ -28,30 +30,45 @@ def in_order(log):
     return [row[-1] for row in sorted(rows)]
 
 
-@pytest.mark.parametrize("rows_per_slice", [1, 20, 1_000_000])
-def test_numbers(log, rows_per_slice):
-    rows = {r["row_number"]: r["k"] for r in number_rows(log, rows_per_slice).collect()}
+def test_numbers(log):
+    rows = {r[ROW_NUMBER]: r["k"] for r in log.collect()}
     assert [rows[n] for n in range(1200)] == in_order(log)
 
 
 def test_batches(log):
-    for row in number_batches(log, 100, 20).collect():
-        assert row["batch_id"] + row["index_in_batch"] == row["row_number"] and row["batch_id"] % 100 == 0
+    for row in number_batches(log, 100).collect():
+        assert row["batch_id"] + row["index_in_batch"] == row[ROW_NUMBER] and row["batch_id"] % 100 == 0
         assert 0 <= row["index_in_batch"] < 100
 
 
-@pytest.mark.parametrize("rows_per_slice", [20, 1_000_000])
-def test_pages(log, rows_per_slice):
+def test_pages(log):
     order = in_order(log)
     for offset in (0, 450, 499, 502, 1100, 1200, 5000):
-        page = [r["k"] for r in log_page(log, offset, 130, rows_per_slice).collect()]
-        assert page == order[offset : offset + 130]
+        assert [r["k"] for r in log_page(log, offset, 130).collect()] == order[offset : offset + 130]
+
+
+def test_a_page_skips_the_rest_of_the_log(log):
+    text = pushed_filters(log_page(log, 100, 50))
+    assert "GreaterThanOrEqual(`METADATA$ROW_NUMBER`,100)" in text and "LessThan(`METADATA$ROW_NUMBER`,150)" in text
+
+
+def test_many_files_are_numbered_in_order(spark, folder):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        consume(feed(spark, 0, 5000), folder, 3, AT)
+        consume(feed(spark, 5000, 5100), folder, 4, AT + timedelta(days=1))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    log = read_log(spark, folder)
+    rows = {r[ROW_NUMBER]: r["k"] for r in log.collect()}
+    assert [rows[n] for n in range(5100)] == in_order(log)
 
 
 @pytest.mark.parametrize("index,batch", [(0, 0), (99, 400), (2, 500), (99, 1100)])
 def test_resume(log, index, batch):
     position = parse_position(f'{{"IteratorType":"c","IndexInBatch":{index},"BatchID":{batch}}}')
-    rest = log_after(log, position, 100, 20).orderBy("row_number").collect()
+    rest = log_after(log, position, 100).orderBy(ROW_NUMBER).collect()
     assert [r["k"] for r in rest] == in_order(log)[batch + index + 1 :]
 
 
@@ -66,10 +83,16 @@ def test_repeating_a_consume_duplicates_nothing(spark, folder):
     assert read_log(spark, folder).count() == 50
 
 
+def test_an_earlier_consume_cannot_be_replaced(spark, folder):
+    consume(feed(spark, 0, 5), folder, 2, AT)
+    with pytest.raises(ValueError):
+        consume(feed(spark, 0, 5), folder, 1, AT)
+
+
 def test_empty_log(spark, folder):
     consume(feed(spark, 0, 0), folder, 0, AT)
     log = read_log(spark, folder)
-    assert number_rows(log).count() == 0 and log_page(log, 0, 10).count() == 0
+    assert log.count() == 0 and log_page(log, 0, 10).count() == 0
 
 
 def test_consume_needs_a_zone(spark, folder):
