@@ -163,7 +163,7 @@ class TargetTable:
     def merge(self, changes: DataFrame, batch_id: int | None = None, writer: str = "default") -> Commit:
         """Merge rendered changes, at most one per key, and commit.
 
-        The changes are read three times, so they should be staged files. With a batch id, a batch
+        The changes are read more than once, so they should be staged files. With a batch id, a batch
         that is not newer than the last one of its writer is skipped.
         """
         self.refresh()
@@ -172,15 +172,10 @@ class TargetTable:
         commit = self.version + 1
         changes = changes.select(*[col(field.name).cast(field.dataType).alias(field.name) for field in self.schema])
 
-        # One pass over the changes: how many, which buckets, and how large at most as a broadcast.
-        # A JSON text is longer than the values in it.
-        size = F.sum(F.octet_length(F.to_json(F.struct(*changes.columns))) + F.lit(_ROW_OVERHEAD + 8 * len(changes.columns)))
-        facts = changes.agg(
-            F.count(F.lit(1)).alias("rows"), F.collect_set(self._bucket()).alias("buckets"), size.alias("size")
-        ).first()
+        facts = changes.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(self._bucket()).alias("buckets")).first()
         touched = sorted(facts["buckets"])
         if touched:
-            self._write(changes, touched, facts["size"] <= SMALL_CHANGES_BYTES, commit)
+            self._write(changes, touched, _is_small(changes, facts["rows"]), commit)
         manifest = json.loads(json.dumps(self._manifest))
         manifest["commit"] = commit
         manifest["versions"].update({str(bucket): commit for bucket in touched})
@@ -222,6 +217,16 @@ class TargetTable:
             self._files.delete(_manifest_path(self.path, old))
 
 
+def _is_small(changes: DataFrame, rows: int) -> bool:
+    """Whether the changes surely fit a broadcast. They are measured only if their number allows it."""
+    overhead = _ROW_OVERHEAD + 8 * len(changes.columns)
+    if rows * overhead > SMALL_CHANGES_BYTES:
+        return False
+    # The JSON text of a row and 8 bytes per column are more than its values take.
+    text = F.sum(F.octet_length(F.to_json(F.struct(*[col(name) for name in changes.columns]))))
+    return changes.agg(text).first()[0] + rows * overhead <= SMALL_CHANGES_BYTES
+
+
 def _manifest_path(path: str, commit: int) -> str:
     return f"{path.rstrip('/')}/manifest/{commit:020d}.json"
 

@@ -51,9 +51,9 @@ def test_no_records(spark):
 
 
 def rendered(spark, records):
-    batch = spark.createDataFrame(records, "_seq bigint, _operation string, _read_at bigint, id string, firstName string, lastName string")
+    batch = spark.createDataFrame(records, "_seq bigint, _operation string, _read_at bigint, id string, given string, surname string")
     rows = render(compact(batch, "id"), "id")
-    assert rows.columns == ["cdc_operation", "cdc_created_at", "cdc_updated_at", "cdc_deleted_at", "firstName", "id", "lastName"]
+    assert rows.columns == ["cdc_operation", "cdc_created_at", "cdc_updated_at", "cdc_deleted_at", "given", "id", "surname"]
     micros = [f"unix_micros({c}) {c}" if c.endswith("_at") else c for c in rows.columns]
     return sorted(map(tuple, rows.selectExpr(*micros).collect()), key=lambda row: row[5])
 
@@ -63,15 +63,15 @@ T = 1_700_000_000_000_000
 
 def test_four_keys(spark):
     records = [
-        (0, "create", T, "1", "spongebob", "squarepants"),
-        (1, "create", T, "2", "patrick", "star"),
-        (2, "update", T, "3", "squidward", "tentacles"),
-        (3, "delete", T, "4", "sandy", "cheeks"),
+        (0, "create", T, "1", "Ada", "Byron"),
+        (1, "create", T, "2", "Grace", "Hopper"),
+        (2, "update", T, "3", "Edsger", "Dijkstra"),
+        (3, "delete", T, "4", "Alan", "Turing"),
     ]
     assert rendered(spark, records) == [
-        ("create", T, None, None, "spongebob", "1", "squarepants"),
-        ("create", T, None, None, "patrick", "2", "star"),
-        ("update", None, T, None, "squidward", "3", "tentacles"),
+        ("create", T, None, None, "Ada", "1", "Byron"),
+        ("create", T, None, None, "Grace", "2", "Hopper"),
+        ("update", None, T, None, "Edsger", "3", "Dijkstra"),
         ("delete", None, None, T, None, "4", None),
     ]
 

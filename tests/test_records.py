@@ -19,9 +19,9 @@ def log(spark, rows):
 
 
 def test_worked_example(spark):
-    rows = log(spark, [(2, "Test", "DELETE", False), (5, "Foo", "INSERT", False), (7, "a", "DELETE", True), (7, "b", "INSERT", True)])
+    rows = log(spark, [(2, "Ada", "DELETE", False), (5, "Grace", "INSERT", False), (7, "a", "DELETE", True), (7, "b", "INSERT", True)])
     found = c.classify(c.collapse_pairs(rows)).select("id", "name", "operation").collect()
-    assert sorted(map(tuple, found)) == [(2, "Test", "delete"), (5, "Foo", "create"), (7, "b", "update")]
+    assert sorted(map(tuple, found)) == [(2, "Ada", "delete"), (5, "Grace", "create"), (7, "b", "update")]
 
 
 @pytest.mark.parametrize("action,is_update", [("UPSERT", False), (None, False), ("INSERT", None), ("DELETE", True)])
@@ -147,11 +147,11 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
 
 
 def test_replicate_without_a_snapshot(spark, folder):
-    old = spark.createDataFrame([(1, "Petro"), (2, "Olena")], "id bigint, name string")
-    new = spark.createDataFrame([(2, "test")], "id bigint, name string")
+    old = spark.createDataFrame([(1, "Ada"), (2, "Grace")], "id bigint, name string")
+    new = spark.createDataFrame([(2, "Edsger")], "id bigint, name string")
     for with_snapshot, expected in (
-        (True, {1: ("delete", "Petro"), 2: ("update", "test")}),
-        (False, {1: ("delete", None), 2: ("update", "test")}),
+        (True, {1: ("delete", "Ada"), 2: ("update", "Edsger")}),
+        (False, {1: ("delete", None), 2: ("update", "Edsger")}),
     ):
         at = f"{folder}/{with_snapshot}"
         table = replicate(
