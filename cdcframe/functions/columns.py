@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class MissingColumn(ValueError):
@@ -35,3 +38,14 @@ def checked(ok: Column, value: Column, message: str | Column) -> Column:
     """The value where `ok` is true; the query fails with the message elsewhere."""
     text = F.lit(message) if isinstance(message, str) else message
     return F.when(ok, value).otherwise(F.raise_error(text))
+
+
+def literal(value: Any, dtype: T.DataType) -> Column:
+    """A collected or parsed value as a literal of a column's type.
+
+    A datetime of a zone-less column goes by its text: as such it would count as an instant, and shift
+    with the session time zone.
+    """
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(value, datetime):
+        value = value.isoformat(sep=" ")
+    return F.lit(value).cast(dtype)

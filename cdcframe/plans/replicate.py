@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcframe.functions.columns import col
+from cdcframe.functions.columns import col, literal
 from cdcframe.functions.payload import CHANGE_POSITION, SNAPSHOT_POSITION, json_value, position_json
 from cdcframe.operators.shape import SNAPSHOT, classify, collapse_pairs, to_records
 from cdcframe.plans.apply import apply_records
@@ -38,7 +38,7 @@ def snapshot_records(
     maximum = high_watermark_value(df, ordering)
     at = F.lit(micros(read_at)).cast("bigint")
     kind = df.schema[ordering].dataType
-    last, top = json_value(col(ordering), kind), json_value(F.lit(maximum).cast(kind), kind)
+    last, top = json_value(col(ordering), kind), json_value(literal(maximum, kind), kind)
     position = position_json(SNAPSHOT_POSITION, last, top, time=F.timestamp_micros(at))
     rows = snapshot(df, ordering, maximum)
     return to_records(rows, SNAPSHOT, keys, table, at, position, F.lit(0).cast("bigint"), columns, as_json)

@@ -19,8 +19,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,20 +131,17 @@ class TargetTable:
         return F.pmod(F.hash(*[col(key) for key in self.keys]), F.lit(self.buckets))
 
     def _read(self, buckets: Iterable[int]) -> DataFrame:
-        current: dict[int, list[int]] = {}
-        for bucket in buckets:
-            version = self._manifest["versions"].get(str(bucket))
-            if version is not None:
-                current.setdefault(version, []).append(bucket)
+        versions = self._manifest["versions"]
+        current = [(versions[str(bucket)], bucket) for bucket in buckets if str(bucket) in versions]
         if not current:
             return self.spark.createDataFrame([], self.schema)
         data = f"{self.path}/data"
         stored = T.StructType([*self.schema, T.StructField(_VERSION, T.LongType()), T.StructField(_BUCKET, T.IntegerType())])
         rows = self.spark.read.schema(stored).option("basePath", data)
-        rows = rows.parquet(*[f"{data}/{_VERSION}={version}" for version in current])
-        # Both are partition columns: other buckets are left out before any file is opened.
-        wanted = [(col(_VERSION) == version) & col(_BUCKET).isin(of_version) for version, of_version in current.items()]
-        return rows.filter(reduce(or_, wanted)).select(*self.schema.names)
+        rows = rows.parquet(*[f"{data}/{_VERSION}={version}" for version in sorted({version for version, _ in current})])
+        # Both are folder columns: what is not current is left out before any file is opened.
+        wanted = ", ".join(str(version * self.buckets + bucket) for version, bucket in current)
+        return rows.filter(f"{_VERSION} * {self.buckets} + {_BUCKET} in ({wanted})").select(*[col(n) for n in self.schema.names])
 
     def read(self) -> DataFrame:
         """The rows of the table, soft-deleted ones included."""

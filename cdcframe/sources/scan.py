@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcframe.functions.columns import checked, col, require
+from cdcframe.functions.columns import checked, col, literal, require
 from cdcframe.functions.payload import SNAPSHOT_POSITION, Position
 
 
@@ -53,9 +53,9 @@ def snapshot(
     if nulls == "error":
         order = checked(order.isNotNull(), order, f"NULL in ordering column {ordering}")
     if after is not None:
-        df = df.filter(order > F.lit(after).cast(kind))
+        df = df.filter(order > literal(after, kind))
     if maximum is not None:
-        df = df.filter(order <= F.lit(maximum).cast(kind))
+        df = df.filter(order <= literal(maximum, kind))
     if after is None and maximum is None and nulls == "error":
         df = df.filter(order.isNotNull())
     return df if columns is None else df.select(*[col(name) for name in require(df, columns)])

@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cdcframe.functions.columns import col
 from cdcframe.plans.apply import apply_to_table
 from cdcframe.sinks.table import TargetTable
 
 
 def stream_changes(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """The parquet files of a change log as a stream, in the order they were written."""
+    """The parquet files of a change log, or of any folder, as a stream in the order they were written."""
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*[col(field.name) for field in schema])
 
 
 def _trigger(interval: str | None) -> dict:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 import cdcframe as c
 from cdcframe.functions.columns import col
-from cdcframe.functions.times import micros_of, ntz_micros
+from cdcframe.functions.times import micros_ntz, micros_of, ntz_micros
 from cdcframe.operators.infer import first_record
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE
 from cdcframe.sources.log import BATCH_ID, INDEX_IN_BATCH
@@ -262,8 +262,8 @@ def route_updates(spark, sf):
 
 @query
 def encode_text(spark, sf):
-    target = i.order_target(spark, sf).withColumn("o_day", F.timestamp_micros(F.unix_micros("cdc_created_at")).cast("date"))
-    return c.encode_text(target)
+    target = i.order_target(spark, sf)
+    return c.encode_text(target.withColumn("o_day", micros_ntz(F.unix_micros("cdc_created_at")).cast("date")))
 
 
 # Staging

@@ -92,6 +92,20 @@ def test_snapshot_bounds(spark):
         c.resume_snapshot(df, "o", c.Position("c"))
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_a_time_bound_in_another_session_zone(spark, kind):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(f"select explode(array({kind}'2024-01-01 00:00:00', {kind}'2024-06-01 00:00:00.5')) t")
+        assert c.snapshot(df, "t", c.high_watermark_value(df, "t")).count() == 2
+        assert c.snapshot(df, "t", after=c.high_watermark_value(df, "t")).count() == 0
+        positions = [c.parse_position(r["position"]) for r in c.snapshot_records(df, "t", "t", "x", inputs.SNAPSHOT_AT).collect()]
+        assert sorted(c.resume_snapshot(df, "t", p).count() for p in positions) == [0, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_a_snapshot_by_time_is_resumed_from_its_position(spark):
     df = spark.sql("select explode(sequence(timestamp_ntz'2024-03-10 02:00:00', timestamp_ntz'2024-03-10 03:00:00', interval 15 minutes)) t")
     records = c.snapshot_records(df, "t", "t", "times", inputs.SNAPSHOT_AT).orderBy("after").collect()

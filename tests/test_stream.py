@@ -1,7 +1,10 @@
 """The stream gives what the same batches give, and survives being stopped and repeated."""
 
+from datetime import datetime, timedelta, timezone
+
 import pytest
 
+import cdcframe as c
 from cdcframe import TargetTable, apply_batch, run_to_end, stream_append, stream_apply, stream_changes
 from cdcframe.streaming import stream as stream_module
 from tests.test_merge import random_batch
@@ -63,6 +66,24 @@ def test_flatten_and_append(spark, folder):
     assert spark.read.parquet(f"{folder}/out").count() == 60
 
 
+def test_from_the_log_to_the_table(spark, folder):
+    versions = [[(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, "d")], [(2, "c"), (3, "e")]]
+    frames = [spark.createDataFrame(rows, "id bigint, name string") for rows in versions]
+    payload = frames[0].schema
+    table = c.TargetTable.create(spark, f"{folder}/t", payload, "id", 4)
+    at = datetime(2024, 5, 1, tzinfo=timezone.utc)
+    before = frames[0].limit(0)
+    for n, after in enumerate(frames):
+        c.consume(c.net_changes(before, after, "id"), f"{folder}/log", n, at + timedelta(minutes=n))
+        before = after
+        log = c.number_batches(stream_changes(spark, f"{folder}/log", c.read_log(spark, f"{folder}/log").schema), 10)
+        records = c.change_records(log, "id", "people")
+        run_to_end(stream_apply(records, table, f"{folder}/cp", lambda df: c.flatten_records(df, "id", payload)))
+    found = {r["id"]: (r["cdc_operation"], r["name"]) for r in table.read().collect()}
+    assert found == {1: ("delete", "a"), 2: ("update", "c"), 3: ("update", "e")}
+    assert table.version == 3
+
+
 def test_a_stream_that_does_not_end(spark, folder):
     batch = random_batch(spark, 1, 10, 10)
     batch.write.parquet(f"{folder}/in")
