@@ -5,7 +5,7 @@ from cdcframe.functions.text import decode_text, encode_text
 from cdcframe.operators.check import SchemaMismatch, check_schema, schema_report
 from cdcframe.operators.compact import compact, late_updates
 from cdcframe.operators.infer import avro_fields, field_types, infer_schema
-from cdcframe.operators.merge import merge, merge_stats
+from cdcframe.operators.merge import merge, merge_into, merge_stats
 from cdcframe.operators.render import Bookkeeping, render, route, route_inserts, route_updates, with_bookkeeping
 from cdcframe.operators.shape import classify, collapse_pairs, decode_payload, flatten_records, payload_side, to_records
 from cdcframe.plans.apply import apply_batch, apply_records, apply_to_table
@@ -45,6 +45,7 @@ __all__ = [
     "log_after",
     "log_page",
     "merge",
+    "merge_into",
     "merge_stats",
     "net_changes",
     "number_batches",

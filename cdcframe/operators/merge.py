@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcframe.functions.columns import col, require
 from cdcframe.operators.render import Bookkeeping
-from cdcframe.operators.shape import REMOVE, UPDATE
+from cdcframe.operators.shape import CREATE, REMOVE, SNAPSHOT, UPDATE
 
 _OLD = "_old"
 _NEW = "_new"
@@ -75,6 +77,35 @@ def merge(
     return merged.unionByName(fresh)
 
 
+def merge_into(changes: DataFrame, table: str, keys: str | Iterable[str], prefix: str = "cdc") -> None:
+    """The same merge on a catalog table, done by the table itself.
+
+    For catalogs whose tables take row-level operations. Spark's own session catalog does not; there,
+    and for plain files, use `TargetTable`.
+    """
+    keys, book = require(changes, keys, "key column"), Bookkeeping(prefix)
+    names = changes.columns
+
+    def change(name: str) -> Column:
+        return F.col(f"_changes.`{name}`")
+
+    same_key = reduce(and_, [change(key) == F.col(f"{table}.`{key}`") for key in keys])
+    operation = change(book.operation)
+    (
+        changes.alias("_changes")
+        .mergeInto(table, same_key)
+        .whenMatched(operation.isin(CREATE, SNAPSHOT))
+        .update({name: change(name) for name in names})
+        .whenMatched(operation == UPDATE)
+        .update({name: change(name) for name in names if name != book.created_at})
+        .whenMatched(operation == REMOVE)
+        .update({name: change(name) for name in (book.operation, book.deleted_at)})
+        .whenNotMatched()
+        .insertAll()
+        .merge()
+    )
+
+
 def merge_stats(target: DataFrame, changes: DataFrame, keys: str | Iterable[str], prefix: str = "cdc") -> DataFrame:
     """How many rows the merge affects: by operation, and whether the key was there before."""
     keys, book = require(target, keys, "key column"), Bookkeeping(prefix)

@@ -91,7 +91,13 @@ def decode_payload(payload: Column, schema: T.StructType) -> Column:
         [T.StructField(f.name, T.StringType() if isinstance(f.dataType, times) else f.dataType) for f in schema]
     )
     row = F.from_json(payload, stored, {"mode": "FAILFAST"})
-    return F.struct(*[row[field.name].cast(field.dataType).alias(field.name) for field in schema])
+
+    def value(field: T.StructField) -> Column:
+        if isinstance(field.dataType, T.VariantType):
+            return F.when(~F.is_variant_null(row[field.name]), row[field.name])
+        return row[field.name].cast(field.dataType)
+
+    return F.struct(*[value(field).alias(field.name) for field in schema])
 
 
 def flatten_records(records: DataFrame, keys: str | Iterable[str], schema: T.StructType | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cdcframe import apply_batch, compact, merge, merge_stats, render
+from cdcframe import apply_batch, compact, merge, merge_into, merge_stats, render
 from cdcframe.operators.render import Bookkeeping
 
 SCHEMA = "cdc_operation string, cdc_created_at int, cdc_updated_at int, cdc_deleted_at int, id int, v string"
@@ -87,6 +87,19 @@ def test_stats(spark):
     assert {tuple(row) for row in rows} == {("create", True, 1), ("update", True, 1), ("update", False, 1), ("delete", False, 1)}
 
 
+def test_merge_into_resolves_against_a_catalog_table(spark, folder):
+    # The session catalog has no tables that take a MERGE: all but the last step can be seen here.
+    target = spark.createDataFrame(TARGET, SCHEMA)
+    spark.sql(f"create table if not exists merge_target ({SCHEMA}) using parquet location '{folder}/m'")
+    try:
+        with pytest.raises(Exception, match="does not support MERGE INTO TABLE"):
+            merge_into(target, "merge_target", "id")
+        with pytest.raises(Exception, match="cannot be resolved|UNRESOLVED"):
+            merge_into(target.withColumnRenamed("v", "w"), "merge_target", "id")
+    finally:
+        spark.sql("drop table merge_target")
+
+
 def test_prefix_and_composite_key(spark):
     schema = SCHEMA.replace("cdc_", "x_") + ", w int"
     target = spark.createDataFrame([("create", 1, None, None, 1, "a", 5)], schema)

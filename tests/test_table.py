@@ -147,6 +147,14 @@ def test_records_with_inferred_schema(spark, folder):
     assert found == {1: ("delete", "a", 1.5), 2: ("update", "c", 3.5)}
 
 
+def test_fields_that_are_null_throughout_are_variant(spark, folder):
+    data = [(0, "create", '{"id":1}', None, '{"id":1,"x":null}'), (1, "update", '{"id":2}', None, '{"id":2,"x":null}')]
+    records = spark.createDataFrame(data, "seq bigint, operation string, key string, before string, after string")
+    table = apply_records(f"{folder}/t", records.selectExpr("*", "map('readAt', '5') metadata"), "id", 0)
+    assert table.schema["x"].dataType == T.VariantType()
+    assert sorted(map(tuple, table.read().select("id", "x").collect())) == [(1, None), (2, None)]
+
+
 def test_create_checks_its_arguments(spark, folder):
     with pytest.raises(ValueError):
         TargetTable.create(spark, f"{folder}/a", PAYLOAD, "id", buckets=6)
