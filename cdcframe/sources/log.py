@@ -42,8 +42,7 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     earlier = [int(name.removeprefix(f"{_CONSUME}=")) for name in files.names(path) if name.startswith(f"{_CONSUME}=")]
     if max(earlier, default=consume_id) > consume_id:
         raise ValueError(f"the log has consumes after {consume_id}, whose rows are numbered already")
-    earlier = [n for n in earlier if n < consume_id]
-    first = spark.read.parquet(*[f"{path}/{_CONSUME}={n}" for n in earlier]).count() if earlier else 0
+    first = _next_number(spark, path, [n for n in earlier if n < consume_id])
 
     draft = f"{path}/_draft/{consume_id}"
     changes.repartitionByRange(*[col(name) for name in _ORDER]).sortWithinPartitions(*_ORDER).write.mode(
@@ -51,7 +50,7 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     ).parquet(draft)
     drafted = spark.read.schema(changes.schema).parquet(draft)
     rows = drafted.withColumns({"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")})
-    # One row per file of this consume, as many as there were tasks.
+    # One row per draft file, of which there are no more than shuffle partitions.
     starts = spark.createDataFrame(_file_starts(rows, first), "_file string, _start bigint")
     stamp = F.timestamp_micros(F.lit(round(at.timestamp() * 1_000_000)).cast("bigint"))
     rows.join(F.broadcast(starts), "_file").select(
@@ -62,6 +61,15 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     files.delete(draft)
 
 
+def _next_number(spark: SparkSession, path: str, consumes: list[int]) -> int:
+    """The number after the last row of these consumes. Only the last one that has rows is looked at."""
+    for consume_id in sorted(consumes, reverse=True):
+        last = spark.read.parquet(f"{path}/{_CONSUME}={consume_id}").agg(F.max(col(ROW_NUMBER))).first()[0]
+        if last is not None:
+            return last + 1
+    return 0
+
+
 def _file_starts(rows: DataFrame, first: int) -> list[tuple[str, int]]:
     """The number of the first row of each draft file. Files are in order of their task numbers."""
     sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("size")).collect()
