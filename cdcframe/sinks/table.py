@@ -11,7 +11,7 @@ version, and becomes visible when its manifest is put in place by one rename. No
 files that readers may have open. If the job dies before the rename, the table is as it was; running
 the batch again writes the same version afresh.
 
-A table has ONE writer at a time.
+A table has ONE writer at a time, and its file system renames atomically.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cdcframe.files import Files
 from cdcframe.functions.columns import col, column_list
 from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping
-from cdcframe.files import Files
 
 # Folder columns; a table cannot have columns of these names.
 _VERSION = "_cdc_version"

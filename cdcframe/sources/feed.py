@@ -64,7 +64,7 @@ def net_changes(
 
 
 def _repeat(df: DataFrame, times: Column) -> DataFrame:
-    """Each row so many times over, in steps, so that no row needs an array of all its copies."""
+    """Each row so many times over. Copies are put out in steps, so none needs an array of them all."""
     step = 65_536
     steps = F.sequence(F.lit(0).cast("bigint"), F.floor((times - 1) / F.lit(step)).cast("bigint"))
     df = df.withColumn("_copies", times).withColumn("_step", F.explode(steps))

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcframe import consume, net_changes, payload_json, read_log, render
+from cdcframe import compact, consume, net_changes, payload_json, read_log, render
 from cdcframe.functions.columns import col
 from cdcframe.functions.times import ntz_micros
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, ROW_ID
@@ -172,7 +172,7 @@ CHANGES_READ_AT = 1_009_843_200_000_000
 
 
 def order_changes(spark: SparkSession, sf_dir: str, known: dict[str, str], unknown: dict[str, str]) -> DataFrame:
-    """Rendered changes to `order_target`.
+    """Compacted and rendered changes to `order_target`.
 
     `known` and `unknown` map a priority to the operation its orders undergo: under their own keys, or
     under keys that the target does not have.
@@ -182,7 +182,7 @@ def order_changes(spark: SparkSession, sf_dir: str, known: dict[str, str], unkno
     def part(operations: dict[str, str], key: Column) -> DataFrame:
         operation = F.create_map(*[F.lit(item) for pair in operations.items() for item in pair])[col("o_orderpriority")]
         return orders.filter(col("o_orderpriority").isin(*operations)).select(
-            F.lit(0).alias("_seq"),
+            ntz_micros(col("o_orderdate")).alias("_seq"),
             operation.alias("_operation"),
             (F.lit(CHANGES_READ_AT).cast("bigint") + col("o_orderkey")).alias("_read_at"),
             key.alias("o_orderkey"),
@@ -194,7 +194,7 @@ def order_changes(spark: SparkSession, sf_dir: str, known: dict[str, str], unkno
     parts = [part(known, col("o_orderkey"))] if known else []
     parts += [part(unknown, -1 - col("o_orderkey"))] if unknown else []
     batch = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return render(batch, "o_orderkey")
+    return render(compact(batch, "o_orderkey"), "o_orderkey")
 
 
 def shown_target(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ def make_session(cpus: str | int | None = None) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # No recording of the Python line behind each column expression: it takes as long as short queries do.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
