@@ -22,6 +22,7 @@ ROW_NUMBER = "METADATA$ROW_NUMBER"
 BATCH_ID = "batch_id"
 INDEX_IN_BATCH = "index_in_batch"
 _CONSUME = "consume_id"
+_RANGES = 16**4
 _ORDER = [ROW_ID, IS_UPDATE, ACTION]
 
 
@@ -31,8 +32,10 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     Consume ids go up with time. A consume writes its own directory, so repeating the last one after a
     failure replaces what the first attempt left behind and duplicates nothing; give `at` when repeating.
 
-    The changes are computed once, into draft files that follow the order of the row ids. What is known
-    of a row then is its file and its place there; the sizes of the files make that a row number.
+    The changes are computed once, into draft files that follow the order of the row ids. These are hex
+    digests, as `net_changes` gives them, so their leading digits cut them into even ranges that need no
+    sampling. What is known of a row then is its file and its place there; the sizes of the files make
+    that a row number.
     """
     at = at or datetime.now(timezone.utc)
     if at.tzinfo is None:
@@ -45,9 +48,10 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     first = _next_number(spark, path, [n for n in earlier if n < consume_id])
 
     draft = f"{path}/_draft/{consume_id}"
-    changes.repartitionByRange(*[col(name) for name in _ORDER]).sortWithinPartitions(*_ORDER).write.mode(
-        "overwrite"
-    ).parquet(draft)
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), _RANGES)
+    slot = F.conv(F.substring(col(ROW_ID), 1, 4), 16, 10).cast("bigint")
+    ranged = changes.repartitionById(parts, F.floor(slot * F.lit(parts) / F.lit(_RANGES)).cast("int"))
+    ranged.sortWithinPartitions(*_ORDER).write.mode("overwrite").parquet(draft)
     drafted = spark.read.schema(changes.schema).parquet(draft)
     rows = drafted.withColumns({"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")})
     # One row per draft file, of which there are no more than shuffle partitions.

@@ -53,16 +53,16 @@ def test_a_page_skips_the_rest_of_the_log(log):
 
 
 def test_many_files_are_numbered_in_order(spark, folder):
-    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        consume(feed(spark, 0, 5000), folder, 3, AT)
-        consume(feed(spark, 5000, 5100), folder, 4, AT + timedelta(days=1))
+        for n, parts in enumerate([37, 1, 200]):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            consume(feed(spark, n * 2000, n * 2000 + 2000), folder, n, AT + timedelta(days=n))
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     log = read_log(spark, folder)
     rows = {r[ROW_NUMBER]: r["k"] for r in log.collect()}
-    assert [rows[n] for n in range(5100)] == in_order(log)
+    assert [rows[n] for n in range(6000)] == in_order(log)
 
 
 @pytest.mark.parametrize("index,batch", [(0, 0), (99, 400), (2, 500), (99, 1100)])
