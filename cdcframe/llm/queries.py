@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cdcframe.llm import mixing, secrets, simhash
+from cdcframe.llm import licenses, mixing, secrets, simhash
 from cdcframe.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
 def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
@@ -24,10 +28,12 @@ def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op3_license_scan": op3_license_scan,
     "op5_sainte_lague_mix": op5_sainte_lague_mix,
     "op7_simhash_covering": op7_simhash_covering,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_license_scan": licenses.SQL,
     "op5_sainte_lague_mix": mixing.SQL,
 }
