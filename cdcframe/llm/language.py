@@ -44,7 +44,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def grams_of(word: str, length: int) -> list[str]:
-    padded = f" {word} "
+    padded = f" {word} " if length > 1 else word
     return [padded[i : i + length] for i in range(len(padded) - length + 1)]
 
 
