@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcframe.llm import language, licenses, mixing, quality, secrets, simhash, toxicity
+from cdcframe.llm import language, licenses, mixing, packing, quality, secrets, simhash, toxicity
 from cdcframe.llm.common import remainder, table
 
 
@@ -41,6 +41,10 @@ def op5_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+def op6_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op7_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_toxicity_lexicon": op4_toxicity_lexicon,
     "op5_sainte_lague_mix": op5_sainte_lague_mix,
+    "op6_first_fit_packing": op6_first_fit_packing,
     "op7_simhash_covering": op7_simhash_covering,
     "op8_language_backoff": op8_language_backoff,
 }
