@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from cdcframe.llm.common import cut
+from cdcframe.llm.common import cut, row_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 TIMES = 3
@@ -94,7 +94,7 @@ def mix(
 ) -> DataFrame:
     """Which words of which row the mix takes.
 
-    A row for each piece of a row of `docs`: the id, `digest` (MD5 of the text), `size`, `source_size`, `target`, `n`
+    A row for each piece of a row of `docs`: the id, `key` (of id and text), `size`, `source_size`, `target`, `n`
     (numbers the rows of a shard, so that (`place`, `shard`, `n`) is a row of `docs`), `start` and `end` of the piece in
     words, and `copies`, how often it is taken: 0 to `times`. A row without words has one piece with NULL bounds. NULL is
     a source like any other. Repeated rows are rows of their own. The result depends on ids, texts, sources and the seed
@@ -105,9 +105,10 @@ def mix(
         docs.select(
             F.col(id).alias("id"),
             F.col(source).alias("source"),
-            F.md5(F.col(text).cast("binary")).alias("digest"),
+            _digest(seed, F.col(id), F.md5(F.col(text).cast("binary"))).alias("order"),
+            row_key(id, text).alias("key"),
             n_words(text).alias("size"),
-        ).withColumn("order", _digest(seed, F.col("id"), F.col("digest")))
+        )
     )
     sources = targets(rows, weights, times)
     count = F.floor(F.sum("source_size").over(W.partitionBy()) / block_words + 0.5).cast("long")
@@ -148,7 +149,7 @@ def mix(
     )
     copies = F.expr("quota div n_blocks") + (drawn <= F.col("quota") % F.col("n_blocks")).cast("long")
     return pieces.withColumns(edges).select(
-        F.col("id").alias(id), "digest", "size", "source_size", "target", "place", "shard", "n",
+        F.col("id").alias(id), "key", "size", "source_size", "target", "place", "shard", "n",
         (F.greatest(F.col("begin"), F.col("lo")) - F.col("begin")).alias("start"),
         (F.least(F.col("end"), F.col("hi")) - F.col("begin")).alias("end"),
         F.when(F.col("block").isNotNull(), copies).otherwise(F.lit(0).cast("long")).alias("copies"),
@@ -173,19 +174,21 @@ def mixed_texts(docs: DataFrame, pieces: DataFrame, id: str = "doc_id", text: st
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
     spans = (
         pieces.filter((F.col("copies") > 0) & F.col("start").isNotNull())
-        .select(F.col(id).alias("_id"), F.col("digest").alias("_digest"), "place", "shard", "n", "start", "end", copy)
-        .groupBy("_id", "_digest", "place", "shard", "n", "copy")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+        .select(F.col("key").alias("_key"), "size", "place", "shard", "n", F.struct("start", "end").alias("span"), copy)
+        .groupBy("_key", "size", "place", "shard", "n", "copy")
+        .agg(
+            F.sort_array(F.collect_list("span")).alias("_spans"),
+            (F.sum(F.col("span.end") - F.col("span.start")) == F.col("size")).alias("_whole"),
+        )
+        .select("_key", "_spans", "_whole")
     )
     # Rows with the same id and text are one here; each of their copies comes back through its own spans.
-    keyed = docs.withColumn("_digest", F.md5(F.col(text).cast("binary"))).dropDuplicates([id, "_digest"])
-    same = F.col(id).eqNullSafe(F.col("_id")) & (keyed["_digest"] == spans["_digest"])
+    keyed = docs.withColumn("_key", row_key(id, text)).dropDuplicates(["_key"])
     words = F.regexp_extract_all(F.col(text), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    cut_text = F.array_join(
-        F.flatten(F.transform("spans", lambda s: F.slice("_words", s["start"] + 1, s["end"] - s["start"]))), ""
-    )
-    joined = spans.join(keyed, same).withColumn("_words", words).withColumn(text, cut_text)
-    return joined.select(*docs.columns)
+    part = F.flatten(F.transform("_spans", lambda s: F.slice("_words", s["start"] + 1, s["end"] - s["start"])))
+    joined = keyed.join(spans, "_key").withColumn("_words", F.when(~F.col("_whole"), words))
+    taken_text = F.when(F.col("_whole"), F.col(text)).otherwise(F.array_join(part, ""))
+    return joined.withColumn(text, taken_text).select(*docs.columns)
 
 
 SQL = f"""

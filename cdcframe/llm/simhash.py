@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcframe.llm.common import cut
+from cdcframe.llm.common import cut, row_key
 from cdcframe.llm.components import connected
 
 BITS = 64
@@ -41,17 +41,20 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """The id and `fingerprint` (bigint) of every row. A NULL or empty text has the fingerprint 0."""
+def fingerprints(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, keyed: bool = False
+) -> DataFrame:
+    """`id`, `key` (of id and text if `keyed`, else empty) and `fingerprint` (bigint) of every row. A NULL or empty text has the fingerprint 0."""
 
     def hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = pa.array([fingerprint(value, shingle) for value in batch.column(1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["id", "fingerprint"])
+            values = pa.array([fingerprint(value, shingle) for value in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], values], names=["id", "key", "fingerprint"])
 
     kind = docs.schema[id].dataType.simpleString()
-    plain = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("text"))
-    return plain.mapInArrow(hash_batches, f"id {kind}, fingerprint bigint")
+    key = row_key(id, text) if keyed else F.lit("")
+    plain = docs.select(F.col(id).alias("id"), key.alias("key"), F.col(text).cast("binary").alias("text"))
+    return plain.mapInArrow(hash_batches, f"id {kind}, key string, fingerprint bigint")
 
 
 def covering_masks(radius: int, free: int = (1 << BITS) - 1) -> list[int]:
@@ -132,6 +135,17 @@ def near_links(distinct: DataFrame, radius: int = 4, bucket_rows: int = 4096) ->
     return small.union(gathered(again)).distinct()
 
 
+def _firsts(rows: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
+    """For each `fingerprint` the `first` row (id, NULL last, then key) of its component."""
+    own = F.min(F.struct(F.col("id").isNull().alias("lost"), "id", "key"))
+    distinct = cut(rows.groupBy("fingerprint").agg(own.alias("own")))
+    roots = connected(near_links(distinct.select("fingerprint"), radius, bucket_rows))
+    members = roots.union(roots.select("root", "root").distinct())
+    firsts = members.join(distinct, F.col("node") == F.col("fingerprint")).groupBy("root").agg(F.min("own").alias("first"))
+    linked = members.join(firsts, "root").select(F.col("node").alias("fingerprint"), "first")
+    return distinct.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("first", "own").alias("first"))
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, bucket_rows: int = 4096
 ) -> DataFrame:
@@ -143,15 +157,18 @@ def near_duplicates(
     other than the id and the text are not carried.
     """
     rows = cut(fingerprints(docs, id, text, shingle))
-    distinct = cut(rows.groupBy("fingerprint").agg(F.min("id").alias("first")))
-    roots = connected(near_links(distinct.select("fingerprint"), radius, bucket_rows))
-    ends = roots.select("root").distinct().select(F.col("root").alias("node"), "root")
-    linked = roots.union(ends).join(distinct, F.col("node") == F.col("fingerprint"))
-    least = linked.groupBy("root").agg(F.min("first").alias("component"))
-    component = roots.union(ends).join(least, "root").select(F.col("node").alias("fingerprint"), "component")
-    named = distinct.join(component, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("component", "first").alias("component_id")
-    )
-    return rows.join(named, "fingerprint").select(
-        F.col("id").alias(id), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    return rows.join(_firsts(rows, radius, bucket_rows), "fingerprint").select(
+        F.col("id").alias(id),
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("first.id").alias("component_id"),
     )
+
+
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, bucket_rows: int = 4096
+) -> DataFrame:
+    """One row of each component, that with the smallest id, with all its columns. Of rows that repeat id and text, one."""
+    rows = cut(fingerprints(docs, id, text, shingle, keyed=True))
+    chosen = _firsts(rows, radius, bucket_rows).select(F.col("first.key").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", row_key(id, text))
+    return keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)

@@ -67,7 +67,7 @@ def test_components_equal_all_pairs(spark, bucket_rows):
 def test_spark_hashes_alike(spark):
     df = spark.createDataFrame([(1, "Äb c\td")], "doc_id bigint, text string")
     assert df.selectExpr("xxhash64('Äb c d') as h").first()[0] % 2**64 == xxhash.xxh64_intdigest("Äb c d".encode(), 42)
-    assert simhash.fingerprints(df).first()[1] % 2**64 == xxhash.xxh64_intdigest("Äb c d".encode(), 42)
+    assert simhash.fingerprints(df).first()["fingerprint"] % 2**64 == xxhash.xxh64_intdigest("Äb c d".encode(), 42)
 
 
 def test_masks_cover_every_pair():
@@ -89,6 +89,21 @@ def test_no_rows_and_other_columns(spark):
     assert [row["component_id"] for row in simhash.near_duplicates(clash).collect()] == [3]
 
 
+def test_one_of_each_group_stays(spark):
+    rows = near_texts(6) + [(900, None), (901, ""), (7, "w1 w2"), (7, "w1 w2"), (7, "other words"), (None, "lost id"), (None, "lost id")]
+    df = spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], "doc_id bigint, text string, fingerprint int")
+    kept = simhash.keep_one(df, bucket_rows=3)
+    assert kept.columns == df.columns
+    parent = brute_components([(i, text) for i, (_, text) in enumerate(rows)])
+    groups = {}
+    for i, _, component in parent:
+        groups.setdefault(component, []).append(i)
+    order = lambda i: (rows[i][0] is None, rows[i][0] or 0)
+    least = sorted((order(min(group, key=order)) for group in groups.values()))
+    assert sorted((row["doc_id"] is None, row["doc_id"] or 0) for row in kept.collect()) == least
+    assert simhash.keep_one(df.limit(0)).collect() == []
+
+
 def test_dense_bucket_is_not_paired(spark):
     """A chain of fingerprints one bit apart in one bucket: links grow with the members."""
     values = [(i ^ (i >> 1),) for i in range(3000)]  # neighbours differ in one bit
