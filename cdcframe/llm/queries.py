@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcframe.llm import language, licenses, mixing, packing, quality, secrets, simhash, toxicity
+from cdcframe.llm import language, licenses, mixing, packing, quality, secrets, simhash, topk, toxicity
 from cdcframe.llm.common import remainder, table
 
 
@@ -56,6 +56,10 @@ def op8_language_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_language(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_compression": op2_quality_compression,
@@ -65,9 +69,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_first_fit_packing": op6_first_fit_packing,
     "op7_simhash_covering": op7_simhash_covering,
     "op8_language_backoff": op8_language_backoff,
+    "op9_exact_top_k": op9_exact_top_k,
 }
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.SQL,
     "op5_sainte_lague_mix": mixing.SQL,
+    "op9_exact_top_k": topk.SQL,
 }
