@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcframe.llm import language, licenses, mixing, packing, quality, secrets, simhash, topk, toxicity
+from cdcframe.llm import language, licenses, mixing, neighbours, packing, quality, secrets, simhash, topk, toxicity
 from cdcframe.llm.common import remainder, table
 
 
@@ -60,6 +60,10 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_compression": op2_quality_compression,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_covering": op7_simhash_covering,
     "op8_language_backoff": op8_language_backoff,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_nn_descent": op10_nn_descent,
 }
 
 ORACLES: dict[str, str] = {
