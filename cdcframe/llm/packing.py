@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -20,31 +22,92 @@ CAPACITY = 2048
 GROUP_DOCS = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a Python worker remembers before it starts anew.
-MEMO = 300_000
+#: Words whose ids a Python worker remembers; half of them, the older ones, are then given up.
+MEMO = 800_000
+#: Bytes of text that are encoded at a time.
+CHUNK_BYTES = 1 << 20
 
 
 class Encoder:
-    """Ids of whole texts. White space separates words for this tokenizer, so each distinct word is encoded once."""
+    """Ids of whole texts. White space separates words for this tokenizer, so each distinct word is encoded once.
+
+    `encode` gives the ids of each UTF-8 text and the end id, as little-endian unsigned numbers of `width` bytes.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are parallel already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        out: list[bytes] = []
+        end, at = END_ID.to_bytes(self.width, "little"), 0
+        while at < len(texts):
+            size, stop = 0, at
+            while stop < len(texts) and size < CHUNK_BYTES:
+                size, stop = size + len(texts[stop] or b""), stop + 1
+            if len(self.new) > MEMO // 2:
+                self.old, self.new = self.new, {}
+            words = [self._words(text) for text in texts[at:stop]]
+            found = [list(map(self.new.get, some)) for some in words]
+            self._learn(set(chain.from_iterable(compress(some, map(not_, ids)) for some, ids in zip(words, found))))
+            out += [b"".join(map(self.new.__getitem__, some) if None in ids else ids) + end for some, ids in zip(words, found)]
+            at = stop
+        return out
+
+    @staticmethod
+    def _words(text: bytes | None) -> list[bytes]:
+        """Parts of a text that are encoded alike alone. On bytes, both methods know ASCII only.
+
+        The tokenizer composes letters and marks before it lowers them, and looks for special tokens before either, so a
+        text with such signs is left as it is.
+        """
+        text = text or b""
+        return (text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()).split()
+
+    def _bytes(self, ids) -> bytes:
+        return np.asarray(ids, f"<u{self.width}").tobytes()
 
-    def encode(self, text: bytes | None) -> bytes:
-        """The ids of a UTF-8 text and the end id, as little-endian unsigned 32-bit numbers."""
-        words = (text or b"").split()  # on bytes: ASCII white space only
-        memo = self.memo
-        if missing := [word for word in set(words) if word not in memo]:
-            if len(memo) + len(missing) > MEMO:
-                memo.clear()
-                missing = list(set(words))
-            found = self.tokenizer.encode_batch([word.decode() for word in missing], add_special_tokens=False)
-            memo.update((word, np.array(e.ids, "<u4").tobytes()) for word, e in zip(missing, found))
-        return b"".join(map(memo.__getitem__, words)) + END_ID.to_bytes(4, "little")
+    def _learn(self, missing: set[bytes]) -> None:
+        old, new, marked, plain, other = self.old, self.new, [], set(), []
+        for word in missing:
+            if (known := old.get(word)) is not None:
+                new[word] = known
+                continue
+            base = word[:-1] if word[-1:] in (b",", b".") else word
+            if not (base.isalpha() and base.islower()):
+                letters = base.decode()
+                if not letters.isalpha() or letters != letters.lower():
+                    other.append(word)
+                    continue
+            if base is not word:  # letters and the mark after them are separate tokens
+                marked.append(word)
+            if base not in new:
+                if (known := old.get(base)) is not None:
+                    new[base] = known
+                else:
+                    plain.add(base)
+        singles = other + ([b",", b"."] if marked and b"," not in new else [])
+        if plain:
+            words = list(plain)
+            ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(words):  # each run of letters is one word for the tokenizer
+                data, edges = self._bytes(ids), [0, *(stops * self.width).tolist()]
+                new.update((word, data[a:b]) for word, a, b in zip(words, edges, edges[1:]))
+            else:
+                singles += words
+        if singles:
+            found = self.tokenizer.encode_batch([word.decode() for word in singles], add_special_tokens=False)
+            new.update((word, self._bytes(e.ids)) for word, e in zip(singles, found))
+        new.update((word, new[word[:-1]] + new[word[-1:]]) for word in marked)
 
 
 @lru_cache(maxsize=2)
@@ -152,15 +215,17 @@ def pack(
     def encode(batches):
         encoder = _encoder(tokenizer)
         for batch in batches:
-            ids = pa.array([encoder.encode(value) for value in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, batch.column(2)], names=["id", "ids", "number"])
+            ids = pa.array(encoder.encode(batch.column(1).to_pylist()), pa.binary())
+            width = pa.array(np.full(batch.num_rows, encoder.width, np.int32))
+            columns = [batch.column(0), ids, batch.column(2), width]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "number", "width"])
 
     def pack_group(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         order = np.argsort(table["number"].to_numpy(), kind="stable")  # the same whatever way the rows came
         table = table.take(pa.array(order))
-        ids, group = table["ids"], int(table["group"][0].as_py())
-        lengths = (np.array([len(value.as_buffer()) for value in ids]) // 4).tolist()
+        ids, group, width = table["ids"].to_pylist(), table["group"][0].as_py(), table["width"][0].as_py()
+        lengths = [len(value) // width for value in ids]
         rows = []
         for number, pieces in enumerate(plan_group(lengths, capacity)):
             offset = 0
@@ -168,7 +233,8 @@ def pack(
                 rows.append((doc, start, n, lengths[doc], (group << 32) + number, offset))
                 offset += n
         docs_, *columns = (pa.array(column, pa.int64()) for column in zip(*rows))
-        cut = [ids[row[0]].as_buffer().slice(4 * row[1], 4 * row[2]).to_pybytes() for row in rows]
+        kind_ = f"<u{width}"
+        cut = [np.frombuffer(ids[doc], kind_, n, width * start).astype("<u4").tobytes() for doc, start, n, *_ in rows]
         start, length, doc_tokens, sequence, offset = columns
         return pa.table(
             [table["id"].take(docs_), start, length, pa.array(cut, pa.binary()), doc_tokens, sequence, offset],
@@ -178,7 +244,7 @@ def pack(
     numbered = docs.select(
         F.col(id).alias("id"), F.col(text).cast("binary").alias("text"), F.monotonically_increasing_id().alias("number")
     )
-    encoded = numbered.mapInArrow(encode, f"id {kind}, ids binary, number bigint")
+    encoded = numbered.mapInArrow(encode, f"id {kind}, ids binary, number bigint, width int")
     grouped = encoded.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "number"), F.lit(groups)))
     schema = (
         f"`{id}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -19,17 +20,17 @@ def tokenizer():
 
 def random_text(rng):
     parts = ["Hello", "world's", " ", "\n", "\t", "é", "é", "́", "ΣΑΣ", "Σ", " ", "\x1c", " ", "<|endoftext|>",
-             "123", "!!", "don't", "<|start", "oftext|>", "日本", "🙂", "İ", "\x0b", "\x85", "ab" * 40, "≠"]
+             "123", "!!", "don't", "<|start", "oftext|>", "日本", "🙂", "İ", "J\u030c", "j\u030c", "T\u0308", "x,", "Straße.", "été,", "ÉTÉ.", "ab.,", "<|ENDOFTEXT|>", ",", "ﬁ", "ǅ", "\x0b", "\x85", "ab" * 40, "≠"]
     return "".join(rng.choice(parts) for _ in range(rng.randrange(60)))
 
 
 def test_word_by_word_equals_whole_texts(tokenizer):
     rng = random.Random(3)
     encoder = packing._encoder(None)
-    for _ in range(2000):
-        text = random_text(rng)
+    texts = [random_text(rng) for _ in range(3000)]
+    for text, got in zip(texts, encoder.encode([text.encode() for text in texts])):
         want = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
-        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == want, repr(text)
+        assert np.frombuffer(got, "<u2").tolist() == want, repr(text)
 
 
 def test_memo_is_bounded(monkeypatch, tokenizer):
@@ -38,7 +39,15 @@ def test_memo_is_bounded(monkeypatch, tokenizer):
     for n in (10, 30, 200, 5):
         text = " ".join(f"w{i}x" for i in range(n))
         want = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
-        assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == want
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u2").tolist() == want
+        assert len(encoder.new) <= 50 + n
+
+
+def test_given_texts(tokenizer):
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    encoder = packing._encoder(None)
+    for text, got in zip(texts, encoder.encode([text.encode() for text in texts])):
+        assert np.frombuffer(got, "<u2").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_first_fit_equals_plain_search():
