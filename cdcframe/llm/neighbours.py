@@ -71,8 +71,11 @@ def _best(a: np.ndarray, b: np.ndarray, sim: np.ndarray, keep: int) -> tuple[np.
 
 
 def _codes(column: pa.ChunkedArray) -> np.ndarray:
-    """Rows of unit length from vectors in eight bits."""
-    values = np.array([np.frombuffer(code, np.int8) for code in column.to_pylist()], np.float32)
+    """Rows of unit length from vectors in eight bits; shorter ones with zeros at their end."""
+    codes = column.to_pylist()
+    size = max(map(len, codes))
+    values = np.frombuffer(b"".join(code.ljust(size, b"\0") for code in codes), np.int8)
+    values = values.reshape(len(codes), size).astype(np.float32)
     return values / np.maximum(np.linalg.norm(values, axis=-1, keepdims=True), 1e-9)
 
 
@@ -255,7 +258,7 @@ def nearest(
                 codes.append(np.round(value / np.abs(value).max() * 127).astype(np.int8).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(codes, pa.binary())], names=["cell", "node", "code"])
 
-    celled = nodes.withColumn("cell", F.size("vector") * F.lit(cells) + part)
+    celled = nodes.withColumn("cell", (F.size("vector") * F.lit(cells) + part).cast("long"))
     coded = cut(celled.select("cell", "node", "vector").mapInArrow(encode, "cell bigint, node bigint, code binary"))
     edges = neighbour_graph(coded, -(-count[0] // cells), rounds)
 
@@ -265,7 +268,7 @@ def nearest(
     line = F.pmod(F.xxhash64(F.lit(4), "node"), F.lit(lines)).cast("int")
     sizes = F.size("vector") * F.lit(cells)
     askers = celled.filter("asks").select("node", "vector", line.alias("line"), every(cells).alias("part"), sizes.alias("base"))
-    askers = askers.select(F.col("node").alias("asker"), F.col("vector").alias("wanted"), "line", (F.col("base") + F.col("part")).alias("cell"))
+    askers = askers.select(F.col("node").alias("asker"), F.col("vector").alias("wanted"), "line", (F.col("base") + F.col("part")).cast("long").alias("cell"))
 
     def search(asking: pa.Table, given: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []
