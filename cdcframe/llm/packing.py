@@ -23,7 +23,7 @@ GROUP_DOCS = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers; half of them, the older ones, are then given up.
-MEMO = 800_000
+MEMO = 400_000
 #: Bytes of text that are encoded at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -97,7 +97,7 @@ class Encoder:
         singles = other + ([b",", b"."] if marked and b"," not in new else [])
         if plain:
             words = list(plain)
-            ids = np.array(self.tokenizer.encode(b" ".join(words).decode(), add_special_tokens=False).ids)
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(words).decode()], add_special_tokens=False)[0].ids)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(words):  # each run of letters is one word for the tokenizer
                 data, edges = self._bytes(ids), [0, *(stops * self.width).tolist()]
@@ -105,7 +105,7 @@ class Encoder:
             else:
                 singles += words
         if singles:
-            found = self.tokenizer.encode_batch([word.decode() for word in singles], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([word.decode() for word in singles], add_special_tokens=False)
             new.update((word, self._bytes(e.ids)) for word, e in zip(singles, found))
         new.update((word, new[word[:-1]] + new[word[-1:]]) for word in marked)
 
