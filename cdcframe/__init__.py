@@ -48,6 +48,7 @@ __all__ = [
     "merge_into",
     "merge_stats",
     "net_changes",
+    "next_consume",
     "number_batches",
     "parse_position",
     "payload_json",
@@ -57,6 +58,7 @@ __all__ = [
     "record_key",
     "render",
     "replicate",
+    "require_unique",
     "resume_snapshot",
     "route",
     "route_inserts",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -48,4 +49,8 @@ def literal(value: Any, dtype: T.DataType) -> Column:
     """
     if isinstance(dtype, T.TimestampNTZType) and isinstance(value, datetime):
         value = value.isoformat(sep=" ")
+    if isinstance(value, Decimal) and isinstance(dtype, (T.FloatType, T.DoubleType)):
+        value = float(value)  # the nearest double, as it was written
+    if isinstance(value, Decimal):
+        return F.lit(format(value, "f")).cast(dtype)  # as text, so that no digit is lost
     return F.lit(value).cast(dtype)

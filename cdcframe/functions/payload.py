@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,7 +90,7 @@ def parse_position(text: str | None) -> Position | None:
     """The position in a saved text; nothing saved means a fresh start."""
     if text is None:
         return None
-    saved = json.loads(text)
+    saved = json.loads(text, parse_float=Decimal)
     kind = saved.get("IteratorType")
     if kind not in (SNAPSHOT_POSITION, CHANGE_POSITION):
         raise ValueError(f"unknown position kind {kind!r}")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcframe.functions.columns import column_list
+from cdcframe.functions.columns import col, column_list
 from cdcframe.functions.types import logical_type
-from cdcframe.operators.infer import collect_types
 from cdcframe.operators.shape import REMOVE
 
 OK = "ok"
@@ -50,9 +50,20 @@ def schema_report(
     columns accepts anything. A batch that starts with a delete needs only its keys in the target; if
     they are not there, its columns must be, but the target may have more.
     """
-    rows = _verdicts(collect_types(batch_types), target, column_list(keys), first_operation)
-    report = "column string, batch_type string, target_type string, verdict string"
-    return batch_types.sparkSession.createDataFrame(rows, report)
+    spark, keys = batch_types.sparkSession, column_list(keys)
+    fields = [(field.name.lower(), logical_type(field.dataType)) for field in target]
+    theirs = spark.createDataFrame(fields, "column string, target_type string")
+    ours = batch_types.select(F.lower("field").alias("column"), col("logical_type").alias("batch_type"))
+    starts_with_delete = first_operation == REMOVE
+    waived = not fields or (starts_with_delete and {key.lower() for key in keys} <= {name for name, _ in fields})
+    verdict = (
+        F.when(F.lit(waived), OK)
+        .when(col("target_type").isNull(), "missing in target")
+        .when(col("batch_type").isNull(), OK if starts_with_delete else "missing in batch")
+        .when(col("batch_type") == col("target_type"), OK)
+        .otherwise("type differs")
+    )
+    return ours.join(theirs, "column", "full").select("column", "batch_type", "target_type", verdict.alias("verdict"))
 
 
 def check_schema(

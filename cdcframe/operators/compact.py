@@ -48,16 +48,18 @@ def late_updates(
 ) -> DataFrame:
     """The updates `compact` passes over: not read later than every earlier update of their key.
 
-    Needs the running maximum of the read time per key. The sequence is cut into stretches of about
-    `rows_per_stretch` records, the maximum runs within (key, stretch), and the maxima of the earlier
+    Needs the running maximum of the read time per key. The sequence is cut at its quantiles into stretches of
+    about `rows_per_stretch` records, the maximum runs within (key, stretch), and the maxima of the earlier
     stretches of a key are carried in, so that no key is sorted by one task.
     """
     keys = column_list(keys)
     updates = checked_batch(batch, keys).filter(col(OPERATION) == UPDATE)
-    span = updates.agg(F.min(SEQ), F.max(SEQ), F.count(F.lit(1))).first()
-    stretches = max(1, math.ceil(span[2] / rows_per_stretch))
-    low, width = (span[0] or 0), ((span[1] or 0) - (span[0] or 0)) // stretches + 1
-    updates = updates.withColumn("_stretch", F.floor((col(SEQ) - F.lit(low)) / F.lit(width)))
+    # Cut by counts, not by width: the edges are quantiles of the sequence, a few numbers for each stretch.
+    count = updates.count()
+    shares = [n * rows_per_stretch / count for n in range(1, math.ceil(count / rows_per_stretch))]
+    edges = updates.approxQuantile(SEQ, shares, min(0.01, rows_per_stretch / (8 * max(count, 1)))) if shares else []
+    edges = F.array(*[F.lit(int(edge)).cast("bigint") for edge in sorted(set(edges))]).cast("array<bigint>")
+    updates = updates.withColumn("_stretch", F.size(F.filter(edges, lambda edge: edge < col(SEQ))))
 
     by = [*keys, "_stretch"]
     peaks = updates.groupBy(*by).agg(F.max(READ_AT).alias("_peak"))

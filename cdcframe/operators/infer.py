@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 from cdcframe.functions.columns import checked, col
 from cdcframe.functions.types import spark_type
-
-_MAX_FIELDS = 10_000
+from cdcframe.operators.shape import payload_side
 
 # Logical types by Avro logical type, and by Avro type where there is none.
 AVRO_LOGICAL_TYPES = {
@@ -112,10 +111,8 @@ def avro_fields(batch: DataFrame, metadata_key: str = "avro.schema") -> DataFram
 
 
 def collect_types(types: DataFrame) -> dict[str, str]:
-    """The logical type of each field, on the driver. A table has few enough columns for that."""
-    rows = types.select("field", "logical_type").distinct().limit(_MAX_FIELDS + 1).collect()
-    if len(rows) > _MAX_FIELDS:
-        raise ValueError(f"more than {_MAX_FIELDS} different fields: not the rows of a table")
+    """The logical type of each field, on the driver: it is to become a schema, which is there anyway."""
+    rows = types.select("field", "logical_type").distinct().collect()
     found: dict[str, str] = {}
     for field, logical in sorted(rows):
         if found.setdefault(field, logical) != logical:
@@ -124,15 +121,20 @@ def collect_types(types: DataFrame) -> dict[str, str]:
 
 
 def infer_schema(
-    batch: DataFrame, mode: str = "batch", payload: str = "after", seq: str = "seq", avro_key: str | None = None
+    batch: DataFrame, mode: str = "batch", payload: str | None = None, seq: str = "seq", avro_key: str | None = None
 ) -> T.StructType:
     """The payload schema of a batch of JSON records, with its fields in order of name.
 
-    `first` looks at the first record only, `batch` at all of them. With `avro_key`, the types come from
+    A record's payload is the side that goes by its operation (`before` for a delete), unless a column is
+    named. `first` looks at the first record only, `batch` at all of them. With `avro_key`, the types come from
     the Avro schemas under that key of the metadata instead of from the payloads.
     """
     if mode not in ("first", "batch"):
         raise ValueError(f"mode must be 'first' or 'batch', not {mode!r}")
+    if payload is None and not avro_key:
+        payload = "_payload"
+        side = payload_side(batch) if {"operation", "before"} <= set(batch.columns) else col("after")
+        batch = batch.withColumn(payload, side)
     source = "metadata" if avro_key else payload
     if mode == "first":
         batch = first_record(batch, source, seq)

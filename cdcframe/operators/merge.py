@@ -6,12 +6,12 @@ from collections.abc import Iterable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cdcframe.functions.columns import col, require
 from cdcframe.operators.render import Bookkeeping
-from cdcframe.operators.shape import CREATE, REMOVE, SNAPSHOT, UPDATE
+from cdcframe.operators.shape import CREATE, OPERATIONS, REMOVE, SNAPSHOT, UPDATE
 
 _OLD = "_old"
 _NEW = "_new"
@@ -48,7 +48,7 @@ def merge(
     changes: DataFrame,
     keys: str | Iterable[str],
     prefix: str = "cdc",
-    small_changes: bool = False,
+    affected: Observation | None = None,
 ) -> DataFrame:
     """The target after the changes, which hold at most one row per key.
 
@@ -56,8 +56,7 @@ def merge(
     update            overwrites all but the created time, or inserts the row; a deleted row comes back
     delete            sets only the operation and the deleted time; an unknown key gets a tombstone
 
-    A NULL key matches nothing. The general form shuffles both sides by key. With `small_changes` the
-    target stays where it is and the changes go to every task; pass it only after checking their size.
+    A NULL key matches nothing. `affected` takes the counts of `affected_counts` when the result is computed. Both sides are shuffled by key, unless they lie that way already.
     """
     keys, book = require(target, keys, "key column"), Bookkeeping(prefix)
     names = target.columns
@@ -68,13 +67,25 @@ def merge(
     new = changes.select(
         *[col(key) for key in keys], *[col(name).alias(_NEW + name) for name in rest], F.lit(True).alias(_NEW)
     )
-    if not small_changes:
-        return old.join(new, keys, "full").select(*rules)
-    merged = old.join(F.broadcast(new), keys, "left").select(*rules)
-    # Keys are unique in the target, so there are no more hits than changes.
-    hits = target.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
-    fresh = changes.select(*names).join(F.broadcast(hits), keys, "left_anti")
-    return merged.unionByName(fresh)
+    joined = old.join(new, keys, "full")
+    if affected is not None:
+        joined = joined.observe(affected, *affected_counts(_new(book.operation), col(_OLD).isNotNull()))
+    return joined.select(*rules)
+
+
+def affected_counts(operation: Column, matched: Column) -> list[Column]:
+    """A count of changes for each operation, with and without a row of the same key: see `affected_rows`."""
+    return [
+        F.count_if((operation == name) & (matched if found else ~matched)).alias(f"{name}_{found}".lower())
+        for name in OPERATIONS
+        for found in (True, False)
+    ]
+
+
+def affected_rows(counts: dict[str, int]) -> dict[tuple[str, bool], int]:
+    """Rows affected by operation and whether the key was there before, without zeros."""
+    named = {(name, found): counts.get(f"{name}_{found}".lower(), 0) for name in OPERATIONS for found in (True, False)}
+    return {key: count for key, count in named.items() if count}
 
 
 def merge_into(changes: DataFrame, table: str, keys: str | Iterable[str], prefix: str = "cdc") -> None:

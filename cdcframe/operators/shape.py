@@ -28,7 +28,7 @@ ENVELOPE = [SEQ, OPERATION, READ_AT]
 
 def collapse_pairs(log: DataFrame) -> DataFrame:
     """The log without the old-image half of update pairs."""
-    return log.filter(~((col(ACTION) == DELETE) & col(IS_UPDATE)))
+    return log.filter(~F.coalesce((col(ACTION) == DELETE) & col(IS_UPDATE), F.lit(False)))
 
 
 def classify(log: DataFrame, name: str = "operation") -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcframe.files import Files
-from cdcframe.functions.columns import col
+from cdcframe.functions.columns import MissingColumn, col, column_list
+from cdcframe.functions.types import logical_type, spark_type
 from cdcframe.operators.check import SchemaMismatch, check_schema
 from cdcframe.operators.compact import compact
-from cdcframe.operators.infer import infer_schema
+from cdcframe.operators.infer import collect_types, field_types, infer_schema
 from cdcframe.operators.merge import merge
 from cdcframe.operators.render import Bookkeeping, render
 from cdcframe.operators.shape import ENVELOPE, OPERATION, REMOVE, SEQ, flatten_records
@@ -37,6 +38,25 @@ def record_schema(records: DataFrame, mode: str = "batch", avro_key: str | None
     return infer_schema(records, mode, avro_key=avro_key) if isinstance(after, T.StringType) else after
 
 
+def _fitted(inferred: T.StructType, table: TargetTable | None, records: DataFrame, keys: list[str]) -> T.StructType:
+    """An inferred schema made to fit: what is NULL throughout has the type that the table gives it, and keys that no
+    payload shows have that of the table, or else what their own JSON has."""
+    known = {field.name.lower(): field for field in (table.schema if table else [])}
+    fields = {field.name.lower(): field for field in inferred}
+    for name, field in fields.items():
+        if name in known and logical_type(field.dataType) in ("variant", logical_type(known[name].dataType)):
+            fields[name] = T.StructField(field.name, known[name].dataType)
+    missing = [key for key in keys if key.lower() not in fields]
+    if missing and not all(key.lower() in known for key in missing):
+        found = collect_types(field_types(records, "key"))
+        known |= {name.lower(): T.StructField(name, spark_type(logical)) for name, logical in found.items()}
+    for key in missing:
+        if key.lower() not in known:
+            raise MissingColumn(f"key column not found: {key}")
+        fields[key.lower()] = T.StructField(key, known[key.lower()].dataType)
+    return T.StructType(list(fields.values()))
+
+
 @dataclass(frozen=True)
 class Applied:
     """The outcome of a batch: the commit and how many records were taken in."""
@@ -121,15 +141,17 @@ def apply_records(
 ) -> TargetTable:
     """Apply change records to the table at a path, which is created by the first batch.
 
-    The schema of JSON payloads is inferred unless given. `options` go to `apply_to_table`.
+    The schema of JSON payloads is inferred unless given; a column of NULLs, and the keys of a batch of deletes, have the
+    types of the table. `options` go to `apply_to_table`.
     """
-    spark = records.sparkSession
+    spark, keys = records.sparkSession, column_list(keys)
+    table = TargetTable.open(spark, table_path) if TargetTable.exists(spark, table_path) else None
     if schema is None:
         schema = record_schema(records, mode, avro_key)
+        if isinstance(records.schema["after"].dataType, T.StringType):
+            schema = _fitted(schema, table, records, keys)
     batch = flatten_records(records, keys, schema)
-    if TargetTable.exists(spark, table_path):
-        table = TargetTable.open(spark, table_path)
-    else:
+    if table is None:
         table = TargetTable.create(spark, table_path, _payload_schema(batch), keys, buckets, prefix)
     apply_to_table(table, batch, batch_id, **options)
     return table

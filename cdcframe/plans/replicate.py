@@ -8,14 +8,25 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcframe.functions.columns import col, literal
-from cdcframe.functions.payload import CHANGE_POSITION, SNAPSHOT_POSITION, json_value, position_json
+from cdcframe.functions.columns import col, column_list, literal, require
+from cdcframe.functions.payload import CHANGE_POSITION, SNAPSHOT_POSITION, Position, json_value, position_json
 from cdcframe.operators.shape import SNAPSHOT, classify, collapse_pairs, to_records
 from cdcframe.plans.apply import apply_records
 from cdcframe.sinks.table import TargetTable
 from cdcframe.sources.feed import CONSUMED_AT, net_changes
-from cdcframe.sources.log import BATCH_ID, INDEX_IN_BATCH, ROW_NUMBER, consume, number_batches, payload_columns, read_log
-from cdcframe.sources.scan import high_watermark_value, snapshot
+from cdcframe.sources.log import (
+    BATCH_ID,
+    INDEX_IN_BATCH,
+    ROW_NUMBER,
+    consume,
+    next_consume,
+    number_batches,
+    payload_columns,
+    read_log,
+)
+from cdcframe.sources.scan import high_watermark_value, key_columns, snapshot
+
+_WRITER = "replicate"
 
 
 def micros(at: datetime) -> int:
@@ -28,20 +39,40 @@ def micros(at: datetime) -> int:
 def snapshot_records(
     df: DataFrame,
     ordering: str,
-    keys: str | Iterable[str],
+    keys: str | Iterable[str] | None,
     table: str,
     read_at: datetime,
     columns: Iterable[str] | None = None,
     as_json: bool = True,
+    position: Position | None = None,
+    nulls: str = "error",
+    primary_keys: Iterable[str] = (),
 ) -> DataFrame:
-    """A whole bounded snapshot as records. All have the sequence 0: a key occurs once."""
-    maximum = high_watermark_value(df, ordering)
-    at = F.lit(micros(read_at)).cast("bigint")
+    """A bounded snapshot as records, whole or from a saved position on.
+
+    With a position, the maximum is the one it holds and the records after it are those that were not done. Without
+    keys, the primary keys, or else the ordering column, key the records. A NULL ordering value fails the query;
+    `nulls` can also be `keep`, for which such rows belong to a snapshot from its start, or `drop`. All records have
+    the sequence 0: a key occurs once, see `require_unique`.
+    """
+    if position is not None and position.kind != SNAPSHOT_POSITION:
+        raise ValueError("the saved position is not one of a snapshot")
+    keys = key_columns(column_list(keys or []), primary_keys, ordering)
     kind = df.schema[ordering].dataType
+    maximum = high_watermark_value(df, ordering) if position is None else position.maximum
+    at = F.lit(micros(read_at)).cast("bigint")
     last, top = json_value(col(ordering), kind), json_value(literal(maximum, kind), kind)
-    position = position_json(SNAPSHOT_POSITION, last, top, time=F.timestamp_micros(at))
-    rows = snapshot(df, ordering, maximum)
-    return to_records(rows, SNAPSHOT, keys, table, at, position, F.lit(0).cast("bigint"), columns, as_json)
+    saved = position_json(SNAPSHOT_POSITION, last, top, time=F.timestamp_micros(at))
+    rows = snapshot(df, ordering, maximum, None if position is None else position.last, nulls=nulls)
+    return to_records(rows, SNAPSHOT, keys, table, at, saved, F.lit(0).cast("bigint"), columns, as_json)
+
+
+def require_unique(df: DataFrame, keys: str | Iterable[str]) -> None:
+    """Raise if a key occurs twice: the snapshot of such a table has no one row for it. Only keys are shuffled."""
+    keys = require(df, keys, "key column")
+    twice = df.groupBy(*[col(key) for key in keys]).count().filter(F.col("count") > 1).first()
+    if twice is not None:
+        raise ValueError(f"the key ({', '.join(keys)}) = {tuple(twice)[:-1]} occurs {twice[-1]} times")
 
 
 def change_records(batches: DataFrame, keys: str | Iterable[str], table: str, as_json: bool = True) -> DataFrame:
@@ -66,7 +97,7 @@ def snapshot_then_changes(snapshots: DataFrame, changes: DataFrame) -> DataFrame
 def replicate(
     old: DataFrame,
     new: DataFrame,
-    keys: str | Iterable[str],
+    keys: str | Iterable[str] | None,
     ordering: str,
     name: str,
     table_path: str,
@@ -75,16 +106,26 @@ def replicate(
     consumed_at: datetime,
     batch_size: int = 1000,
     with_snapshot: bool = True,
+    nulls: str = "error",
+    primary_keys: Iterable[str] = (),
+    consume_id: int | None = None,
     **options,
 ) -> TargetTable:
-    """Bring a target table from nothing through version `old` of a source table to version `new`.
+    """Bring a target table from version `old` of a source table to version `new`, by way of the change log.
 
-    First a snapshot of the old version, unless it is left out, then the changes to the new one, by way
-    of the change log.
+    The first time, and unless it is left out, a snapshot of the old version comes before the changes. Later calls
+    over the same table and log carry on: from `new` to a still later version and so on. Each adds a consume to the
+    log and applies what that consume holds. To repeat a call that failed after its consume, give the `consume_id`
+    it had (`next_consume` tells before a call), so that its changes are not added twice.
     """
-    if with_snapshot:
-        records = snapshot_records(old, ordering, keys, name, snapshot_at, as_json=False)
-        apply_records(table_path, records, keys, batch_id=0, **options)
-    consume(net_changes(old, new, keys), log_path, 0, consumed_at)
-    log = number_batches(read_log(old.sparkSession, log_path), batch_size)
-    return apply_records(table_path, change_records(log, keys, name, as_json=False), keys, batch_id=1, **options)
+    spark = old.sparkSession
+    keys = key_columns(column_list(keys or []), primary_keys, ordering)
+    consume_id = next_consume(spark, log_path) if consume_id is None else consume_id
+    if with_snapshot and not TargetTable.exists(spark, table_path):
+        require_unique(old, keys)
+        records = snapshot_records(old, ordering, keys, name, snapshot_at, as_json=False, nulls=nulls)
+        apply_records(table_path, records, keys, batch_id=0, writer=_WRITER, **options)
+    consume(net_changes(old, new, keys), log_path, consume_id, consumed_at)
+    log = number_batches(read_log(spark, log_path, consume_id), batch_size)
+    records = change_records(log, keys, name, as_json=False)
+    return apply_records(table_path, records, keys, batch_id=consume_id + 1, writer=_WRITER, **options)

@@ -18,22 +18,20 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcframe.files import Files
 from cdcframe.functions.columns import col, column_list
-from cdcframe.operators.merge import merge
+from cdcframe.operators.merge import affected_counts, affected_rows, merge
 from cdcframe.operators.render import Bookkeeping
 
 # Folder columns; a table cannot have columns of these names.
 _VERSION = "_cdc_version"
 _BUCKET = "_cdc_bucket"
-SMALL_CHANGES_BYTES = 32 * 1024 * 1024
-_ROW_OVERHEAD = 64
 
 
 @dataclass(frozen=True)
@@ -44,6 +42,8 @@ class Commit:
     changes: int = 0
     buckets: int = 0
     skipped: bool = False
+    #: Rows affected, by operation and whether their key was there before.
+    affected: dict[tuple[str, bool], int] = field(default_factory=dict)
 
 
 class TargetTable:
@@ -169,28 +169,34 @@ class TargetTable:
 
         facts = changes.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(self._bucket()).alias("buckets")).first()
         touched = sorted(facts["buckets"])
-        if touched:
-            self._write(changes, touched, _is_small(changes, facts["rows"]), commit)
+        affected = self._write(changes, touched, commit) if touched else {}
         manifest = json.loads(json.dumps(self._manifest))
         manifest["commit"] = commit
         manifest["versions"].update({str(bucket): commit for bucket in touched})
         if batch_id is not None:
             manifest["batches"][writer] = batch_id
         self._publish(manifest)
-        return Commit(commit, facts["rows"], len(touched))
-
-    def _write(self, changes: DataFrame, touched: list[int], small: bool, commit: int) -> None:
-        current = self._read(touched)
-        if not small:
-            # The join keeps this layout, so each bucket is written by one task after one shuffle.
-            partitions = min(self.buckets, 1 << (len(touched) - 1).bit_length())
-            current = current.repartition(partitions, *[col(key) for key in self.keys])
-            changes = changes.repartition(partitions, *[col(key) for key in self.keys])
-        merged = merge(current, changes, self.keys, self.prefix, small_changes=small)
+        return Commit(commit, facts["rows"], len(touched), affected=affected)
+
+    def _write(self, changes: DataFrame, touched: list[int], commit: int) -> dict[tuple[str, bool], int]:
+        """One file for each touched bucket, whatever the size of the batch.
+
+        A partition for each bucket of the table, so touched ones never meet in a task; the others are empty. The join
+        keeps this layout. Where no touched bucket has rows yet, there is nothing to join.
+        """
+        counts = Observation()
+        merged = changes.repartition(self.buckets, *[col(key) for key in self.keys])
+        if any(str(bucket) in self._manifest["versions"] for bucket in touched):
+            current = self._read(touched).repartition(self.buckets, *[col(key) for key in self.keys])
+            merged = merge(current, merged, self.keys, self.prefix, counts)
+        else:
+            operation = col(Bookkeeping(self.prefix).operation)
+            merged = merged.observe(counts, *affected_counts(operation, F.lit(False)))
         rows = merged.select(*self.schema.names, self._bucket().alias(_BUCKET))
         rows.write.mode("overwrite").option("compression", "zstd").partitionBy(_BUCKET).parquet(
             f"{self.path}/data/{_VERSION}={commit}"
         )
+        return affected_rows(counts.get)
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete the files that none of the last `keep` commits lists. Older readers lose theirs."""
@@ -212,16 +218,6 @@ class TargetTable:
             self._files.delete(_manifest_path(self.path, old))
 
 
-def _is_small(changes: DataFrame, rows: int) -> bool:
-    """Whether the changes surely fit a broadcast. They are measured only if their number allows it."""
-    overhead = _ROW_OVERHEAD + 8 * len(changes.columns)
-    if rows * overhead > SMALL_CHANGES_BYTES:
-        return False
-    # The JSON text of a row and 8 bytes per column are more than its values take.
-    text = F.sum(F.octet_length(F.to_json(F.struct(*[col(name) for name in changes.columns]))))
-    return changes.agg(text).first()[0] + rows * overhead <= SMALL_CHANGES_BYTES
-
-
 def _manifest_path(path: str, commit: int) -> str:
     return f"{path.rstrip('/')}/manifest/{commit:020d}.json"
 

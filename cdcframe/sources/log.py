@@ -1,6 +1,7 @@
 """The change log: an append-only parquet directory whose rows are numbered when they are written.
 
-Rows are numbered from 0 in the order (consume time, row id, is-update, action). The number is stored
+Rows are numbered from 0 in the order (consume time, digest of the row id, row id, is-update, action). The digest is
+taken here, so any row ids are spread evenly over tasks without a look at them first. The number is stored
 with the row, and each file holds a range of numbers, so that a page, a batch or the rest of the log
 after a position is a filter that skips the files and row groups outside it: nothing is sorted or
 shuffled to read the log, however far into it.
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcframe.files import Files
-from cdcframe.functions.columns import col
+from cdcframe.functions.columns import checked, col
 from cdcframe.functions.payload import CHANGE_POSITION, Position
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, METADATA, ROW_ID
 
@@ -22,8 +23,9 @@ ROW_NUMBER = "METADATA$ROW_NUMBER"
 BATCH_ID = "batch_id"
 INDEX_IN_BATCH = "index_in_batch"
 _CONSUME = "consume_id"
-_RANGES = 16**4
-_ORDER = [ROW_ID, IS_UPDATE, ACTION]
+_DIGEST = "_digest"
+_ORDER = [_DIGEST, ROW_ID, IS_UPDATE, ACTION]
+_DIGEST_RANGE = 16**8
 
 
 def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None = None) -> None:
@@ -32,10 +34,9 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     Consume ids go up with time. A consume writes its own directory, so repeating the last one after a
     failure replaces what the first attempt left behind and duplicates nothing; give `at` when repeating.
 
-    The changes are computed once, into draft files that follow the order of the row ids. These are hex
-    digests, as `net_changes` gives them, so their leading digits cut them into even ranges that need no
-    sampling. What is known of a row then is its file and its place there; the sizes of the files make
-    that a row number.
+    The changes are computed once, into draft files that follow the order of the digests, whose leading
+    digits cut them into even ranges that need no sampling. What is known of a row then is its file and its
+    place there; the sizes of the files make that a row number. A NULL row id fails the consume.
     """
     at = at or datetime.now(timezone.utc)
     if at.tzinfo is None:
@@ -48,10 +49,12 @@ def consume(changes: DataFrame, path: str, consume_id: int, at: datetime | None
     first = _next_number(spark, path, [n for n in earlier if n < consume_id])
 
     draft = f"{path}/_draft/{consume_id}"
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), _RANGES)
-    slot = F.conv(F.substring(col(ROW_ID), 1, 4), 16, 10).cast("bigint")
-    ranged = changes.repartitionById(parts, F.floor(slot * F.lit(parts) / F.lit(_RANGES)).cast("int"))
-    ranged.sortWithinPartitions(*_ORDER).write.mode("overwrite").parquet(draft)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row_id = checked(col(ROW_ID).isNotNull(), col(ROW_ID), "a change has no row id")
+    digested = changes.withColumn(ROW_ID, row_id).withColumn(_DIGEST, F.md5(col(ROW_ID)))
+    slot = F.conv(F.substring(_DIGEST, 1, 8), 16, 10).cast("bigint")
+    ranged = digested.repartitionById(parts, F.floor(slot * F.lit(parts) / F.lit(_DIGEST_RANGE)).cast("int"))
+    ranged.sortWithinPartitions(*_ORDER).drop(_DIGEST).write.mode("overwrite").parquet(draft)
     drafted = spark.read.schema(changes.schema).parquet(draft)
     rows = drafted.withColumns({"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")})
     # One row per draft file, of which there are no more than shuffle partitions.
@@ -84,9 +87,15 @@ def _file_starts(rows: DataFrame, first: int) -> list[tuple[str, int]]:
     return starts
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The change log at `path`: the table columns, the four metadata columns and the row number."""
-    return spark.read.parquet(path).drop(_CONSUME)
+def next_consume(spark: SparkSession, path: str) -> int:
+    """The id after that of the last consume of a log, 0 for a log that does not exist."""
+    names = Files(spark, path).names(path)
+    return max((int(n.removeprefix(f"{_CONSUME}=")) for n in names if n.startswith(f"{_CONSUME}=")), default=-1) + 1
+
+
+def read_log(spark: SparkSession, path: str, consume_id: int | None = None) -> DataFrame:
+    """The change log at `path`, or what one consume added: the table columns, the four metadata columns and the row number."""
+    return spark.read.parquet(path if consume_id is None else f"{path}/{_CONSUME}={int(consume_id)}").drop(_CONSUME)
 
 
 def payload_columns(log: DataFrame) -> list[str]:
@@ -103,7 +112,7 @@ def number_batches(log: DataFrame, size: int) -> DataFrame:
 def log_page(log: DataFrame, offset: int, size: int) -> DataFrame:
     """The `size` rows of the log from row number `offset` on, in log order."""
     page = log.filter((col(ROW_NUMBER) >= F.lit(offset)) & (col(ROW_NUMBER) < F.lit(offset + size)))
-    return page.orderBy(col(ROW_NUMBER))
+    return page.orderBy(col(ROW_NUMBER)).limit(size)
 
 
 def log_after(log: DataFrame, position: Position, size: int) -> DataFrame:

@@ -44,18 +44,19 @@ def snapshot(
     """The rows with `after < ordering <= maximum`; a bound that is None does not apply.
 
     As with any comparison, a row whose ordering value is NULL falls out as soon as there is a bound;
-    `nulls="error"` fails instead.
+    `nulls="error"` fails instead, and `nulls="keep"` takes such rows into a scan without a lower bound.
     """
     require(df, ordering, "ordering column")
     order, kind = col(ordering), df.schema[ordering].dataType
-    if nulls not in ("drop", "error"):
-        raise ValueError(f"nulls must be 'drop' or 'error', not {nulls!r}")
+    if nulls not in ("drop", "error", "keep"):
+        raise ValueError(f"nulls must be 'drop', 'error' or 'keep', not {nulls!r}")
     if nulls == "error":
         order = checked(order.isNotNull(), order, f"NULL in ordering column {ordering}")
     if after is not None:
         df = df.filter(order > literal(after, kind))
     if maximum is not None:
-        df = df.filter(order <= literal(maximum, kind))
+        below = order <= literal(maximum, kind)
+        df = df.filter(below | order.isNull() if nulls == "keep" and after is None else below)
     if after is None and maximum is None and nulls == "error":
         df = df.filter(order.isNotNull())
     return df if columns is None else df.select(*[col(name) for name in require(df, columns)])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cdcframe.files import Files
 from cdcframe.functions.columns import col
 from cdcframe.plans.apply import apply_to_table
 from cdcframe.sinks.table import TargetTable
@@ -21,6 +23,12 @@ def stream_changes(spark: SparkSession, path: str, schema: T.StructType, max_fil
     return reader.parquet(path).select(*[col(field.name) for field in schema])
 
 
+def _identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a started stream, which outlives restarts."""
+    saved = Files(spark, checkpoint).read_text(f"{checkpoint.rstrip('/')}/metadata")
+    return f"stream {json.loads(saved)['id']}"
+
+
 def _trigger(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
@@ -36,7 +44,7 @@ def stream_apply(
     table: TargetTable,
     checkpoint: str,
     flatten: Callable[[DataFrame], DataFrame] | None = None,
-    writer: str = "stream",
+    writer: str | None = None,
     interval: str | None = None,
     **options,
 ) -> StreamingQuery:
@@ -44,13 +52,14 @@ def stream_apply(
 
     `flatten` turns a micro-batch into a flat batch. Without an interval the query takes what there is
     and ends. The table keeps the last batch of each `writer`, so a micro-batch that is replayed after a
-    failure is skipped; a stream with a new checkpoint needs a new writer name. The limits of a
+    failure is skipped. Unless named, the writer is the stream itself, by the id that Spark keeps in its
+    checkpoint: a stream with a new checkpoint is a new writer, and takes its source anew. The limits of a
     micro-batch are those of the stream, e.g. `max_files`: late updates are found within one batch.
     """
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         flat = batch if flatten is None else flatten(batch)
-        apply_to_table(table, flat, batch_id, writer, **options)
+        apply_to_table(table, flat, batch_id, writer or _identity(table.spark, checkpoint), **options)
 
     query = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     return query.trigger(**_trigger(interval)).start()

@@ -83,7 +83,7 @@ ORACLES["table_net_change_counts"] = f"""
 
 ORACLES["change_log_consume"] = f"""
 {_FORWARD} select * replace (epoch_us(o_orderdate) as o_orderdate), {_ROW_ID} row_id, {T1} consumed_at,
-  row_number() over (order by row_id, is_update, "action") - 1 "row_number" from forward"""
+  row_number() over (order by md5(row_id), row_id, is_update, "action") - 1 "row_number" from forward"""
 
 _LOG = f"""{_FORWARD}, {_changes('v2', 'v1', 'backward')},
 log as (
@@ -91,7 +91,7 @@ log as (
   union all
   select *, {_ROW_ID} row_id, {T2} consumed_at from backward),
 numbered as (
-  select *, row_number() over (order by consumed_at, row_id, is_update, "action") - 1 "row_number",
+  select *, row_number() over (order by consumed_at, md5(row_id), row_id, is_update, "action") - 1 "row_number",
     "row_number" - "row_number" % {PAGE} batch_id, "row_number" % {PAGE} index_in_batch
   from log)"""
 _LOG_ROW = 'o_orderkey, o_totalprice, "action", is_update, consumed_at'

@@ -1,6 +1,8 @@
 """Compaction against a fold over the records in order, and the documented cases."""
 
 import random
+import re
+from collections import Counter
 
 import pytest
 
@@ -44,6 +46,22 @@ def test_equals_fold(spark, seed, rows, keys, hot):
         assert sorted(map(tuple, late_updates(batch, "id", stretch).collect())) == late
 
 
+def test_a_sequence_number_far_out_leaves_stretches_even(spark):
+    """One hot key, one number far beyond the others: no task of the running maximum has more than its share."""
+    seq = "case when id = 9999 then id + 1000000000000 else id end _seq"
+    batch = spark.range(10_000).selectExpr(seq, "'update' _operation", "(id * 7919) % 1009 _read_at", "1 id", "'v' v")
+    late = late_updates(batch, "id", 500)
+    text = late._jdf.queryExecution().analyzed().toString()
+    edges = [int(n) for n in re.findall(r"cast\((\d+) as bigint\)", text)]
+    sizes = Counter(sum(edge < n for edge in edges) for n in [*range(9999), 1_000_000_009_999])
+    assert len(sizes) >= 15 and max(sizes.values()) <= 1000
+    best, want = -1, 0
+    for n in range(10_000):
+        at = n * 7919 % 1009
+        want, best = want + (at <= best), max(at, best)
+    assert late.count() == want
+
+
 def test_no_records(spark):
     batch = spark.createDataFrame([], SCHEMA)
     assert compact(batch, "id").count() == 0

@@ -78,3 +78,13 @@ def test_columns(spark):
     old, new = spark.createDataFrame([(1, "a", 1.0)], SCHEMA), spark.createDataFrame([(1, "a", 2.0)], SCHEMA)
     assert net_changes(old, new, "k", ["a"]).count() == 0
     assert net_changes(old, new, "k", ["b"]).columns == ["k", "b", *feed.METADATA[:3]]
+
+
+def test_variant_columns(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "k bigint, j string").selectExpr("k", "parse_json(j) v")
+    old = frame([(1, '{"a":1,"b":[2]}'), (2, '{"a":1}'), (3, None)])
+    new = frame([(1, '{"b":[2],"a":1}'), (2, '{"a":2}'), (3, "null")])
+    rows = net_changes(old, new, "k").selectExpr("k", f"`{ACTION}`", "to_json(v)").collect()
+    assert sorted(map(tuple, rows), key=repr) == [
+        (2, "DELETE", '{"a":1}'), (2, "INSERT", '{"a":2}'), (3, "DELETE", None), (3, "INSERT", "null")
+    ]

@@ -1,5 +1,6 @@
 """Row numbers, pages and resuming of the change log against sorting all rows."""
 
+import hashlib
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from cdcframe import consume, log_after, log_page, number_batches, parse_position, read_log
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, ROW_ID
 from cdcframe.sources.log import ROW_NUMBER
-from tests.inspect_plan import pushed_filters
+from tests.inspect_plan import plan, pushed_filters
 
 AT = datetime(2024, 5, 1, 23, 59, 59, tzinfo=timezone.utc)
 
@@ -26,10 +27,14 @@ def log(spark, tmp_path_factory):
 
 
 def in_order(log):
-    rows = [(r[CONSUMED_AT], r[ROW_ID], r[IS_UPDATE], r[ACTION], r["k"]) for r in log.collect()]
+    rows = [(r[CONSUMED_AT], digest(r[ROW_ID]), r[ROW_ID], r[IS_UPDATE], r[ACTION], r["k"]) for r in log.collect()]
     return [row[-1] for row in sorted(rows)]
 
 
+def digest(row_id):
+    return hashlib.md5(row_id.encode()).hexdigest()
+
+
 def test_numbers(log):
     rows = {r[ROW_NUMBER]: r["k"] for r in log.collect()}
     assert [rows[n] for n in range(1200)] == in_order(log)
@@ -77,6 +82,29 @@ def test_resume_needs_a_log_position(log):
         log_after(log, parse_position('{"IteratorType":"s","SnapshotLastProcessedVal":3}'), 100)
 
 
+def test_any_row_ids_are_numbered_in_order_and_spread(spark, folder):
+    """Ids from elsewhere: short, of mixed case, with one beginning."""
+    ids = ["zz00", "8000", "FFFF", "0001", "", "é", "Zz00"] + [f"same-beginning-{n}" for n in range(500)]
+    rows = [(n, "INSERT", False, row_id) for n, row_id in enumerate(ids)]
+    changes = spark.createDataFrame(rows, f"k bigint, `{ACTION}` string, `{IS_UPDATE}` boolean, `{ROW_ID}` string")
+    consume(changes, folder, 0, AT)
+    log = read_log(spark, folder)
+    numbered = {r[ROW_NUMBER]: r["k"] for r in log.collect()}
+    assert [numbered[n] for n in range(len(ids))] == in_order(log) == sorted(range(len(ids)), key=lambda n: digest(ids[n]))
+    sizes = [r["count"] for r in log.groupBy("_metadata.file_name").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2 * len(ids) / len(sizes)
+
+
+def test_a_change_without_a_row_id_is_refused(spark, folder):
+    changes = feed(spark, 0, 5).selectExpr("k", f"`{ACTION}`", f"`{IS_UPDATE}`", f"cast(null as string) `{ROW_ID}`")
+    with pytest.raises(Exception, match="no row id"):
+        consume(changes, folder, 0, AT)
+
+
+def test_a_page_is_a_top_k(log):
+    assert "TakeOrderedAndProject" in plan(log_page(log, 100, 50))
+
+
 def test_repeating_a_consume_duplicates_nothing(spark, folder):
     for _ in range(2):
         consume(feed(spark, 0, 50), folder, 7, AT)

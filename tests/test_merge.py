@@ -1,4 +1,4 @@
-"""The merge rules, column by column, in both forms."""
+"""The merge rules, column by column."""
 
 import random
 
@@ -17,27 +17,22 @@ TARGET = [
 ]
 
 
-def merged(spark, changes, small):
+def merged(spark, changes):
     target = spark.createDataFrame(TARGET, SCHEMA)
-    rows = merge(target, spark.createDataFrame(changes, SCHEMA), "id", small_changes=small)
+    rows = merge(target, spark.createDataFrame(changes, SCHEMA), "id")
     return {row[4]: tuple(row) for row in rows.collect()}
 
 
-both_forms = pytest.mark.parametrize("small", [False, True])
-
-
-@both_forms
 @pytest.mark.parametrize("operation", ["create", "snapshot"])
-def test_create_overwrites_everything_or_inserts(spark, small, operation):
+def test_create_overwrites_everything_or_inserts(spark, operation):
     changes = [(operation, 7, None, None, key, "new") for key in (1, 2, 3, 4)]
-    rows = merged(spark, changes, small)
+    rows = merged(spark, changes)
     assert [rows[key] for key in (1, 2, 3, 4)] == changes
     assert rows[9] == TARGET[3] and len(rows) == 5
 
 
-@both_forms
-def test_update_keeps_only_the_created_time_or_inserts(spark, small):
-    rows = merged(spark, [("update", None, 7, None, key, "new") for key in (1, 2, 3, 4)], small)
+def test_update_keeps_only_the_created_time_or_inserts(spark):
+    rows = merged(spark, [("update", None, 7, None, key, "new") for key in (1, 2, 3, 4)])
     assert rows[1] == ("update", 1, 7, None, 1, "new")
     assert rows[2] == ("update", 1, 7, None, 2, "new")
     assert rows[3] == ("update", 1, 7, None, 3, "new")  # deleted before, and back again
@@ -45,20 +40,18 @@ def test_update_keeps_only_the_created_time_or_inserts(spark, small):
     assert rows[9] == TARGET[3] and len(rows) == 5
 
 
-@both_forms
-def test_delete_marks_or_leaves_a_tombstone(spark, small):
-    rows = merged(spark, [("delete", None, None, 7, key, None) for key in (1, 2, 4)], small)
+def test_delete_marks_or_leaves_a_tombstone(spark):
+    rows = merged(spark, [("delete", None, None, 7, key, None) for key in (1, 2, 4)])
     assert rows[1] == ("delete", 1, None, 7, 1, "a")
     assert rows[2] == ("delete", 1, 2, 7, 2, "b")
     assert rows[4] == ("delete", None, None, 7, 4, None)
     assert rows[3] == TARGET[2] and rows[9] == TARGET[3] and len(rows) == 5
 
 
-@both_forms
-def test_null_keys_match_nothing(spark, small):
+def test_null_keys_match_nothing(spark):
     target = spark.createDataFrame([("create", 1, None, None, None, "a")], SCHEMA)
     changes = spark.createDataFrame([("update", None, 2, None, None, "b")], SCHEMA)
-    rows = sorted(map(tuple, merge(target, changes, "id", small_changes=small).collect()))
+    rows = sorted(map(tuple, merge(target, changes, "id").collect()))
     assert [row[5] for row in rows] == ["a", "b"]
 
 
@@ -72,13 +65,12 @@ def random_batch(spark, seed, rows=400, keys=120):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_both_forms_agree_and_replaying_changes_nothing(spark, seed):
+def test_replaying_changes_nothing(spark, seed):
     target = apply_batch(None, random_batch(spark, seed), "id")
     changes = render(compact(random_batch(spark, seed + 100, 100), "id"), "id")
-    general = merge(target, changes, "id").collect()
-    small = merge(target, changes, "id", small_changes=True).collect()
+    once = merge(target, changes, "id").collect()
     again = merge(merge(target, changes, "id"), changes, "id").collect()
-    assert sorted(general, key=repr) == sorted(small, key=repr) == sorted(again, key=repr)
+    assert sorted(once, key=repr) == sorted(again, key=repr)
 
 
 def test_stats(spark):

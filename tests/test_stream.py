@@ -84,6 +84,17 @@ def test_from_the_log_to_the_table(spark, folder):
     assert table.version == 3
 
 
+def test_two_checkpoints_are_two_writers(spark, folder):
+    table, expected = TargetTable.create(spark, f"{folder}/t", PAYLOAD, "id", 4), None
+    for n in range(2):
+        batch = random_batch(spark, n, 60, 40)
+        batch.write.parquet(f"{folder}/in{n}")
+        stream = stream_changes(spark, f"{folder}/in{n}", batch.schema)
+        run_to_end(stream_apply(stream, table, f"{folder}/cp{n}"))
+        expected = apply_batch(expected, batch, "id")
+    assert table.version == 2 and rows(table.read()) == rows(expected)
+
+
 def test_a_stream_that_does_not_end(spark, folder):
     batch = random_batch(spark, 1, 10, 10)
     batch.write.parquet(f"{folder}/in")

@@ -5,8 +5,7 @@ import os
 import pytest
 from pyspark.sql import types as T
 
-from cdcframe import SchemaMismatch, TargetTable, apply_batch, apply_records, apply_to_table
-from cdcframe.sinks import table as table_module
+from cdcframe import SchemaMismatch, TargetTable, apply_batch, apply_records, apply_to_table, compact, merge_stats, render
 from tests.test_merge import random_batch
 
 PAYLOAD = T.StructType().add("id", T.LongType()).add("v", T.StringType())
@@ -20,9 +19,7 @@ def make(spark, folder, buckets=8):
     return TargetTable.create(spark, f"{folder}/t", PAYLOAD, "id", buckets)
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 30])
-def test_batches_one_after_the_other(spark, folder, monkeypatch, limit):
-    monkeypatch.setattr(table_module, "SMALL_CHANGES_BYTES", limit)
+def test_batches_one_after_the_other(spark, folder):
     table, expected = make(spark, folder), None
     for n in range(3):
         batch = random_batch(spark, n, 150, 80 * (n + 1))
@@ -48,14 +45,27 @@ def test_only_touched_buckets_are_rewritten_and_the_old_version_still_reads(spar
     assert rows(old.read()) == rows(table.read())
 
 
-def test_each_bucket_is_one_file_after_the_general_form(spark, folder, monkeypatch):
-    monkeypatch.setattr(table_module, "SMALL_CHANGES_BYTES", 0)
+def test_each_bucket_is_one_file_after_many_small_merges(spark, folder):
     table = make(spark, folder)
-    for n in range(2):
-        apply_to_table(table, random_batch(spark, n, 500, 400), n)
-    for bucket in os.listdir(f"{table.path}/data/_cdc_version=2"):
-        if bucket.startswith("_cdc_bucket="):
-            assert len([f for f in os.listdir(f"{table.path}/data/_cdc_version=2/{bucket}") if f.endswith(".parquet")]) == 1
+    for n in range(20):
+        apply_to_table(table, random_batch(spark, n, 500 if n == 0 else 4, 400), n)
+    for version in os.listdir(f"{table.path}/data"):
+        for bucket in os.listdir(f"{table.path}/data/{version}"):
+            if bucket.startswith("_cdc_bucket="):
+                files = os.listdir(f"{table.path}/data/{version}/{bucket}")
+                assert len([f for f in files if f.endswith(".parquet")]) == 1
+
+
+def test_the_commit_counts_what_the_merge_affects(spark, folder):
+    table, expected = make(spark, folder), None
+    for n in range(3):
+        batch = random_batch(spark, n, 150, 120)
+        changes = render(compact(batch, "id"), "id")
+        known = expected if expected is not None else changes.limit(0)
+        stats = {(r["operation"], r["matched"]): r["rows_affected"] for r in merge_stats(known, changes, "id").collect()}
+        commit = apply_to_table(table, batch, n).commit
+        assert commit.affected == stats and sum(stats.values()) == commit.changes
+        expected = apply_batch(expected, batch, "id")
 
 
 def test_a_batch_is_merged_once(spark, folder):
@@ -147,6 +157,25 @@ def test_records_with_inferred_schema(spark, folder):
     assert found == {1: ("delete", "a", 1.5), 2: ("update", "c", 3.5)}
 
 
+def json_records(spark, data):
+    schema = "seq bigint, operation string, key string, before string, after string, at string"
+    return spark.createDataFrame(data, schema).selectExpr("*", "map('readAt', at) metadata").drop("at")
+
+
+def test_json_batches_of_deletes_and_of_nulls(spark, folder):
+    path = f"{folder}/t"
+    apply_records(path, json_records(spark, [(0, "create", '{"id":1}', None, '{"id":1,"name":"a","n":1.5}', "1")]), "id", 0)
+    apply_records(path, json_records(spark, [(0, "update", '{"id":1}', None, '{"id":1,"name":null,"n":2.5}', "2")]), "id", 1)
+    table = apply_records(path, json_records(spark, [(0, "delete", '{"id":1}', None, None, "3"), (1, "delete", '{"id":2}', None, None, "3")]), "id", 2)
+    found = {r["id"]: (r["cdc_operation"], r["name"], r["n"]) for r in table.read().collect()}
+    assert found == {1: ("delete", None, 2.5), 2: ("delete", None, None)}
+    first = [(0, "delete", '{"id":1}', '{"id":1,"name":"a"}', None, "1"), (1, "create", '{"id":2}', None, '{"id":2,"name":"b"}', "1")]
+    table = apply_records(f"{folder}/u", json_records(spark, first), "id", 0, mode="first")
+    assert {r["id"]: (r["cdc_operation"], r["name"]) for r in table.read().collect()} == {1: ("delete", None), 2: ("create", "b")}
+    table = apply_records(f"{folder}/v", json_records(spark, [(0, "delete", '{"id":1}', None, None, "1")]), "id", 0)
+    assert table.read().first()["id"] == 1
+
+
 def test_fields_that_are_null_throughout_are_variant(spark, folder):
     data = [(0, "create", '{"id":1}', None, '{"id":1,"x":null}'), (1, "update", '{"id":2}', None, '{"id":2,"x":null}')]
     records = spark.createDataFrame(data, "seq bigint, operation string, key string, before string, after string")
