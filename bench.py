@@ -19,6 +19,7 @@ from tests.session import make_session  # noqa: E402
 HEADLINE = [
     "snapshot_bounded",
     "table_net_changes",
+    "change_log_consume",
     "change_log_batches",
     "change_log_page",
     "cdc_records",

@@ -41,6 +41,10 @@ select 0::bigint seq, 'snapshot' operation, 'supplier' table_name, {T0} read_at,
   json_object('s_acctbal', s_acctbal, 's_name', s_name, 's_nationkey', s_nationkey, 's_suppkey', s_suppkey)::varchar "after"
 from supplier"""
 
+ORACLES["snapshot_records_resume"] = (
+    ORACLES["snapshot_records"] + " where s_suppkey > (select floor(avg(s_suppkey)) from supplier)"
+)
+
 # Change feed and change log
 
 _COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -336,10 +340,15 @@ from changes n left join target o on o.o_orderkey = n.o_orderkey group by all"""
 ORACLES["apply_change_log"] = ORACLES["render_rows"]
 
 
-def _applied(parts: int) -> str:
-    """The batch cut into ranges of its sequence, applied one after the other."""
+def _cut(parts: int) -> str:
+    """The number of the range of the sequence that a record lies in."""
     end = "(select max(event_id) + 1 from events)"
-    part = " + ".join(f"(seq >= {end} * {n} // {parts})::int" for n in range(1, parts))
+    return " + ".join(f"(seq >= {end} * {n} // {parts})::int" for n in range(1, parts))
+
+
+def _applied(parts: int, part: str | None = None) -> str:
+    """The batch cut into parts, ranges of its sequence unless told otherwise, applied one after the other."""
+    part = part or _cut(parts)
     steps, last = [], "part0"
     for n in range(parts):
         steps.append(f"part{n} as (select * exclude (part) from rendered where part = {n})")
@@ -351,15 +360,43 @@ def _applied(parts: int) -> str:
 
 ORACLES["apply_two_batches"] = _applied(2)
 ORACLES["stream_apply"] = _applied(3)
+ORACLES["apply_json_records"] = _applied(2, "(operation = 'delete')::int")
+ORACLES["apply_affected"] = f"""
+with {_winners(f'({_cut(2)})')}
+select part batch, operation, part = 1 and id in (select id from rendered where part = 0) matched, count(*) rows_affected
+from rendered group by all"""
 
-ORACLES["replicate_table"] = f"""
-{_FORWARD},
+_REST = [c for c in _COLUMNS if c != "o_orderkey"]
+
+
+def _later(changes: str, at: int) -> str:
+    """The rendered rows of net changes consumed at a time."""
+    return f"""
+  select {_OPERATION} operation, case when "action" = 'INSERT' and not is_update then {at} end created_at,
+    case when is_update then {at} end updated_at, case when "action" = 'DELETE' then {at} end deleted_at, o_orderkey,
+    {', '.join(f"""case when "action" = 'INSERT' then {c} end {c}""" for c in _REST)}
+  from {changes} where not ("action" = 'DELETE' and is_update)"""
+
+
+_REPLICATED = f"""
 first as (select 'snapshot' operation, {T0} created_at, null::bigint updated_at, null::bigint deleted_at, * from v1),
-net as (select * from forward where not ("action" = 'DELETE' and is_update)),
-later as (
-  select {_OPERATION} operation, case when "action" = 'INSERT' and not is_update then {T1} end created_at,
-    case when is_update then {T1} end updated_at, case when "action" = 'DELETE' then {T1} end deleted_at, o_orderkey,
-    {', '.join(f'''case when "action" = 'INSERT' then {c} end {c}''' for c in _COLUMNS if c != 'o_orderkey')}
-  from net),
-merged as ({_merged('o_orderkey', [c for c in _COLUMNS if c != 'o_orderkey'], 'first', 'later')})
+later as ({_later('forward', T1)}),
+merged as ({_merged('o_orderkey', _REST, 'first', 'later')})"""
+
+ORACLES["replicate_table"] = f"""
+{_FORWARD}, {_REPLICATED}
 select * replace (epoch_us(o_orderdate) as o_orderdate) from merged"""
+
+ORACLES["replicate_twice"] = f"""
+{_FORWARD}, {_changes('v2', 'v1', 'backward')}, {_REPLICATED},
+again as ({_later('backward', T2)}),
+twice as ({_merged('o_orderkey', _REST, 'merged', 'again')})
+select * replace (epoch_us(o_orderdate) as o_orderdate) from twice"""
+
+ORACLES["replicate_null_ordering"] = f"""
+select case o_orderstatus when 'P' then 'update' else 'snapshot' end operation, {T0} created_at,
+  case o_orderstatus when 'P' then {T1} end updated_at, null::bigint deleted_at, o_orderkey,
+  case when o_orderpriority <> '1-URGENT' then o_custkey end o_custkey, o_orderstatus,
+  case o_orderstatus when 'P' then o_totalprice + 1 else o_totalprice end o_totalprice,
+  epoch_us(o_orderdate) o_orderdate, o_orderpriority
+from orders"""

@@ -71,6 +71,18 @@ def snapshot_records(spark, sf):
     return _shown_records(rows)
 
 
+@query
+def snapshot_records_resume(spark, sf):
+    suppliers = i.table(spark, sf, "supplier")
+    maximum = c.high_watermark_value(suppliers, "s_suppkey")
+    saved = suppliers.agg(F.floor(F.avg("s_suppkey")).alias("last")).select(
+        c.position_json("s", col("last"), F.lit(maximum)).alias("position")
+    )
+    position = c.parse_position(saved.first()["position"])
+    rows = c.snapshot_records(suppliers, "s_suppkey", [], "supplier", i.SNAPSHOT_AT, position=position, primary_keys=["s_suppkey"])
+    return _shown_records(rows)
+
+
 def _shown_records(records: DataFrame) -> DataFrame:
     return records.select(
         "seq",
@@ -353,9 +365,9 @@ def apply_change_log(spark, sf):
     return i.shown_target(c.apply_batch(None, i.event_batch(spark, sf), "id"))
 
 
-def _event_table(spark, batch, name, buckets=16):
+def _event_table(spark, batch, name):
     payload = T.StructType([field for field in batch.schema if not field.name.startswith("_")])
-    return c.TargetTable.create(spark, work_folder(spark, name), payload, "id", buckets)
+    return c.TargetTable.create(spark, work_folder(spark, name), payload, "id")
 
 
 def _cuts(batch: DataFrame, parts: int) -> list[DataFrame]:
@@ -374,6 +386,28 @@ def apply_two_batches(spark, sf):
     return i.shown_target(table.read())
 
 
+@query
+def apply_affected(spark, sf):
+    batch = i.event_batch(spark, sf)
+    table = _event_table(spark, batch, "affected")
+    rows = []
+    for batch_id, part in enumerate(_cuts(batch, 2)):
+        affected = c.apply_to_table(table, part, batch_id).commit.affected
+        rows += [(batch_id, operation, matched, count) for (operation, matched), count in affected.items()]
+    return spark.createDataFrame(rows, "batch int, operation string, matched boolean, rows_affected bigint")
+
+
+@query
+def apply_json_records(spark, sf):
+    records = i.event_records(spark, sf)
+    path = f"{work_folder(spark, 'json')}/target"
+    is_delete = col("operation") == "delete"
+    for batch_id, part in enumerate([~is_delete, is_delete]):
+        table = c.apply_records(path, records.filter(part), "id", batch_id)
+    rows = table.read()
+    return i.shown_target(rows.select(*[name for name in rows.columns if name.startswith("cdc_")], "id", "value", "props"))
+
+
 @query
 def stream_apply(spark, sf):
     batch = i.event_batch(spark, sf)
@@ -386,13 +420,30 @@ def stream_apply(spark, sf):
     return i.shown_target(table.read())
 
 
-@query
-def replicate_table(spark, sf):
-    old, new = i.order_versions(spark, sf)
+def _replicated(spark, versions, nulls="error", ordering="o_orderkey"):
     folder = work_folder(spark, "replica")
-    table = c.replicate(
-        old, new, "o_orderkey", "o_orderkey", "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT, i.FIRST_CONSUME,
-        buckets=16,
-    )
+    for (old, new), at in zip(versions, (i.FIRST_CONSUME, i.SECOND_CONSUME)):
+        table = c.replicate(
+            old, new, "o_orderkey", ordering, "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT, at, nulls=nulls,
+        )
     rows = i.shown_target(table.read())
     return rows.withColumn("o_orderdate", micros_of(col("o_orderdate"), table.schema["o_orderdate"].dataType))
+
+
+@query
+def replicate_table(spark, sf):
+    return _replicated(spark, [i.order_versions(spark, sf)])
+
+
+@query
+def replicate_twice(spark, sf):
+    old, new = i.order_versions(spark, sf)
+    return _replicated(spark, [(old, new), (new, old)])
+
+
+@query
+def replicate_null_ordering(spark, sf):
+    urgent, dearer = col("o_orderpriority") == "1-URGENT", col("o_orderstatus") == "P"
+    old = i.table(spark, sf, "orders").withColumn("o_custkey", F.when(~urgent, col("o_custkey")))
+    new = old.withColumn("o_totalprice", F.when(dearer, col("o_totalprice") + 1).otherwise(col("o_totalprice")))
+    return _replicated(spark, [(old, new)], "keep", "o_custkey")
