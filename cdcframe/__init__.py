@@ -9,11 +9,11 @@ from cdcframe.operators.merge import merge, merge_into, merge_stats
 from cdcframe.operators.render import Bookkeeping, render, route, route_inserts, route_updates, with_bookkeeping
 from cdcframe.operators.shape import classify, collapse_pairs, decode_payload, flatten_records, payload_side, to_records
 from cdcframe.plans.apply import apply_batch, apply_records, apply_to_table
-from cdcframe.plans.replicate import change_records, replicate, snapshot_records, snapshot_then_changes
+from cdcframe.plans.replicate import change_records, replicate, require_unique, snapshot_records, snapshot_then_changes
 from cdcframe.sinks.stage import stage_read, stage_write
-from cdcframe.sinks.table import TargetTable
+from cdcframe.sinks.table import TargetTable, bucket_count
 from cdcframe.sources.feed import net_changes
-from cdcframe.sources.log import consume, log_after, log_page, number_batches, read_log
+from cdcframe.sources.log import consume, log_after, log_page, next_consume, number_batches, read_log
 from cdcframe.sources.scan import high_watermark, high_watermark_value, key_columns, resume_snapshot, snapshot, snapshot_page
 from cdcframe.streaming.stream import run_to_end, stream_append, stream_apply, stream_changes
 
@@ -26,6 +26,7 @@ __all__ = [
     "apply_records",
     "apply_to_table",
     "avro_fields",
+    "bucket_count",
     "change_records",
     "check_schema",
     "classify",

@@ -218,6 +218,15 @@ class TargetTable:
             self._files.delete(_manifest_path(self.path, old))
 
 
+def bucket_count(rows: DataFrame, bucket_bytes: int = 512 * 1024 * 1024) -> int:
+    """The number of buckets, a power of two, for a table as large as `rows`, by Spark's own estimate of their bytes.
+
+    For frames that come from files without a join, whose estimate follows the files. No fewer than 8.
+    """
+    size = int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(8, 1 << (max(1, size // bucket_bytes) - 1).bit_length())
+
+
 def _manifest_path(path: str, commit: int) -> str:
     return f"{path.rstrip('/')}/manifest/{commit:020d}.json"
 

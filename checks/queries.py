@@ -367,7 +367,7 @@ def apply_change_log(spark, sf):
 
 def _event_table(spark, batch, name):
     payload = T.StructType([field for field in batch.schema if not field.name.startswith("_")])
-    return c.TargetTable.create(spark, work_folder(spark, name), payload, "id")
+    return c.TargetTable.create(spark, work_folder(spark, name), payload, "id", c.bucket_count(batch))
 
 
 def _cuts(batch: DataFrame, parts: int) -> list[DataFrame]:
@@ -403,7 +403,7 @@ def apply_json_records(spark, sf):
     path = f"{work_folder(spark, 'json')}/target"
     is_delete = col("operation") == "delete"
     for batch_id, part in enumerate([~is_delete, is_delete]):
-        table = c.apply_records(path, records.filter(part), "id", batch_id)
+        table = c.apply_records(path, records.filter(part), "id", batch_id, buckets=c.bucket_count(records))
     rows = table.read()
     return i.shown_target(rows.select(*[name for name in rows.columns if name.startswith("cdc_")], "id", "value", "props"))
 
@@ -421,10 +421,10 @@ def stream_apply(spark, sf):
 
 
 def _replicated(spark, versions, nulls="error", ordering="o_orderkey"):
-    folder = work_folder(spark, "replica")
+    folder, buckets = work_folder(spark, "replica"), c.bucket_count(versions[0][0])
     for (old, new), at in zip(versions, (i.FIRST_CONSUME, i.SECOND_CONSUME)):
         table = c.replicate(
-            old, new, "o_orderkey", ordering, "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT, at, nulls=nulls,
+            old, new, "o_orderkey", ordering, "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT, at, nulls=nulls, buckets=buckets,
         )
     rows = i.shown_target(table.read())
     return rows.withColumn("o_orderdate", micros_of(col("o_orderdate"), table.schema["o_orderdate"].dataType))
