@@ -8,6 +8,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
+_SPLITS = 64
+
+
+def draw(rows: DataFrame, group: str, id: str, n: int) -> DataFrame:
+    """The first `n` rows of each group in the order of the hash of their id, with their place from 0 as `slot`.
+
+    Groups are split before they are put in order, so one that holds nearly all rows is not ordered by one task: that
+    gets `n` rows of each split at most.
+    """
+    order = [F.xxhash64(F.lit(1), id), F.col(id)]
+    split = F.pmod(F.xxhash64(F.lit(2), id), F.lit(_SPLITS))
+    some = rows.withColumn("_place", F.row_number().over(W.partitionBy(group, split).orderBy(*order)))
+    some = some.filter(F.col("_place") <= n).drop("_place")
+    slot = F.row_number().over(W.partitionBy(group).orderBy(*order)) - 1
+    return some.withColumn("slot", slot).filter(F.col("slot") < n)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, id: str = "doc_id"
 ) -> tuple[DataFrame, dict[int, int]]:
@@ -19,9 +36,7 @@ def labelled_sample(
     known = labels.filter(learn & F.col(id).isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy(id).agg(F.max(label).cast("int").alias("label"))
     counts = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
-    slot = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64(F.lit(1), id), id)) - 1
-    drawn = known.withColumn("slot", slot).filter(F.col("slot") < per_class)
-    return docs.join(F.broadcast(drawn), id), counts
+    return docs.join(F.broadcast(draw(known, "label", id, per_class)), id), counts
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-2) -> np.ndarray:

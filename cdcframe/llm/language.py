@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from cdcframe.llm.fitting import draw
+
 #: What is learnt from at most: documents of each language.
 SAMPLE_PER_LANGUAGE = 2000
 #: The most frequent words, and n-grams of each length, that the model keeps.
@@ -73,8 +75,7 @@ def fit_language(
     Spark; what reaches the driver is the `KNOWN_WORDS` and `KNOWN_GRAMS` most frequent entries.
     """
     known = docs.filter(learn & F.col(id).isNotNull() & F.col(lang).isNotNull())
-    slot = F.row_number().over(W.partitionBy(lang).orderBy(F.xxhash64(F.lit(2), id), id))
-    drawn = known.select(id, lang).withColumn("slot", slot).filter(F.col("slot") <= per_language)
+    drawn = draw(known.select(id, lang), lang, id, per_language)
     drawn = drawn.select(F.col(id).alias("_id"), F.col(lang).alias("_lang")).distinct()
     same = (F.col(id) == F.col("_id")) & (F.col(lang) == F.col("_lang"))
     sample = known.select(id, lang, text).join(F.broadcast(drawn), same).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
