@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
-from itertools import chain, compress
+from itertools import compress
 from operator import not_
 
 import numpy as np
@@ -57,8 +57,12 @@ class Encoder:
                 self.old, self.new = self.new, {}
             words = [self._words(text) for text in texts[at:stop]]
             found = [list(map(self.new.get, some)) for some in words]
-            self._learn(set(chain.from_iterable(compress(some, map(not_, ids)) for some, ids in zip(words, found))))
-            out += [b"".join(map(self.new.__getitem__, some) if None in ids else ids) + end for some, ids in zip(words, found)]
+            gaps = [list(compress(range(len(ids)), map(not_, ids))) for ids in found]
+            self._learn({some[k] for some, holes in zip(words, gaps) for k in holes})
+            for some, ids, holes in zip(words, found, gaps):
+                for k in holes:
+                    ids[k] = self.new[some[k]]
+                out.append(b"".join(ids) + end)
             at = stop
         return out
 
