@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcframe.functions.columns import col, column_list, literal, require
@@ -94,6 +94,11 @@ def snapshot_then_changes(snapshots: DataFrame, changes: DataFrame) -> DataFrame
     return snapshots.withColumn("phase", F.lit(0)).unionByName(changes.withColumn("phase", F.lit(1)))
 
 
+def _has_snapshot(spark: SparkSession, table_path: str) -> bool:
+    """Whether the snapshot was committed. A call that failed before that may have left an empty table."""
+    return TargetTable.exists(spark, table_path) and TargetTable.open(spark, table_path).is_done(0, _WRITER)
+
+
 def replicate(
     old: DataFrame,
     new: DataFrame,
@@ -114,14 +119,15 @@ def replicate(
     """Bring a target table from version `old` of a source table to version `new`, by way of the change log.
 
     The first time, and unless it is left out, a snapshot of the old version comes before the changes. Later calls
-    over the same table and log carry on: from `new` to a still later version and so on. Each adds a consume to the
-    log and applies what that consume holds. To repeat a call that failed after its consume, give the `consume_id`
-    it had (`next_consume` tells before a call), so that its changes are not added twice.
+    over the same table and log carry on: from `new` to a still later version and so on; after a call that failed
+    before its snapshot was committed, the snapshot is taken again. Each call adds a consume to the log and applies
+    what that consume holds. To repeat a call that failed after its consume, give the `consume_id` it had
+    (`next_consume` tells before a call), so that its changes are not added twice.
     """
     spark = old.sparkSession
     keys = key_columns(column_list(keys or []), primary_keys, ordering)
     consume_id = next_consume(spark, log_path) if consume_id is None else consume_id
-    if with_snapshot and not TargetTable.exists(spark, table_path):
+    if with_snapshot and not _has_snapshot(spark, table_path):
         require_unique(old, keys)
         records = snapshot_records(old, ordering, keys, name, snapshot_at, as_json=False, nulls=nulls)
         apply_records(table_path, records, keys, batch_id=0, writer=_WRITER, **options)

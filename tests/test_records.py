@@ -173,3 +173,21 @@ def test_replicate_without_a_snapshot(spark, folder):
             with_snapshot=with_snapshot, buckets=2,
         )
         assert {r["id"]: (r["cdc_operation"], r["name"]) for r in table.read().collect()} == expected
+
+
+def test_replicate_after_a_failed_snapshot(spark, folder):
+    old = spark.createDataFrame([(1, 10, "Ada"), (2, None, "Grace"), (3, 30, "Mary")], "id bigint, at bigint, name string")
+    new = spark.createDataFrame([(1, 10, "Ada"), (2, None, "Edsger"), (3, 30, "Mary")], "id bigint, at bigint, name string")
+
+    def call(before, after, **more):
+        return replicate(
+            before, after, "id", "at", "people", f"{folder}/t", f"{folder}/log", inputs.SNAPSHOT_AT, inputs.FIRST_CONSUME, buckets=2, **more,
+        )
+
+    with pytest.raises(Exception, match="NULL|null"):
+        call(old, new)
+    shown = lambda table: {r["id"]: (r["cdc_operation"], r["name"]) for r in table.read().collect()}
+    rows = {1: ("snapshot", "Ada"), 2: ("update", "Edsger"), 3: ("snapshot", "Mary")}
+    assert shown(call(old, new, nulls="keep")) == rows
+    # Once the snapshot is there, it is not taken again.
+    assert shown(call(new, old, nulls="keep")) == rows | {2: ("update", "Grace")}
