@@ -6,7 +6,7 @@ import corpus_pipeline as cp
 from cdcframe.llm import mixing, quality, secrets
 from cdcframe.llm.common import remainder, stored, table
 from tests.llm.test_packing import check
-from tests.llm.test_simhash import brute_components
+from tests.llm.test_shingles import brute_kept
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,8 +35,7 @@ def test_quality_stage(spark, stages):
 
 def test_near_duplicate_stage(stages):
     before = stages["quality classifier"].collect()
-    groups = brute_components([(r["doc_id"], r["text"]) for r in before])
-    keep = {component for *_, component in groups}
+    keep = set(brute_kept([(r["doc_id"], r["text"]) for r in before]))
     want = [tuple(r) for r in before if r["doc_id"] in keep]
     assert rows_of(stages["SimHash near-dedup"]) == sorted(want, key=repr)
 
