@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcframe.llm import language, licenses, mixing, neighbours, packing, quality, secrets, simhash, topk, toxicity
+from cdcframe.llm import (
+    codes,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    topk,
+    toxicity,
+)
 from cdcframe.llm.common import remainder, table
 
 
@@ -64,6 +76,10 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(*codes.compress(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_compression": op2_quality_compression,
@@ -75,10 +91,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_backoff": op8_language_backoff,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_nn_descent": op10_nn_descent,
+    "op13_norm_of_sum_codes": op13_norm_of_sum_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.SQL,
     "op5_sainte_lague_mix": mixing.SQL,
     "op9_exact_top_k": topk.SQL,
+    "op13_norm_of_sum_codes": codes.SQL,
 }

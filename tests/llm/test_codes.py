@@ -1,0 +1,125 @@
+"""Vector codes against SQL and plain Python, and the bounds against full scans."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from cdcframe.llm import codes
+from cdcframe.llm.queries import ORACLES
+from tests.llm import duck
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+def brute(rows, scale=4096, parts=8, entries=16, rounds=6):
+    """Codes and errors by row, and the digest of the codebooks, with Python's integers."""
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    size = len(kept[0][1])
+    edges = [size * p // parts for p in range(parts + 1)]
+    cut = lambda v: [tuple(v[a:b]) for a, b in zip(edges, edges[1:])]
+    pieces = [cut(v) for _, v in kept]
+    books = [[pieces[e][p] for e in range(min(entries, len(kept)))] for p in range(parts)]
+    square = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    nearest = lambda p, v: min(range(len(books[p])), key=lambda e: (square(books[p][e], v), e))
+    for _ in range(rounds):
+        new = [list(book) for book in books]
+        for p in range(parts):
+            groups = {}
+            for row in pieces:
+                groups.setdefault(nearest(p, row[p]), []).append(row[p])
+            for e, group in groups.items():
+                new[p][e] = tuple(sum(column) // len(group) for column in zip(*group))
+        books = new
+    text = ",".join(str(x) for book in books for entry in book for x in entry)
+    out = []
+    for (i, _), row in zip(kept, pieces):
+        code = [nearest(p, row[p]) for p in range(parts)]
+        out.append((i, bytes(code), sum(square(books[p][e], row[p]) for p, e in enumerate(code))))
+    return out, hashlib.sha256(text.encode()).hexdigest()
+
+
+def clustered(n, size, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, size))
+    return (centres[rng.integers(0, 12, n)] + 0.3 * rng.normal(size=(n, size))).astype(np.float32)
+
+
+def test_query_equals_sql(spark):
+    vectors = clustered(500, 16, 3)
+    rows = [(i, list(map(float, v)), random.Random(i).choice([0, 0, 1, None])) for i, v in enumerate(vectors)]
+    rows += [(1000 + i, rows[3][1], 2) for i in range(40)] + [(5, None, 0), (6, [None] * 16, 0), (7, [math.nan] * 16, 1)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as id", "2 as whole", "3 as code", "4 as error").repartition(3)
+    got = codes.digest(*codes.compress(df))
+    duck.agree(got, duck.over_rows(embeddings=df), ORACLES["op13_norm_of_sum_codes"])
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e6, 1e30])
+def test_large_components_are_exact(spark, scale):
+    rng = random.Random(5)
+    rows = [(i, [float(np.float32(rng.gauss(0, 1) * (scale if rng.random() < 0.2 else 1))) for _ in range(10)], 0) for i in range(150)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    coded, books = codes.compress(df)
+    want, sha256 = brute([(i, v) for i, v, _ in rows])
+    got = sorted((r["vec_id"], bytes(r["code"]), r["error"]) for r in coded.collect())
+    assert books.sha256() == sha256
+    assert got == [(i, code, error if error < 1 << 63 else None) for i, code, error in want]
+
+
+def test_bounds_change_nothing_and_save_work():
+    rng = np.random.default_rng(1)
+    rows = np.floor(4096 * clustered(3000, 8, 2).astype(np.float64))
+    history = [[[list(map(int, row)) for row in rows[:16]]]]
+    entry = lengths = stamps = None
+    shares = []
+    for n in range(8):
+        bounds = codes.Bounds(history)
+        if entry is None:
+            entry, upper, lower = bounds.scan(0, rows)
+            lengths, stamps = np.stack([upper, lower], axis=1), np.zeros((len(rows), 2), np.uint8)
+        else:
+            bounds.step(0, rows, entry, lengths, stamps)
+            shares.append(bounds.scanned / bounds.met)
+        squares = codes._squares(rows, history[-1][0])
+        assert (entry == squares.argmin(axis=1)).all()
+        means = [[int(x) for x in np.floor(rows[entry == e].mean(axis=0))] if (entry == e).any() else history[-1][0][e] for e in range(16)]
+        history.append([means])
+    assert shares[-1] < 0.5 and rng is not None
+
+
+def test_net_displacement_is_that_of_the_sum_of_moves():
+    """An entry that goes and comes back has not moved."""
+    here, there = [[0, 0], [9, 9]], [[5, 0], [9, 9]]
+    bounds = codes.Bounds([[here], [there], [here]])
+    assert bounds.moved[0, 0].tolist() == [0, 0] and bounds.moved[0, 1, 0] >= 5
+    assert bounds.others[0, 1].tolist()[0] == 0 and bounds.others[0, 1, 1] >= 5
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_few_rows_ties_repeats_and_odd_sizes(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([None, 1, 2, 3, i]), [float(rng.randrange(-2, 3)) for _ in range(11)], rng.choice([None, 1])) for i in range(9 + 20 * seed)]
+    rows += rows[:5]
+    coded, books = codes.compress(spark.createDataFrame(rows, SCHEMA))
+    want, sha256 = brute([(i, v) for i, v, _ in rows])
+    assert books.sha256() == sha256
+    assert sorted(map(repr, ((r["vec_id"], bytes(r["code"]), r["error"]) for r in coded.collect()))) == sorted(map(repr, want))
+    shown = codes.digest(coded, books).collect()
+    by_label = {}
+    for r in coded.collect():
+        by_label[r["label"]] = by_label.get(r["label"], 0) + r["error"]
+    assert len(shown) == len(rows) and {r["label_error"] for r in shown} == set(by_label.values())
+
+
+def test_no_rows_and_other_sizes(spark):
+    empty = codes.digest(*codes.compress(spark.createDataFrame([], SCHEMA)))
+    assert empty.collect() == [] and empty.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    rows = [(1, [1.0] * 8, 0), (2, [2.0] * 8, 0), (3, [1.0], 0), (4, [], 0), (5, [3.0] * 9, 1)]
+    coded, books = codes.compress(spark.createDataFrame(rows, SCHEMA))
+    got = {r["vec_id"]: r["code"] for r in coded.collect()}
+    assert got[3] is None and got[4] is None and got[5] is None and bytes(got[2]) == b"\1" * 8
+    assert books.decode(b"\1" * 8)[0] == pytest.approx(2.0, abs=1 / 4096)
