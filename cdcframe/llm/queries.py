@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cdcframe.llm import (
     codes,
+    hosts,
     language,
     licenses,
     mixing,
@@ -17,6 +18,7 @@ from cdcframe.llm import (
     quality,
     secrets,
     simhash,
+    spellings,
     topk,
     toxicity,
 )
@@ -76,6 +78,14 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hosts.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op12_kd_tree_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(spellings.words(table(spark, sf_dir, "documents")))
+
+
 def op13_norm_of_sum_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.digest(*codes.compress(table(spark, sf_dir, "embeddings")))
 
@@ -91,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_backoff": op8_language_backoff,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_nn_descent": op10_nn_descent,
+    "op11_link_graph_urls": op11_link_graph_urls,
+    "op12_kd_tree_spellings": op12_kd_tree_spellings,
     "op13_norm_of_sum_codes": op13_norm_of_sum_codes,
 }
 
@@ -98,5 +110,7 @@ ORACLES: dict[str, str] = {
     "op3_license_scan": licenses.SQL,
     "op5_sainte_lague_mix": mixing.SQL,
     "op9_exact_top_k": topk.SQL,
+    "op11_link_graph_urls": hosts.SQL,
+    "op12_kd_tree_spellings": spellings.SQL,
     "op13_norm_of_sum_codes": codes.SQL,
 }

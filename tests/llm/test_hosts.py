@@ -1,0 +1,107 @@
+"""URL verdicts against SQL, and the flow of trust and distrust against plain Python."""
+
+import random
+
+import pytest
+
+from cdcframe.llm import hosts
+from cdcframe.llm.queries import ORACLES
+from tests.llm import duck
+
+SCHEMA = "page_id bigint, url string, html string"
+
+
+def page(i, url, *targets):
+    return (i, url, "".join(f'<p>x</p><a class=a href="{t}">t</a>' for t in targets))
+
+
+def web(seed, n=400):
+    rng = random.Random(seed)
+    names = [f"{s}{d}{i}.{top}" for i in range(12) for s in ("", "www.") for d in ("a", "b") for top in ("org", "com", "example.com", "net", "example.net")]
+    address = lambda: f"{rng.choice(['http', 'HTTPS'])}://{rng.choice(names)}{rng.choice(['', '/', '/de/x', '/fr/', '/en/1', '?q=/fr/', '#a'])}"
+    return [page(i, address(), *[rng.choice([address(), address(), "/own", "//" + names[0] + "/fr/1"]) for _ in range(rng.randrange(4))]) for i in range(n)]
+
+
+ODD = [
+    (900, None, None),
+    (901, "", "<a href='http://a.net/'>"),
+    (902, "no scheme/de/", "<A HREF = http://Spam.NET/en/ >"),
+    (903, "HTTP://WWW.Example.NET/en/", None),
+    (904, "http://example.net", ""),
+    (905, "http://xexample.com/de/1", "<a href=//b.net>"),
+    (906, "x://a.org?b=://c/fr/", "href"),
+    (907, "http://user@a.example.com:80/de/é\n?x", "<a href=''>"),
+    (907, "http://user@a.example.com:80/de/é\n?x", "<a href=''>"),
+    (None, "http://ÄÖ.ORG/fr/", "x" * 300_000 + "<a href='https://q.net/'>"),
+    (908, "://", None),
+    (909, ":///de/", None),
+]
+
+
+@pytest.mark.parametrize("rows", [web(1) + ODD, web(2, 150), ODD, []])
+def test_query_equals_sql(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'h' as host", "1 as id", "2 as rule", "3 as salt")
+    duck.agree(hosts.judge_urls(df), duck.over_rows(pages=df), ORACLES["op11_link_graph_urls"])
+
+
+def brute_flow(seeds, edges, rounds):
+    out, into = {}, {}
+    for a, b in edges:
+        out.setdefault(a, []).append(b)
+        into.setdefault(b, []).append(a)
+    state = dict(seeds)
+    for _ in range(rounds):
+        more = {h: [0, 0] for h in seeds}
+        for h, (trust, distrust) in state.items():
+            for to in out.get(h, []):
+                more[to][0] += trust // 100 * 85 // len(out[h])
+            for to in into.get(h, []):
+                more[to][1] += distrust // 100 * 85 // len(into[h])
+        state = {h: (seeds[h][0] + more[h][0], seeds[h][1] + more[h][1]) for h in seeds}
+    return state
+
+
+@pytest.mark.parametrize("rounds", [1, 3, 20])
+def test_flow_equals_plain_python(spark, rounds):
+    rng = random.Random(rounds)
+    names = [f"h{i}" for i in range(40)]
+    seeds = {h: (rng.choice([0, 0, 10**9, 5 * 10**8]), rng.choice([0, 0, 10**9])) for h in names}
+    edges = sorted({(a, b) for a in names for b in names if a != b and (a == "h0" or rng.random() < 0.05)})
+    got = hosts.propagate(
+        spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, trust long, distrust long"),
+        spark.createDataFrame(edges, "src string, dst string"),
+        rounds,
+    )
+    assert {r["host"]: (r["trust"], r["distrust"]) for r in got.collect()} == brute_flow(seeds, edges, rounds)
+
+
+def test_who_links_to_blocked_hosts_is_blocked_unless_trusted(spark):
+    rows = [page(0, "http://farm.com/a", "http://bad.net/x")]
+    rows += [page(1, "http://two.com/a", "http://farm.com/b", "http://worse.net/")]  # distrust arrives over two links too
+    rows += [page(2, "http://clean.com/a", "http://clean2.com/"), page(3, "http://clean2.com/")]
+    rows += [page(4, "http://good.org/fr/", "http://mixed.com/"), page(5, "http://mixed.com/a", "http://evil.net/")]
+    rows += [page(6, "http://bad.net/x"), page(7, "http://part.com/de/", "http://clean.com/"), page(8, "http://part.example.com/de/1")]
+    rows += [page(9, "http://part.example.com/en/1"), page(10, "http://part.example.com/en/2")]
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in hosts.judge_urls(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[0] == (None, "block") and got[1] == (None, "block")
+    assert got[2] == got[3] == (None, "allow")
+    assert got[4] == ("org/fr/", "allow") and got[5] == (None, "allow")  # as much trust as distrust
+    assert got[6] == ("net/", "block") and got[8] == ("example.com/de/", "block")
+    assert got[9] == got[10] == (None, "allow")  # a third of its urls is not enough
+
+
+def test_a_host_linked_by_many_hands_out_shares(spark):
+    """Distrust is divided among those that link to a blocked host, so a link to a well-known one weighs little."""
+    rows = [page(i, f"http://h{i}.com/", "http://bad.net/") for i in range(50)]
+    rows += [page(100 + i, f"http://only{i}.com/", f"http://bad{i}.net/") for i in range(3)]
+    got = {r["page_id"]: r["verdict"] for r in hosts.judge_urls(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {got[i] for i in range(50)} == {"allow"} and {got[100 + i] for i in range(3)} == {"block"}
+
+
+def test_rules():
+    assert hosts.Rule("block", "net", "/").text == "net/"
+
+
+def test_no_rules(spark):
+    got = hosts.judge_urls(spark.createDataFrame(web(3, 20), SCHEMA), rules=()).collect()
+    assert {(r["rule"], r["verdict"]) for r in got} == {(None, "allow")}
