@@ -48,5 +48,9 @@ class Files:
         if not self._fs.rename(draft, self._path(path)):
             raise FileExistsError(path)
 
+    def make(self, path: str) -> None:
+        """A folder, if it is not there."""
+        self._fs.mkdirs(self._path(path))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

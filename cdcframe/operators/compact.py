@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcframe.functions.columns import col, column_list
-from cdcframe.operators.shape import OPERATION, READ_AT, SEQ, UPDATE, checked_batch
+from cdcframe.operators.shape import CREATE, CREATED_AT, OPERATION, READ_AT, SEQ, SNAPSHOT, UPDATE, checked_batch
 
 _ROWS_PER_STRETCH = 1_000_000
 
 
-def compact(batch: DataFrame, keys: str | Iterable[str]) -> DataFrame:
+def compact(batch: DataFrame, keys: str | Iterable[str], carry_created: bool = False) -> DataFrame:
     """One winning record per key.
 
     In order of sequence, a create, snapshot or delete always takes over from what came before; an
@@ -25,6 +25,10 @@ def compact(batch: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     the later, by sequence, of two extremes: the last record that is not an update, and the update with
     the greatest read time (of equals, the first). Both are partial aggregates. A key is folded wherever
     its rows are read and one row per key and task is shuffled, however many records a key has.
+
+    By itself the winner forgets what came before it in the batch. With `carry_created` it has a column `_created_at`: the
+    read time of the last create or snapshot up to it, which `render` makes its created time. That is a third extreme of
+    the same aggregate: no such record comes after the winner.
     """
     keys = column_list(keys)
     batch = checked_batch(batch, keys)
@@ -32,14 +36,17 @@ def compact(batch: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     record = F.struct(*[col(name) for name in rest])
     is_update = col(OPERATION) == UPDATE
     latest = F.struct(col(READ_AT), (-col(SEQ)).alias("_first"))
+    created = F.when(col(OPERATION).isin(CREATE, SNAPSHOT), col(SEQ))
+    carried = [CREATED_AT] if carry_created else []
     sides = batch.groupBy(*[col(name) for name in keys]).agg(
         F.max_by(record, F.when(~is_update, col(SEQ))).alias("_taken"),
         F.max_by(record, F.when(is_update, latest)).alias("_updated"),
+        *[F.max_by(col(READ_AT), created).alias(name) for name in carried],
     )
     by_update = col("_taken").isNull() | (col("_updated")[SEQ] > col("_taken")[SEQ])
     winner = F.when(by_update, col("_updated")).otherwise(col("_taken"))
-    return sides.select(*[col(name) for name in keys], winner.alias("_winner")).select(
-        *[col(name) for name in keys], *[col("_winner")[name].alias(name) for name in rest]
+    return sides.select(*[col(name) for name in keys], *carried, winner.alias("_winner")).select(
+        *[col(name) for name in keys], *[col("_winner")[name].alias(name) for name in rest], *carried
     )
 
 

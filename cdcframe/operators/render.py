@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcframe.functions.columns import checked, col, column_list
-from cdcframe.operators.shape import CREATE, ENVELOPE, OPERATION, READ_AT, REMOVE, SNAPSHOT, UPDATE
+from cdcframe.operators.shape import CREATE, CREATED_AT, ENVELOPE, OPERATION, READ_AT, REMOVE, SNAPSHOT, UPDATE
 
 
 @dataclass(frozen=True)
@@ -65,18 +65,19 @@ def render(winners: DataFrame, keys: str | Iterable[str], prefix: str = "cdc") -
     """The table row of each winning record.
 
     The read time goes to the one time column of the operation. A delete keeps its key and leaves every
-    payload column NULL.
+    payload column NULL. A created time that `compact` has carried is kept.
     """
     keys, book = column_list(keys), Bookkeeping(prefix)
+    carried = F.timestamp_micros(col(CREATED_AT)) if CREATED_AT in winners.columns else F.lit(None)
     operation, read_at = col(OPERATION), F.timestamp_micros(col(READ_AT))
     kept = {
         book.operation: operation,
-        book.created_at: F.when(operation.isin(CREATE, SNAPSHOT), read_at),
+        book.created_at: F.when(operation.isin(CREATE, SNAPSHOT), read_at).otherwise(carried).cast("timestamp"),
         book.updated_at: F.when(operation == UPDATE, read_at),
         book.deleted_at: F.when(operation == REMOVE, read_at),
         **{name: col(name) for name in keys},
     }
-    names = [name for name in winners.columns if name not in ENVELOPE]
+    names = [name for name in winners.columns if name not in (*ENVELOPE, CREATED_AT)]
     return winners.select(
         *[kept.get(name, F.when(operation != REMOVE, col(name))).alias(name) for name in book.layout(names)]
     )

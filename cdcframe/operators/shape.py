@@ -24,6 +24,8 @@ SEQ = "_seq"
 OPERATION = "_operation"
 READ_AT = "_read_at"
 ENVELOPE = [SEQ, OPERATION, READ_AT]
+#: What `compact` can add: the created time that the winner's batch has seen.
+CREATED_AT = "_created_at"
 
 
 def collapse_pairs(log: DataFrame) -> DataFrame:

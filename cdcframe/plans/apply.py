@@ -22,10 +22,17 @@ from cdcframe.sinks.stage import ROUTE, stage_read, stage_write
 from cdcframe.sinks.table import Commit, TargetTable
 
 
-def apply_batch(target: DataFrame | None, batch: DataFrame, keys: str | Iterable[str], prefix: str = "cdc") -> DataFrame:
+def apply_batch(
+    target: DataFrame | None,
+    batch: DataFrame,
+    keys: str | Iterable[str],
+    prefix: str = "cdc",
+    late: str = "take",
+    carry_created: bool = False,
+) -> DataFrame:
     """The target after a flat batch, as one plan: compact, render, merge. No target means an empty one."""
-    changes = render(compact(batch, keys), keys, prefix)
-    return changes if target is None else merge(target, changes, keys, prefix)
+    changes = render(compact(batch, keys, carry_created), keys, prefix)
+    return changes if target is None else merge(target, changes, keys, prefix, late=late)
 
 
 def _payload_schema(batch: DataFrame) -> T.StructType:
@@ -102,6 +109,7 @@ def apply_to_table(
     fmt: str = "parquet",
     codec: str | None = None,
     cleanup: bool = True,
+    carry_created: bool = False,
 ) -> Applied:
     """Apply a flat batch to a stored table: check, compact, render, stage, merge, clean up.
 
@@ -114,7 +122,7 @@ def apply_to_table(
     _check(table, batch)
     taken = Observation()
     counted = _fit(batch, table).observe(taken, F.count(F.lit(1)).alias("records"))
-    changes = render(compact(counted, table.keys), table.keys, table.prefix)
+    changes = render(compact(counted, table.keys, carry_created), table.keys, table.prefix)
     stage = table.stage_path()
     stage_write(changes, stage, fmt, codec, table.prefix)
     files = Files(table.spark, stage)
@@ -135,8 +143,9 @@ def apply_records(
     schema: T.StructType | None = None,
     mode: str = "batch",
     avro_key: str | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
     prefix: str = "cdc",
+    late: str = "take",
     **options,
 ) -> TargetTable:
     """Apply change records to the table at a path, which is created by the first batch.
@@ -152,6 +161,6 @@ def apply_records(
             schema = _fitted(schema, table, records, keys)
     batch = flatten_records(records, keys, schema)
     if table is None:
-        table = TargetTable.create(spark, table_path, _payload_schema(batch), keys, buckets, prefix)
+        table = TargetTable.create(spark, table_path, _payload_schema(batch), keys, buckets, prefix, late)
     apply_to_table(table, batch, batch_id, **options)
     return table

@@ -1,11 +1,17 @@
-"""The stored table: what a merge rewrites, replays, crashes, old readers, clean-up."""
+"""The stored table: what a merge writes, replays, crashes, old readers, clean-up."""
 
 import os
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcframe import SchemaMismatch, TargetTable, apply_batch, apply_records, apply_to_table, compact, merge_stats, render
+from cdcframe import SchemaMismatch, TargetTable, apply_batch, apply_records, apply_to_table, compact, merge, merge_stats, render
+from cdcframe.operators.merge import condense, fold
+from cdcframe.sinks import table as table_module
+from tests.inspect_plan import plan
 from tests.test_merge import random_batch
 
 PAYLOAD = T.StructType().add("id", T.LongType()).add("v", T.StringType())
@@ -31,29 +37,139 @@ def test_batches_one_after_the_other(spark, folder):
     assert not os.listdir(f"{table.path}/stage")
 
 
-def test_only_touched_buckets_are_rewritten_and_the_old_version_still_reads(spark, folder):
+def parquet_files(folder):
+    return sorted(name for name in os.listdir(folder) if name.endswith(".parquet")) if os.path.exists(folder) else []
+
+
+def test_a_small_merge_writes_its_changes_only_and_the_old_version_still_reads(spark, folder):
     table = make(spark, folder)
     apply_to_table(table, random_batch(spark, 1, 300, 200), 0)
     old = TargetTable.open(spark, table.path)
-    before = rows(old.read())
-    batch = random_batch(spark, 2, 2, 2)
-    done = apply_to_table(table, batch, 1)
+    before, written = rows(old.read()), parquet_files(table._folder("rows"))
+    done = apply_to_table(table, random_batch(spark, 2, 2, 2), 1)
     assert 1 <= done.commit.buckets <= 2
-    assert len([d for d in os.listdir(f"{table.path}/data/_cdc_version=2") if d.startswith("_cdc_bucket=")]) == done.commit.buckets
+    assert parquet_files(table._folder("rows")) == written and len(written) == 8
+    assert len(parquet_files(table._folder("changes"))) == done.commit.buckets
     assert rows(old.read()) == before != rows(table.read())
     old.refresh()
     assert rows(old.read()) == rows(table.read())
 
 
-def test_each_bucket_is_one_file_after_many_small_merges(spark, folder):
+def test_no_side_of_a_read_is_shuffled_and_the_rows_are_not_sorted(spark, folder):
+    table = make(spark, folder)
+    for n in range(3):
+        apply_to_table(table, random_batch(spark, n, 20 if n else 300, 200), n)
+    text = plan(table.read())
+    assert text.count("Bucketed: true") == 2 and "Exchange" not in text and "Sort " not in text and "FullOuter" in text
+
+
+def test_merging_a_frame_into_stored_rows_moves_the_frame_only(spark, folder):
+    table = make(spark, folder)
+    apply_to_table(table, random_batch(spark, 1, 300, 200), 0)
+    changes = random_batch(spark, 9, 30, 200).filter("_operation = 'create'").dropDuplicates(["id"]).sortWithinPartitions("v")
+    rendered = render(changes, "id").hint("merge")
+    text = plan(merge(table.read(), rendered, "id"))
+    assert text.count("Exchange hashpartitioning(id") == plan(rendered).count("Exchange hashpartitioning(id") == 1
+    assert "hashpartitioning(id#" in text and ", 8)" in text
+
+
+def tasks_of(spark, action):
+    """The tasks that an action has run."""
+    status, group = spark.sparkContext.statusTracker(), f"count {id(action)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+    stages = {stage for job in status.getJobIdsForGroup(group) for stage in status.getJobInfo(job).stageIds}
+    return sum(info.numCompletedTasks for info in map(status.getStageInfo, stages) if info)
+
+
+def test_three_updates_cost_tasks_for_the_buckets_they_touch(spark, folder):
+    table = make(spark, folder, 256)
+    apply_to_table(table, random_batch(spark, 1, 3000, 2500), 0)
+    assert len(parquet_files(table._folder("rows"))) > 200
+    changes = render(random_batch(spark, 2, 3, 2500).filter("_operation <> 'create'"), "id").dropDuplicates(["id"])
+    changes.write.parquet(f"{folder}/staged")
+    staged = spark.read.parquet(f"{folder}/staged")
+    assert tasks_of(spark, lambda: table.merge(staged, 1)) < 40
+    assert table.version == 2
+
+
+def test_changes_are_brought_into_the_rows_when_they_are_many(spark, folder, monkeypatch):
+    table, expected = make(spark, folder), None
+    generations = set()
+    for n in range(12):
+        batch = random_batch(spark, n, 400 if n == 0 else 25, 300)
+        apply_to_table(table, batch, n)
+        expected = apply_batch(expected, batch, "id")
+        generations.add(table._manifest["generation"])
+        assert sum(c["rows"] for c in table._manifest["changes"]) < 0.25 * table._manifest["rows"]
+        assert rows(table.read()) == rows(expected)
+    assert 2 <= len(generations) < 8
+    assert len(parquet_files(table._folder("rows"))) == 8
+    monkeypatch.setattr(table_module, "BUCKET_BYTES", 500)  # the buckets are too large now
+    apply_to_table(table, random_batch(spark, 20, 200, 300), 20)
+    expected = apply_batch(expected, random_batch(spark, 20, 200, 300), "id")
+    assert table.buckets > 8 and rows(table.read()) == rows(expected)
+    apply_to_table(table, random_batch(spark, 21, 9, 300), 21)
+    assert rows(TargetTable.open(spark, table.path).read()) == rows(apply_batch(expected, random_batch(spark, 21, 9, 300), "id"))
+
+
+def test_buckets_by_the_size_of_the_first_batch(spark, folder):
+    table = TargetTable.create(spark, f"{folder}/t", PAYLOAD, "id")
+    assert table.buckets is None and table.read().count() == 0
+    apply_to_table(table, random_batch(spark, 1), 0)
+    assert table.buckets == 8 and TargetTable.open(spark, table.path).buckets == 8
+
+
+@pytest.mark.parametrize("late", ["take", "ignore"])
+def test_fold_equals_one_merge_after_the_other(spark, late):
+    merged, parts = None, []
+    for n in range(6):
+        changes = render(compact(random_batch(spark, n, 60, 25), "id"), "id")
+        merged = changes if merged is None else merge(merged, changes, "id", late=late)
+        parts.append(changes.withColumn("n", F.lit(n)))
+    schema = merged.schema
+    union = reduce(DataFrame.unionByName, parts)
+    assert rows(fold(None, union, "id", ["n"], schema, late=late)) == rows(merged)
+    first, later = parts[0].drop("n"), union.filter("n > 0")
+    assert rows(fold(first, later, "id", ["n"], schema, late=late)) == rows(merged)
+    if late == "take":
+        few = condense(later, "id", "n")
+        assert max(r["count"] for r in few.groupBy("id").count().collect()) <= 3
+        assert rows(fold(first, few, "id", ["n"], schema)) == rows(merged)
+        assert rows(fold(None, condense(union, "id", "n"), "id", ["n"], schema)) == rows(merged)
+
+
+def test_late_updates_of_later_batches_are_ignored_on_request(spark, folder):
+    schema = "_seq bigint, _operation string, _read_at bigint, id bigint, v string"
+    batches = [
+        [(0, "create", 5, 1, "a"), (0, "update", 9, 2, "b"), (0, "update", 9, 3, "c"), (0, "update", 9, 4, "d")],
+        [(1, "update", 6, 1, "e"), (1, "update", 9, 2, "late"), (1, "delete", 3, 3, None), (1, "update", 10, 4, "f")],
+        [(2, "update", 6, 1, "late"), (2, "create", 1, 2, "g"), (2, "update", 8, 3, "late"), (2, "delete", 20, 4, None)],
+        [(3, "update", 7, 1, "h"), (3, "update", 2, 2, "i"), (3, "update", 10, 3, "j"), (3, "update", 10, 4, "late")],
+    ]
+    table = TargetTable.create(spark, f"{folder}/t", PAYLOAD, "id", 4, late="ignore")
+    expected = None
+    for n, batch in enumerate(batches):
+        batch = spark.createDataFrame(batch, schema)
+        apply_to_table(table, batch, n)
+        expected = apply_batch(expected, batch, "id", late="ignore")
+    assert rows(table.read()) == rows(expected)
+    found = {r["id"]: (r["cdc_operation"], r["v"]) for r in table.read().collect()}
+    assert found == {1: ("update", "h"), 2: ("update", "i"), 3: ("update", "j"), 4: ("delete", "f")}
+
+
+def test_the_created_time_can_be_carried(spark, folder):
+    schema = "_seq bigint, _operation string, _read_at bigint, id bigint, v string"
+    data = [(0, "create", 5, 1, "a"), (1, "update", 6, 1, "b"), (0, "update", 7, 2, "c"), (0, "create", 8, 3, "d"), (1, "delete", 9, 3, None)]
+    batch = spark.createDataFrame(data, schema)
     table = make(spark, folder)
-    for n in range(20):
-        apply_to_table(table, random_batch(spark, n, 500 if n == 0 else 4, 400), n)
-    for version in os.listdir(f"{table.path}/data"):
-        for bucket in os.listdir(f"{table.path}/data/{version}"):
-            if bucket.startswith("_cdc_bucket="):
-                files = os.listdir(f"{table.path}/data/{version}/{bucket}")
-                assert len([f for f in files if f.endswith(".parquet")]) == 1
+    apply_to_table(table, spark.createDataFrame([(0, "create", 1, 1, "old")], schema), 0)
+    apply_to_table(table, batch, 1, carry_created=True)
+    created = {r["id"]: r["c"] for r in table.read().selectExpr("id", "unix_micros(cdc_created_at) c").collect()}
+    assert created == {1: 5, 2: None, 3: 8}
 
 
 def test_the_commit_counts_what_the_merge_affects(spark, folder):
@@ -85,7 +201,7 @@ def test_crash_before_the_manifest(spark, folder, monkeypatch):
         broken.setattr(TargetTable, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             apply_to_table(table, random_batch(spark, 2), 1)
-    assert os.path.exists(f"{table.path}/data/_cdc_version=2") and os.listdir(f"{table.path}/stage") == ["2"]
+    assert os.listdir(f"{table.path}/stage") == ["2"]
     table = TargetTable.open(spark, table.path)
     assert rows(table.read()) == before
     apply_to_table(table, random_batch(spark, 2), 1)
