@@ -19,6 +19,42 @@ SNAPSHOT_POSITION = "s"
 CHANGE_POSITION = "c"
 
 
+def _unordered(dtype: T.DataType) -> bool:
+    """Whether values of a type hold variants or maps, which cannot be grouped by."""
+    if isinstance(dtype, T.StructType):
+        return any(_unordered(field.dataType) for field in dtype)
+    if isinstance(dtype, T.ArrayType):
+        return _unordered(dtype.elementType)
+    return isinstance(dtype, (T.VariantType, T.MapType))
+
+
+def _plain(value: Column, dtype: T.DataType) -> Column:
+    """The value with its maps as arrays of entries in order of their keys, and its variants as JSON text."""
+    if not _unordered(dtype):
+        return value
+    if isinstance(dtype, T.VariantType):
+        return F.to_json(value)
+    if isinstance(dtype, T.StructType):
+        fields = F.struct(*[_plain(value[field.name], field.dataType).alias(field.name) for field in dtype])
+        return F.when(value.isNotNull(), fields)
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda item: _plain(item, dtype.elementType))
+    pairs = F.transform(
+        F.map_entries(value),
+        lambda e: F.struct(_plain(e["key"], dtype.keyType).alias("key"), _plain(e["value"], dtype.valueType).alias("value")),
+    )
+    return F.array_sort(pairs, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+
+
+def canonical(value: Column, dtype: T.DataType) -> Column | None:
+    """A column that is equal for equal values of a type that cannot be grouped by, since it holds variants or maps at some
+    depth; None for other types."""
+    if not _unordered(dtype):
+        return None
+    # Arrays, structs and text group as they are.
+    return _plain(value, dtype)
+
+
 def json_value(column: Column, dtype: T.DataType) -> Column:
     """A value as it goes into JSON: times as UTC RFC 3339 text, the rest as it is."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):

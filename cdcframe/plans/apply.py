@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -11,15 +13,16 @@ from pyspark.sql import types as T
 
 from cdcframe.files import Files
 from cdcframe.functions.columns import MissingColumn, col, column_list
+from cdcframe.functions.ranges import ROWS_PER_RANGE, number_rows
 from cdcframe.functions.types import logical_type, spark_type
 from cdcframe.operators.check import SchemaMismatch, check_schema
 from cdcframe.operators.compact import compact
 from cdcframe.operators.infer import collect_types, field_types, infer_schema
-from cdcframe.operators.merge import merge
+from cdcframe.operators.merge import condense, merge
 from cdcframe.operators.render import Bookkeeping, render
-from cdcframe.operators.shape import ENVELOPE, OPERATION, REMOVE, SEQ, flatten_records
+from cdcframe.operators.shape import ENVELOPE, OPERATION, READ_AT, REMOVE, SEQ, flatten_records
 from cdcframe.sinks.stage import ROUTE, stage_read, stage_write
-from cdcframe.sinks.table import Commit, TargetTable
+from cdcframe.sinks.table import STEP, Commit, TargetTable
 
 
 def apply_batch(
@@ -39,10 +42,12 @@ def _payload_schema(batch: DataFrame) -> T.StructType:
     return T.StructType([field for field in batch.schema if field.name not in ENVELOPE])
 
 
-def record_schema(records: DataFrame, mode: str = "batch", avro_key: str | None = None) -> T.StructType:
+def record_schema(
+    records: DataFrame, mode: str = "batch", avro_key: str | None = None, nested: bool = False
+) -> T.StructType:
     """The payload schema of change records; that of JSON payloads is inferred, see `infer_schema`."""
     after = records.schema["after"].dataType
-    return infer_schema(records, mode, avro_key=avro_key) if isinstance(after, T.StringType) else after
+    return infer_schema(records, mode, avro_key=avro_key, nested=nested) if isinstance(after, T.StringType) else after
 
 
 def _fitted(inferred: T.StructType, table: TargetTable | None, records: DataFrame, keys: list[str]) -> T.StructType:
@@ -135,6 +140,67 @@ def apply_to_table(
     return Applied(commit, taken.get["records"])
 
 
+def apply_by_count(
+    table: TargetTable,
+    batch: DataFrame,
+    size: int,
+    batch_id: int | None = None,
+    writer: str = "default",
+    close: bool = False,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> Commit:
+    """Apply a flat batch as batches of `size` records each, in order of sequence, and commit them at once.
+
+    The records that do not fill a batch wait in files beside the table for the next call of the same writer, which they
+    come before; with `close` they are a batch of their own. So where batches end depends on the records alone and not on
+    how they come, and a call that is repeated cuts the same ones. Within each batch the rules of `compact` hold; from
+    batch to batch those of `merge`, whose outcome is found without going through the batches one by one.
+    """
+    if size < 1:
+        raise ValueError("a batch needs a record")
+    table.refresh()
+    if table.is_done(batch_id, writer):
+        return Commit(table.version, skipped=True)
+    spark, keys, waiting = table.spark, table.keys, table.state_of(writer)
+    files, stage, attempt = Files(spark, table.path), table.stage_path(), uuid.uuid4().hex
+    _check(table, batch)
+    records = _fit(batch, table)
+    schema = records.schema
+    if waiting.get("pending"):
+        records = spark.read.schema(schema).parquet(waiting["pending"]).unionByName(records)
+    records.write.mode("overwrite").parquet(f"{stage}/records")
+    numbered, count = number_rows(spark.read.schema(schema).parquet(f"{stage}/records"), [SEQ, *keys], "_number", rows_per_range=rows_per_range)
+    whole = count if close else count - count % size
+    steps = numbered.filter(col("_number") < whole).withColumn(STEP, F.floor(col("_number") / size).cast("bigint")).drop("_number")
+    changes = render(compact(steps, [*keys, STEP]), [*keys, STEP], table.prefix)
+    if table.late == "take":
+        changes = condense(changes, keys, STEP, table.prefix)
+    changes.write.mode("overwrite").parquet(f"{stage}/changes")
+    pending = None
+    if whole < count:
+        pending = f"{table.path}/pending/{attempt}"
+        numbered.filter(col("_number") >= whole).drop("_number").write.parquet(pending)
+    state = {"pending": pending, "since": time.time() if pending else None}
+    staged = spark.read.schema(changes.schema).parquet(f"{stage}/changes")
+    commit = table.merge(staged, batch_id, writer, steps=True, state=state)
+    files.delete(stage)
+    if waiting.get("pending"):
+        files.delete(waiting["pending"])
+    return commit
+
+
+def close_pending(table: TargetTable, size: int, writer: str = "default") -> Commit | None:
+    """Apply the records that wait for their batch to fill as a batch of their own."""
+    table.refresh()
+    if not table.state_of(writer).get("pending"):
+        return None
+    book = Bookkeeping(table.prefix).columns
+    payload = [field for field in table.schema if field.name not in book]
+    envelope = T.StructType().add(SEQ, T.LongType()).add(OPERATION, T.StringType()).add(READ_AT, T.LongType())
+    none = table.spark.createDataFrame([], T.StructType([*envelope, *payload]))
+    return apply_by_count(table, none, size, None, writer, close=True)
+
+
 def apply_records(
     table_path: str,
     records: DataFrame,
@@ -143,6 +209,7 @@ def apply_records(
     schema: T.StructType | None = None,
     mode: str = "batch",
     avro_key: str | None = None,
+    nested: bool = False,
     buckets: int | None = None,
     prefix: str = "cdc",
     late: str = "take",
@@ -156,7 +223,7 @@ def apply_records(
     spark, keys = records.sparkSession, column_list(keys)
     table = TargetTable.open(spark, table_path) if TargetTable.exists(spark, table_path) else None
     if schema is None:
-        schema = record_schema(records, mode, avro_key)
+        schema = record_schema(records, mode, avro_key, nested)
         if isinstance(records.schema["after"].dataType, T.StringType):
             schema = _fitted(schema, table, records, keys)
     batch = flatten_records(records, keys, schema)

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcframe.files import Files
 from cdcframe.functions.columns import col, column_list, literal, require
-from cdcframe.functions.payload import CHANGE_POSITION, SNAPSHOT_POSITION, Position, json_value, position_json
+from cdcframe.functions.payload import (
+    CHANGE_POSITION,
+    SNAPSHOT_POSITION,
+    Position,
+    json_value,
+    parse_position,
+    position_json,
+)
 from cdcframe.operators.shape import SNAPSHOT, classify, collapse_pairs, to_records
 from cdcframe.plans.apply import apply_records
 from cdcframe.sinks.table import TargetTable
@@ -19,6 +28,7 @@ from cdcframe.sources.log import (
     INDEX_IN_BATCH,
     ROW_NUMBER,
     consume,
+    log_end,
     next_consume,
     number_batches,
     payload_columns,
@@ -99,6 +109,43 @@ def _has_snapshot(spark: SparkSession, table_path: str) -> bool:
     return TargetTable.exists(spark, table_path) and TargetTable.open(spark, table_path).is_done(0, _WRITER)
 
 
+def backfill(
+    read: Callable[[], DataFrame],
+    keys: str | Iterable[str] | None,
+    ordering: str,
+    name: str,
+    table_path: str,
+    log_path: str,
+    snapshot_at: datetime,
+    nulls: str = "error",
+    primary_keys: Iterable[str] = (),
+    **options,
+) -> tuple[TargetTable, Position | None]:
+    """Bring a whole source table into a target, and tell from where on in its change log a stream has to go on.
+
+    The position is that of the end of the log before `read` is called, and is kept beside the table: whatever changes
+    while the source is being read is recorded after it, so nothing is missed, and what is in both is merged by key. A call
+    that is repeated after a failure keeps the first position, and takes the snapshot again if it was not committed.
+    No position means the start of the log.
+    """
+    spark = SparkSession.getActiveSession()
+    keys = key_columns(column_list(keys or []), primary_keys, ordering)
+    saved = f"{table_path.rstrip('/')}/backfill/{name}.json"
+    files = Files(spark, table_path)
+    if not files.exists(saved):
+        end = log_end(spark, log_path)
+        row = {"IteratorType": CHANGE_POSITION, "IndexInBatch": 0, "BatchID": end - 1}
+        files.write_text(saved, json.dumps(row if end else None))
+    text = files.read_text(saved)
+    position = None if text == "null" else parse_position(text)
+    if not _has_snapshot(spark, table_path):
+        source = read()
+        require_unique(source, keys)
+        records = snapshot_records(source, ordering, keys, name, snapshot_at, as_json=False, nulls=nulls)
+        apply_records(table_path, records, keys, batch_id=0, writer=_WRITER, **options)
+    return TargetTable.open(spark, table_path), position
+
+
 def replicate(
     old: DataFrame,
     new: DataFrame,

@@ -6,10 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cdcframe.functions.columns import col, require
-from cdcframe.functions.payload import json_object
+from cdcframe.functions.payload import canonical, json_object
 
 # The change columns and the two actions.
 ACTION = "METADATA$ACTION"
@@ -46,10 +45,11 @@ def net_changes(
         return df.select(*[col(name) for name in names], F.lit(sign).cast("bigint").alias("_net"))
 
     both = version(old, -1).unionByName(version(new, 1))
-    # A variant goes by its JSON text, which has its keys in order; one of the equal values is carried.
-    variants = [name for name in names if isinstance(old.schema[name].dataType, T.VariantType)]
-    whole = [F.to_json(col(name)).alias(f"_json {name}") if name in variants else col(name) for name in names]
-    sums = [F.sum("_net").alias("_net"), *[F.first(col(name)).alias(name) for name in variants]]
+    # What holds a variant or a map goes by its JSON text, with keys in order; one of the equal values is carried.
+    texts = {name: canonical(col(name), old.schema[name].dataType) for name in names}
+    texts = {name: text for name, text in texts.items() if text is not None}
+    whole = [texts[name].alias(f"_json {name}") if name in texts else col(name) for name in names]
+    sums = [F.sum("_net").alias("_net"), *[F.first(col(name)).alias(name) for name in texts]]
     left = both.groupBy(*whole).agg(*sums).filter(col("_net") != 0).select(*[col(name) for name in names], "_net")
 
     sides = left.groupBy(*[col(key).alias(f"_key{i}") for i, key in enumerate(keys)]).agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -112,6 +112,56 @@ def mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as records with nested JSON payloads: objects in objects, arrays of numbers and of objects, and a field whose
+    values disagree."""
+    kind, user = col("event_type"), col("user_id")
+    both = F.array(
+        F.to_json(F.struct(user.alias("a"))), F.to_json(F.struct(user.alias("a"), col("value").alias("b")))
+    )
+    parts = [
+        F.lit('{"id":'), col("event_id").cast("string"),
+        F.lit(',"inner":{"k":'), F.get_json_object("props", "$.k"), F.lit(',"deep":{"flag":'), (kind == "click").cast("string"), F.lit("}}"),
+        F.lit(',"numbers":['), user.cast("string"), F.lit(","), F.when(kind == "view", col("value").cast("decimal(18,2)").cast("string")).otherwise("7"), F.lit("]"),
+        F.lit(',"objects":'), F.when(kind == "error", "[]").otherwise(F.concat(F.lit("["), F.array_join(F.when(kind == "view", F.reverse(both)).otherwise(both), ","), F.lit("]"))),
+        F.lit(',"mixed":'), F.when(kind == "signup", user.cast("string")).otherwise(F.concat(F.lit('"'), kind, F.lit('"'))), F.lit("}"),
+    ]
+    return table(spark, sf_dir, "events").select(col("event_id").alias("seq"), F.concat(*parts).alias("after"))
+
+
+AVRO_DEEP = (
+    '{"type":"record","name":"deep","fields":[{"name":"id","type":"long"},{"name":"maybe","type":["null","string"]},'
+    '{"name":"maybe_at","type":["null",{"type":"long","logicalType":"timestamp-micros"}]},{"name":"list","type":'
+    '{"type":"array","items":"long"}},{"name":"lookup","type":{"type":"map","values":"double"}},{"name":"inner","type":'
+    '{"type":"record","name":"i","fields":[{"name":"x","type":"int"},{"name":"deep","type":{"type":"array","items":'
+    '{"type":"record","name":"j","fields":[{"name":"y","type":["double","null"]}]}}}]}},{"name":"kind","type":'
+    '{"type":"enum","name":"k","symbols":["click","view","purchase","signup","error"]}}]}'
+)
+
+
+def avro_nested_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as records that carry a nested Avro schema, with payloads that go by it."""
+    kind, user, value = col("event_type"), col("user_id"), col("value")
+    row = F.struct(
+        col("event_id").alias("id"),
+        F.when(kind != "error", col("props")).alias("maybe"),
+        F.when(kind != "view", F.date_format(col("ts"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("maybe_at"),
+        F.array(user, col("event_id")).alias("list"),
+        F.create_map(F.lit("a"), value).alias("lookup"),
+        F.struct(user.alias("x"), F.array(F.struct(F.when(kind != "click", value).alias("y"))).alias("deep")).alias("inner"),
+        kind.alias("kind"),
+    )
+    metadata = F.create_map(F.lit("avro.schema"), F.lit(AVRO_DEEP)).alias("metadata")
+    return table(spark, sf_dir, "events").select(col("event_id").alias("seq"), metadata, F.to_json(row, {"ignoreNullFields": "false"}).alias("after"))
+
+
+CONSUMES = 3
+
+
+def consumed_at(batch_id: int) -> datetime:
+    return FIRST_CONSUME + timedelta(hours=batch_id)
+
+
 def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """`orders` as it is, and a later version of it.
 

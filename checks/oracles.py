@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.inputs import AVRO_LOGICAL, AVRO_NESTED, AVRO_PLAIN, CHANGES_READ_AT, FIRST_CONSUME, SECOND_CONSUME, SNAPSHOT_AT
+from checks.inputs import AVRO_LOGICAL, AVRO_NESTED, AVRO_PLAIN, CHANGES_READ_AT, CONSUMES, FIRST_CONSUME, SECOND_CONSUME, SNAPSHOT_AT
 from checks.queries import KNOWN, PAGE, UNKNOWN
 
 ORACLES: dict[str, str] = {}
@@ -114,6 +114,17 @@ _OPERATION = "case when \"action\" = 'DELETE' then 'delete' when is_update then
 ORACLES["cdc_collapse_pairs"] = f"{_LOG} select {_LOG_ROW} from {_COLLAPSED}"
 ORACLES["cdc_classify"] = f"{_LOG} select o_orderkey, consumed_at, {_OPERATION} operation from {_COLLAPSED}"
 ORACLES["stream_change_log"] = ORACLES["cdc_classify"]
+ORACLES["stream_resume"] = ORACLES["change_log_resume"]
+
+ORACLES["stream_consume"] = f"""
+{_FORWARD}, parts as (
+  select *, {_ROW_ID} row_id, {T1} + ((o_orderkey % {CONSUMES} + {CONSUMES}) % {CONSUMES}) * 3600000000 consumed_at from forward)
+select * replace (epoch_us(o_orderdate) as o_orderdate),
+  row_number() over (order by consumed_at, md5(row_id), row_id, is_update, "action") - 1 "row_number" from parts"""
+
+ORACLES["number_any_log"] = f"""
+with n as (select event_id, row_number() over (order by event_type, ts, event_id) - 1 "row_number" from events)
+select *, "row_number" - "row_number" % {PAGE} batch_id, "row_number" % {PAGE} index_in_batch from n"""
 
 _ORDER_JSON = f"""json_object('o_custkey', o_custkey, 'o_orderdate', strftime(o_orderdate, {_RFC}), 'o_orderkey', o_orderkey,
   'o_orderpriority', o_orderpriority, 'o_orderstatus', o_orderstatus, 'o_totalprice', o_totalprice)::varchar"""
@@ -182,6 +193,18 @@ ORACLES["infer_schema_first"] = f"""
 with {_MIXED}, head as (select * from mixed where event_id = (select min(event_id) from events)),
 {_FIELD_TYPES.format(source='head')} select * from types"""
 
+ORACLES["infer_schema_nested"] = """
+select event_id id, (props->>'$.k')::bigint k, event_type = 'click' flag,
+  case when event_type = 'view' then value::decimal(18,2)::double else 7::double end "second",
+  case when event_type = 'error' then 0 else 2 end::bigint objects, case when event_type <> 'error' then user_id end a,
+  case when event_type = 'view' then value end b, case when event_type = 'signup' then user_id::varchar else event_type end mixed
+from events"""
+
+ORACLES["avro_schema_nested"] = """
+select event_id id, case when event_type <> 'error' then props end maybe, user_id "first", value a, user_id x,
+  case when event_type <> 'click' then value end y, event_type kind, case when event_type <> 'view' then epoch_us(ts) end maybe_at
+from events"""
+
 # The logical types of the three schemas of the input, field by field.
 _AVRO = {
     AVRO_PLAIN: "flag boolean, small integer, big integer, single float, twice float, raw varchar, text varchar",
@@ -231,6 +254,12 @@ rendered as (
 
 ORACLES["compact_latest"] = f"with {_winners()} select id, seq, operation, read_at, value, props from winners"
 
+ORACLES["compact_carry_created"] = f"""
+with {_winners()}, made as (select id, seq, read_at from batch where operation in ('create', 'snapshot'))
+select id, w.seq, operation, w.read_at, value, props,
+  (select arg_max(m.read_at, m.seq) from made m where m.id = w.id and m.seq <= w.seq) created_at
+from winners w"""
+
 ORACLES["compact_dropped_updates"] = f"""
 with {_winners()} select id, seq, operation, read_at, value, props from seen
 where operation = 'update' and read_at <= earlier"""
@@ -305,13 +334,13 @@ changes as (
   from raw)"""
 
 
-def _merged(key: str, columns: list[str], old: str, new: str) -> str:
+def _merged(key: str, columns: list[str], old: str, new: str, ignored: str = "false") -> str:
     """The merged rows of two CTEs with the bookkeeping columns, written as one CASE per column."""
 
     def kept(condition: str, name: str) -> str:
         return f"case when {condition} then o.{name} else n.{name} end {name}"
 
-    gone = f"n.{key} is null"
+    gone = f"n.{key} is null or ({ignored})"
     both = f"o.{key} is not null"
     after_delete = f"{gone} or ({both} and n.operation = 'delete')"
     return f"""
@@ -360,6 +389,21 @@ def _applied(parts: int, part: str | None = None) -> str:
 
 ORACLES["apply_two_batches"] = _applied(2)
 ORACLES["stream_apply"] = _applied(3)
+ORACLES["apply_late_ignore"] = f"""
+with {_winners(f'({_cut(2)})')}, part0 as (select * exclude (part) from rendered where part = 0),
+part1 as (select * exclude (part) from rendered where part = 1)
+{_merged('id', ['value', 'props'], 'part0', 'part1', "n.operation = 'update' and o.id is not null and n.updated_at <= o.updated_at")}"""
+
+# Batches of a fixed number of records, one after the other: what is left of each key's winners at the end.
+ORACLES["stream_apply_by_count"] = f"""
+with {_winners(f'((seq - (select min(event_id) from events)) // {PAGE})')},
+last as (
+  select id, arg_max(operation, part) operation, arg_max(struct_pack(v := deleted_at), part).v deleted_at,
+    arg_max(created_at, part) filter (operation in ('create', 'snapshot')) created_at,
+    arg_max(struct_pack(u := updated_at, v := value, p := props), part) filter (operation <> 'delete') payload
+  from rendered group by id)
+select id, operation, created_at, payload.u updated_at, deleted_at, payload.v value, payload.p props from last"""
+
 ORACLES["apply_json_records"] = _applied(2, "(operation = 'delete')::int")
 ORACLES["apply_affected"] = f"""
 with {_winners(f'({_cut(2)})')}
@@ -378,6 +422,13 @@ def _later(changes: str, at: int) -> str:
   from {changes} where not ("action" = 'DELETE' and is_update)"""
 
 
+ORACLES["stream_handover"] = f"""
+{_FORWARD}, {_changes('v2', 'v1', 'backward')},
+first as (select 'snapshot' operation, {T0} created_at, null::bigint updated_at, null::bigint deleted_at, * from v2),
+again as ({_later('backward', T2)}),
+merged as ({_merged('o_orderkey', _REST, 'first', 'again')})
+select * replace (epoch_us(o_orderdate) as o_orderdate) from merged"""
+
 _REPLICATED = f"""
 first as (select 'snapshot' operation, {T0} created_at, null::bigint updated_at, null::bigint deleted_at, * from v1),
 later as ({_later('forward', T1)}),

@@ -13,7 +13,7 @@ from cdcframe.functions.columns import col
 from cdcframe.functions.times import micros_ntz, micros_of, ntz_micros
 from cdcframe.operators.infer import first_record
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE
-from cdcframe.sources.log import BATCH_ID, INDEX_IN_BATCH
+from cdcframe.sources.log import BATCH_ID, INDEX_IN_BATCH, ROW_NUMBER
 from cdcframe.workspace import work_folder
 from checks import inputs as i
 
@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 PAGE = 1000
+SAVED = '{"IteratorType":"c","IndexInBatch":249,"BatchID":1000}'
 
 
 def query(function: Query) -> Query:
@@ -128,7 +129,7 @@ def _log_row(log: DataFrame, *more: str) -> DataFrame:
 
 @query
 def change_log_page(spark, sf):
-    return _log_row(c.log_page(i.order_log(spark, sf), 2500, PAGE), "row_number")
+    return _log_row(c.log_page(spark, i.order_log_path(spark, sf), 2500, PAGE), "row_number")
 
 
 @query
@@ -138,8 +139,7 @@ def change_log_batches(spark, sf):
 
 @query
 def change_log_resume(spark, sf):
-    position = c.parse_position('{"IteratorType":"c","IndexInBatch":249,"BatchID":1000}')
-    return _log_row(c.log_after(i.order_log(spark, sf), position, PAGE), BATCH_ID, INDEX_IN_BATCH)
+    return _log_row(c.log_after(spark, i.order_log_path(spark, sf), c.parse_position(SAVED), PAGE), BATCH_ID, INDEX_IN_BATCH)
 
 
 @query
@@ -191,12 +191,47 @@ def snapshot_then_cdc(spark, sf):
 
 @query
 def stream_change_log(spark, sf):
-    path, out = i.order_log_path(spark, sf), work_folder(spark, "stream")
-    schema = i.order_log(spark, sf).schema
-    rows = c.classify(c.collapse_pairs(c.stream_changes(spark, path, schema)))
-    rows = rows.select("o_orderkey", F.unix_micros(col(CONSUMED_AT)).alias("consumed_at"), "operation")
-    c.run_to_end(c.stream_append(rows, f"{out}/rows", f"{out}/checkpoint"))
-    return spark.read.parquet(f"{out}/rows")
+    out = work_folder(spark, "stream")
+
+    def shown(log):
+        rows = c.classify(c.collapse_pairs(log))
+        return rows.select("o_orderkey", F.unix_micros(col(CONSUMED_AT)).alias("consumed_at"), "operation")
+
+    stream = c.stream_log(spark, i.order_log_path(spark, sf), max_consumes=1)
+    c.run_to_end(c.stream_append(stream, f"{out}/rows", f"{out}/checkpoint", change=shown))
+    return spark.read.parquet(f"{out}/rows").drop("_batch")
+
+
+@query
+def stream_resume(spark, sf):
+    out = work_folder(spark, "resume")
+    stream = c.stream_log(spark, i.order_log_path(spark, sf), c.parse_position(SAVED))
+    shown = lambda log: _log_row(c.number_batches(log, PAGE), BATCH_ID, INDEX_IN_BATCH)
+    c.run_to_end(c.stream_append(stream, f"{out}/rows", f"{out}/checkpoint", change=shown))
+    return spark.read.parquet(f"{out}/rows").drop("_batch")
+
+
+@query
+def stream_consume(spark, sf):
+    changes, folder = c.net_changes(*i.order_versions(spark, sf), "o_orderkey"), work_folder(spark, "consume")
+    changes.write.parquet(f"{folder}/changes")
+    changes = spark.read.parquet(f"{folder}/changes")
+    stream = c.stream_changes(spark, f"{folder}/in/*", changes.schema)
+    # Each third of the changes arrives as new files, and the stream is asked again.
+    for n in range(i.CONSUMES):
+        changes.filter(F.pmod(col("o_orderkey"), F.lit(i.CONSUMES)) == n).write.parquet(f"{folder}/in/{n}")
+        c.run_to_end(c.stream_consume(stream, f"{folder}/log", f"{folder}/checkpoint", at=i.consumed_at))
+    rows = i.shown_log(c.read_log(spark, f"{folder}/log"))
+    return rows.withColumn("o_orderdate", ntz_micros(col("o_orderdate")))
+
+
+@query
+def number_any_log(spark, sf):
+    events = i.table(spark, sf, "events")
+    numbered, _ = c.number_rows(events, ["event_type", "ts", "event_id"], "row_number", rows_per_range=PAGE)
+    return c.number_batches(numbered.withColumnRenamed("row_number", ROW_NUMBER), PAGE).select(
+        "event_id", col(ROW_NUMBER).alias("row_number"), BATCH_ID, INDEX_IN_BATCH
+    )
 
 
 # Batches
@@ -227,6 +262,40 @@ def infer_schema_first(spark, sf):
     return c.field_types(first_record(i.mixed_payloads(spark, sf)))
 
 
+@query
+def infer_schema_nested(spark, sf):
+    records = i.nested_records(spark, sf)
+    row = c.decode_payload(col("after"), c.infer_schema(records, payload="after", nested=True))
+    rows = records.select(row.alias("row")).select("row.*")
+    return rows.select(
+        "id",
+        rows["inner"]["k"].alias("k"),
+        rows["inner"]["deep"]["flag"].alias("flag"),
+        F.get("numbers", F.lit(1)).alias("second"),
+        F.size("objects").cast("bigint").alias("objects"),
+        F.get("objects", F.lit(0))["a"].alias("a"),
+        F.get("objects", F.lit(0))["b"].alias("b"),
+        "mixed",
+    )
+
+
+@query
+def avro_schema_nested(spark, sf):
+    records = i.avro_nested_records(spark, sf)
+    schema = c.infer_schema(records, avro_key="avro.schema", nested=True)
+    rows = records.select(c.decode_payload(col("after"), schema).alias("row")).select("row.*")
+    return rows.select(
+        "id",
+        "maybe",
+        rows["list"][0].alias("first"),
+        rows["lookup"]["a"].alias("a"),
+        rows["inner"]["x"].alias("x"),
+        rows["inner"]["deep"][0]["y"].alias("y"),
+        "kind",
+        F.unix_micros("maybe_at").alias("maybe_at"),
+    )
+
+
 @query
 def avro_field_types(spark, sf):
     return c.avro_fields(i.event_records(spark, sf))
@@ -248,6 +317,12 @@ def compact_latest(spark, sf):
     return _shown_batch(c.compact(i.event_batch(spark, sf), "id"))
 
 
+@query
+def compact_carry_created(spark, sf):
+    rows = c.compact(i.event_batch(spark, sf), "id", carry_created=True)
+    return _shown_batch(rows).join(rows.select("id", col("_created_at").alias("created_at")), "id")
+
+
 @query
 def compact_dropped_updates(spark, sf):
     return _shown_batch(c.late_updates(i.event_batch(spark, sf), "id"))
@@ -365,9 +440,9 @@ def apply_change_log(spark, sf):
     return i.shown_target(c.apply_batch(None, i.event_batch(spark, sf), "id"))
 
 
-def _event_table(spark, batch, name):
+def _event_table(spark, batch, name, late="take"):
     payload = T.StructType([field for field in batch.schema if not field.name.startswith("_")])
-    return c.TargetTable.create(spark, work_folder(spark, name), payload, "id", c.bucket_count(batch))
+    return c.TargetTable.create(spark, work_folder(spark, name), payload, "id", late=late)
 
 
 def _cuts(batch: DataFrame, parts: int) -> list[DataFrame]:
@@ -386,6 +461,15 @@ def apply_two_batches(spark, sf):
     return i.shown_target(table.read())
 
 
+@query
+def apply_late_ignore(spark, sf):
+    batch = i.event_batch(spark, sf)
+    table = _event_table(spark, batch, "late", "ignore")
+    for batch_id, part in enumerate(_cuts(batch, 2)):
+        c.apply_to_table(table, part, batch_id)
+    return i.shown_target(table.read())
+
+
 @query
 def apply_affected(spark, sf):
     batch = i.event_batch(spark, sf)
@@ -403,7 +487,7 @@ def apply_json_records(spark, sf):
     path = f"{work_folder(spark, 'json')}/target"
     is_delete = col("operation") == "delete"
     for batch_id, part in enumerate([~is_delete, is_delete]):
-        table = c.apply_records(path, records.filter(part), "id", batch_id, buckets=c.bucket_count(records))
+        table = c.apply_records(path, records.filter(part), "id", batch_id)
     rows = table.read()
     return i.shown_target(rows.select(*[name for name in rows.columns if name.startswith("cdc_")], "id", "value", "props"))
 
@@ -420,11 +504,44 @@ def stream_apply(spark, sf):
     return i.shown_target(table.read())
 
 
+@query
+def stream_apply_by_count(spark, sf):
+    batch = i.event_batch(spark, sf)
+    table, folder = _event_table(spark, batch, "counted"), work_folder(spark, "stream")
+    for n, part in enumerate(_cuts(batch, 3)):
+        part.write.parquet(f"{folder}/in/{n}")
+    stream = c.stream_changes(spark, f"{folder}/in/*", batch.schema, max_files=1)
+    c.run_to_end(c.stream_apply(stream, table, f"{folder}/checkpoint", records=PAGE))
+    c.close_stream(table, f"{folder}/checkpoint", PAGE)
+    return i.shown_target(table.read())
+
+
+@query
+def stream_handover(spark, sf):
+    old, new = i.order_versions(spark, sf)
+    folder = work_folder(spark, "handover")
+    c.consume(c.net_changes(old, new, "o_orderkey"), f"{folder}/log", 0, i.FIRST_CONSUME)
+
+    def source():  # changes while it is being read
+        c.consume(c.net_changes(new, old, "o_orderkey"), f"{folder}/log", 1, i.SECOND_CONSUME)
+        return new
+
+    table, position = c.backfill(source, "o_orderkey", "o_orderkey", "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT)
+
+    def flat(log):
+        return c.flatten_records(c.change_records(c.number_batches(log, PAGE), "o_orderkey", "orders", as_json=False), "o_orderkey")
+
+    stream = c.stream_log(spark, f"{folder}/log", position)
+    c.run_to_end(c.stream_apply(stream, table, f"{folder}/checkpoint", flat))
+    rows = i.shown_target(table.read())
+    return rows.withColumn("o_orderdate", micros_of(col("o_orderdate"), table.schema["o_orderdate"].dataType))
+
+
 def _replicated(spark, versions, nulls="error", ordering="o_orderkey"):
-    folder, buckets = work_folder(spark, "replica"), c.bucket_count(versions[0][0])
+    folder = work_folder(spark, "replica")
     for (old, new), at in zip(versions, (i.FIRST_CONSUME, i.SECOND_CONSUME)):
         table = c.replicate(
-            old, new, "o_orderkey", ordering, "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT, at, nulls=nulls, buckets=buckets,
+            old, new, "o_orderkey", ordering, "orders", f"{folder}/target", f"{folder}/log", i.SNAPSHOT_AT, at, nulls=nulls,
         )
     rows = i.shown_target(table.read())
     return rows.withColumn("o_orderdate", micros_of(col("o_orderdate"), table.schema["o_orderdate"].dataType))

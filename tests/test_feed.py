@@ -88,3 +88,24 @@ def test_variant_columns(spark):
     assert sorted(map(tuple, rows), key=repr) == [
         (2, "DELETE", '{"a":1}'), (2, "INSERT", '{"a":2}'), (3, "DELETE", None), (3, "INSERT", "null")
     ]
+
+
+def test_variants_and_maps_at_any_depth(spark):
+    rows = [(1, '{"b":1,"a":[2]}', "x"), (2, '{"a":1}', "y"), (3, None, "z"), (4, "null", "z")]
+    shape = [
+        "k",
+        "struct(parse_json(j) v, array(parse_json(j), null) l) s",
+        "map(t, map('q', parse_json(j)), 'k', null) m",
+        "map(k, t) w",
+    ]
+
+    def version(some):
+        return spark.createDataFrame(some, "k bigint, j string, t string").selectExpr(*shape)
+
+    old, same = version(rows), version([(1, '{"a":[2],"b":1}', "x"), *rows[1:]])
+    assert net_changes(old, same, "k").collect() == []
+    new = version([(1, '{"a":[2],"b":9}', "x"), (2, '{"a":1}', "Y"), (4, "null", "z"), (3, None, "z")])
+    got = net_changes(old, new, "k").selectExpr("k", f"`{ACTION}` a", f"`{IS_UPDATE}` u", "to_json(s.v) v", "w[k] w").collect()
+    assert sorted((r["k"], r["a"], r["u"], r["w"]) for r in got) == [
+        (1, "DELETE", True, "x"), (1, "INSERT", True, "x"), (2, "DELETE", True, "y"), (2, "INSERT", True, "Y"),
+    ]

@@ -3,11 +3,21 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcframe import SchemaMismatch, avro_fields, check_schema, field_types, infer_schema
+from cdcframe import (
+    SchemaMismatch,
+    apply_records,
+    avro_fields,
+    avro_schema,
+    check_schema,
+    decode_payload,
+    field_types,
+    infer_schema,
+)
 from cdcframe.functions.types import UnsupportedType, logical_type, spark_type
-from cdcframe.operators.infer import collect_types
+from cdcframe.operators.infer import avro_type, collect_types
 from tests.inspect_plan import fails
 
 
@@ -94,3 +104,74 @@ def test_logical_types():
         spark_type("geography")
     for name in ("integer", "vector", "variant", "object", "timestamp_ntz"):
         assert logical_type(spark_type(name)) == name
+
+
+def nested(spark, *texts):
+    return infer_schema(spark.createDataFrame([(t,) for t in texts], "after string"), payload="after", nested=True)
+
+
+def test_nested_types_merge_over_the_batch(spark):
+    found = nested(spark, '{"a":{"b":1,"c":[1,2]}}', '{"a":{"b":2.5,"d":{"e":"x"}},"n":null}', '{"a":{"c":[],"f":[{"g":1},{"h":true}]}}')
+    want = "a struct<b: double, c: array<bigint>, d: struct<e: string>, f: array<struct<g: bigint, h: boolean>>>, n variant"
+    assert found == T.StructType.fromDDL(want)
+
+
+def test_nested_values_that_disagree_are_text(spark):
+    texts = ['{"x":{"a":1},"y":[1],"z":1e3,"o":{}}', '{"x":5,"y":"t","z":7,"o":{}}', '{"`odd OBJECT<":1,"b.c":2}']
+    found = nested(spark, *texts)
+    assert {f.name: f.dataType.simpleString() for f in found} == {
+        "x": "string", "y": "string", "z": "double", "o": "string", "`odd OBJECT<": "bigint", "b.c": "bigint"
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "after string").select(decode_payload(F.col("after"), found).alias("r"))
+    assert [(r["r"]["x"], r["r"]["y"], r["r"]["z"], r["r"]["o"]) for r in rows.collect()][:2] == [('{"a":1}', "[1]", 1000.0, "{}"), ("5", "t", 7.0, "{}")]
+
+
+def test_many_nested_fields_come_as_one_schema(spark):
+    batch = spark.range(2000).selectExpr("concat('{', array_join(transform(sequence(0, 9), i -> concat('\"f', id * 10 + i, '\":{\"v\":', i, '}')), ','), '}') after")
+    found = infer_schema(batch, payload="after", nested=True)
+    assert len(found) == 20_000 and found["f19999"].dataType == T.StructType.fromDDL("v bigint")
+
+
+def test_payloads_that_are_no_objects(spark):
+    with pytest.raises(ValueError, match="not objects"):
+        nested(spark, "[1]", "[2]")
+
+
+def test_avro_types_at_any_depth():
+    record = {"type": "record", "name": "r", "fields": [
+        {"name": "u", "type": ["null", {"type": "array", "items": ["long", "null"]}]},
+        {"name": "m", "type": {"type": "map", "values": {"type": "record", "name": "s", "fields": [{"name": "d", "type": {"type": "int", "logicalType": "date"}}]}}},
+        {"name": "again", "type": "s"},
+        {"name": "e", "type": {"type": "enum", "name": "k", "symbols": ["A"]}},
+        {"name": "f", "type": {"type": "fixed", "name": "c", "size": 8, "logicalType": "decimal", "precision": 4}},
+        {"name": "g", "type": {"type": "fixed", "name": "h", "size": 2}},
+        {"name": "p", "type": {"type": "bytes"}},
+    ]}
+    want = "u array<bigint>, m map<string, struct<d: date>>, again struct<d: date>, e string, f double, g string, p string"
+    assert avro_type(record) == T.StructType.fromDDL(want)
+    for wrong in (["int", "string"], "nothing", {"type": "record", "name": "r", "fields": [{"name": "x", "type": ["null", "r"]}]}):
+        with pytest.raises(ValueError):
+            avro_type(wrong)
+
+
+def test_avro_schemas_of_a_batch_are_joined(spark):
+    one = '{"type":"record","name":"a","fields":[{"name":"x","type":"int"}]}'
+    two = '{"type":"record","name":"b","fields":[{"name":"y","type":{"type":"array","items":"double"}},{"name":"x","type":"long"}]}'
+    wrong = '{"type":"record","name":"c","fields":[{"name":"x","type":"string"}]}'
+    batch = lambda *texts: spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("map('avro.schema', t) metadata")
+    assert avro_schema(batch(one, two, one)) == T.StructType.fromDDL("x bigint, y array<double>")
+    with pytest.raises(ValueError, match="both"):
+        avro_schema(batch(one, wrong))
+
+
+def test_nested_records_are_applied_and_merged(spark, tmp_path):
+    data = [(0, "create", '{"id":1}', '{"id":1,"o":{"a":[1,2]}}'), (1, "create", '{"id":2}', '{"id":2,"o":{"b":{"c":true}}}')]
+    records = spark.createDataFrame(data, "seq bigint, operation string, key string, after string")
+    records = records.selectExpr("*", "map('readAt', '5') metadata", "cast(null as string) before")
+    table = apply_records(f"{tmp_path}/t", records, "id", 0, nested=True)
+    later = records.filter("seq = 1").selectExpr("seq", "'update' operation", "key", "replace(after, 'true', 'false') after", "map('readAt', '6') metadata", "before")
+    apply_records(f"{tmp_path}/t", later, "id", 1, schema=T.StructType([table.schema["id"], table.schema["o"]]))
+    table.refresh()
+    assert table.schema["o"].dataType == T.StructType.fromDDL("a array<bigint>, b struct<c: boolean>")
+    found = {r["id"]: r["o"] for r in table.read().collect()}
+    assert found[1]["a"] == [1, 2] and found[2]["b"]["c"] is False
