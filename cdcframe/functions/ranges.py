@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,8 @@ from cdcframe.functions.columns import col, literal, require
 ROWS_PER_RANGE, RANGES = 1_000_000, 2_000
 #: Rows looked at for each range, to find where to cut.
 _SAMPLE = 20
+#: Slots of the table that numbers are looked up in.
+_SLOTS_PER_EDGE, _SLOTS = 32, 1 << 20
 
 
 def whole_numbers(numbers: Iterable[int]) -> Column:
@@ -38,6 +41,28 @@ def range_of(value: Column, edges: Column, count: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(count.bit_length())), start, halve)["low"]
 
 
+def range_of_number(value: Column, edges: list[int]) -> Column:
+    """`range_of` for whole numbers: looked up in a table of even slots, and by bisection only where an edge cuts a slot."""
+    if not edges:
+        return F.lit(0)
+    slots = min(_SLOTS_PER_EDGE * len(edges), _SLOTS)
+    width = (edges[-1] - edges[0]) // slots + 1
+    starts = [edges[0] + n * width for n in range(slots + 1)]
+    below = [bisect_left(edges, start) for start in starts]  # edges below the first value of each slot
+    last = [bisect_left(edges, start - 1) for start in starts[1:]]  # and below its last value
+    sure = whole_numbers(low if low == high else -1 for low, high in zip(below, last))
+    # A difference that does not fit the bigint is NULL, and the value is searched for.
+    at = F.try_subtract(value.cast("bigint"), F.lit(edges[0]).cast("bigint"))
+    found = F.get(sure, F.call_function("div", at, F.lit(width)).cast("int"))
+    searched = range_of(value, whole_numbers(edges), len(edges))
+    return (
+        F.when(value <= edges[0], 0)
+        .when(value > edges[-1], len(edges))
+        .when(found >= 0, found.cast("int"))
+        .otherwise(searched)
+    )
+
+
 def number_rows(
     df: DataFrame, order: str | Iterable[str], name: str, first: int = 0, rows_per_range: int = ROWS_PER_RANGE
 ) -> tuple[DataFrame, int]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcframe.functions.columns import col, column_list
-from cdcframe.functions.ranges import range_of, whole_numbers
+from cdcframe.functions.ranges import range_of_number
 from cdcframe.operators.shape import CREATE, CREATED_AT, OPERATION, READ_AT, SEQ, SNAPSHOT, UPDATE, checked_batch
 
 _ROWS_PER_STRETCH = 1_000_000
@@ -67,7 +67,7 @@ def late_updates(
     shares = [n * rows_per_stretch / count for n in range(1, math.ceil(count / rows_per_stretch))]
     edges = updates.approxQuantile(SEQ, shares, min(0.01, rows_per_stretch / (8 * max(count, 1)))) if shares else []
     edges = sorted({int(edge) for edge in edges})
-    updates = updates.withColumn("_stretch", range_of(col(SEQ), whole_numbers(edges), len(edges)))
+    updates = updates.withColumn("_stretch", range_of_number(col(SEQ), edges))
 
     by = [*keys, "_stretch"]
     peaks = updates.groupBy(*by).agg(F.max(READ_AT).alias("_peak"))

@@ -5,8 +5,11 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cdcframe import compact, late_updates, render
+from cdcframe.operators import compact as compact_module
+from cdcframe.functions.ranges import range_of, range_of_number, whole_numbers
 from tests.inspect_plan import fails
 
 SCHEMA = "_seq bigint, _operation string, _read_at bigint, id bigint, v string"
@@ -46,13 +49,14 @@ def test_equals_fold(spark, seed, rows, keys, hot):
         assert sorted(map(tuple, late_updates(batch, "id", stretch).collect())) == late
 
 
-def test_a_sequence_number_far_out_leaves_stretches_even(spark):
+def test_a_sequence_number_far_out_leaves_stretches_even(spark, monkeypatch):
     """One hot key, one number far beyond the others: no task of the running maximum has more than its share."""
     seq = "case when id = 9999 then id + 1000000000000 else id end _seq"
     batch = spark.range(10_000).selectExpr(seq, "'update' _operation", "(id * 7919) % 1009 _read_at", "1 id", "'v' v")
+    cut = []
+    monkeypatch.setattr(compact_module, "range_of_number", lambda value, edges: cut.append(edges) or range_of_number(value, edges))
     late = late_updates(batch, "id", 500)
-    text = late._jdf.queryExecution().analyzed().toString()
-    edges = [int(n) for n in re.findall(r"cast\((\d+) as bigint\)", text)]
+    edges = cut[0]
     sizes = Counter(sum(edge < n for edge in edges) for n in [*range(9999), 1_000_000_009_999])
     assert len(sizes) >= 15 and max(sizes.values()) <= 1000
     best, want = -1, 0
@@ -133,3 +137,15 @@ def test_composite_key(spark):
     rows = [(0, "create", 1, 1, 1, "a"), (1, "create", 1, 1, 2, "b"), (2, "delete", 1, 1, 2, None)]
     batch = spark.createDataFrame(rows, "_seq bigint, _operation string, _read_at bigint, a bigint, b bigint, v string")
     assert {(r.a, r.b): r._operation for r in compact(batch, ["a", "b"]).collect()} == {(1, 1): "create", (1, 2): "delete"}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ranges_of_numbers(spark, seed):
+    rng = random.Random(seed)
+    span = [50, 10**6, 2**63 - 1][seed]
+    edges = sorted({rng.choice([rng.randrange(-span, span), rng.randrange(-9, 9)]) for _ in range(40)})
+    values = sorted({v for e in edges for v in (e - 1, e, e + 1)} | {rng.randrange(-span, span) for _ in range(300)})
+    values = [v for v in values if -(2**63) <= v < 2**63]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    some = df.select("v", range_of_number(F.col("v"), edges).alias("n"), range_of(F.col("v"), whole_numbers(edges), len(edges)).alias("m"))
+    assert [(r["n"], r["m"]) for r in some.orderBy("v").collect()] == [(sum(e < v for e in edges),) * 2 for v in values]
