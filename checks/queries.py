@@ -228,7 +228,7 @@ def stream_consume(spark, sf):
 @query
 def number_any_log(spark, sf):
     events = i.table(spark, sf, "events")
-    numbered, _ = c.number_rows(events, ["event_type", "ts", "event_id"], "row_number", rows_per_range=PAGE)
+    numbered, _ = c.number_rows(events, ["event_type", "ts", "event_id"], "row_number", rows_per_range=PAGE // 2)
     return c.number_batches(numbered.withColumnRenamed("row_number", ROW_NUMBER), PAGE).select(
         "event_id", col(ROW_NUMBER).alias("row_number"), BATCH_ID, INDEX_IN_BATCH
     )
