@@ -30,8 +30,9 @@ from pyspark.sql import types as T
 
 from cdcframe.files import Files
 from cdcframe.functions.columns import col, column_list
-from cdcframe.operators.merge import LATE, affected_rows, fold
+from cdcframe.operators.merge import LATE, affected_rows, fold, merge
 from cdcframe.operators.render import Bookkeeping
+from cdcframe.operators.shape import OPERATIONS
 
 # Columns of the changes, beside those of the table, which cannot have columns of these names.
 _ATTEMPT = "_cdc_attempt"
@@ -229,16 +230,28 @@ class TargetTable:
         manifest["commit"] = commit
         if manifest["buckets"] is None:
             manifest["buckets"] = self.buckets = bucket_count(changes)
-        facts = changes.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(self._bucket()).alias("buckets")).first()
-        touched = sorted(facts["buckets"])
-        affected = {}
+        operation = col(Bookkeeping(self.prefix).operation)
+        facts = changes.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.collect_set(self._bucket()).alias("buckets"),
+            *[F.count_if(operation == name).alias(name) for name in OPERATIONS],
+        ).first()
+        touched, affected = sorted(facts["buckets"]), {}
         if touched:
-            affected = {} if steps else self._affected(changes, touched)
+            total = {name: facts[name] for name in OPERATIONS}
             parts = changes.repartition(min(manifest["buckets"], _power(len(touched))), *[col(key) for key in self.keys])
-            if manifest["rows"] is None and not manifest["changes"] and not steps:
-                manifest.update(generation=f"{commit}-{attempt}", rows=facts["rows"])
-                self._bucketed(self._folder("rows", manifest), self.schema, manifest["buckets"], parts)
+            alone = not manifest["changes"] and not steps
+            if alone and manifest["rows"] is None:
+                affected = {(name, False): count for name, count in total.items() if count}
+                self._renew(manifest, attempt, parts)
+            elif alone and facts["rows"] >= FOLD_SHARE * manifest["rows"]:
+                # So many changes are brought into the rows at once, and counted on the way.
+                rows = self._bucketed(self._folder("rows"), self.schema, self.buckets)
+                moved, counts = changes.repartition(self.buckets, *[col(key) for key in self.keys]), Observation()
+                self._renew(manifest, attempt, merge(rows, moved, self.keys, self.prefix, counts, self.late))
+                affected = affected_rows(counts.get)
             else:
+                affected = {} if steps else self._affected(changes, touched, total)
                 self._bucketed(self._folder("changes"), self._changes_schema(), manifest["buckets"], parts)
                 manifest["changes"].append({"attempt": attempt, "rows": facts["rows"]})
                 self._fold(manifest, attempt)
@@ -257,18 +270,20 @@ class TargetTable:
         """Bring the changes into the rows if they have become many, in a new generation. The rows stay where they lie, so
         nothing is shuffled, unless the buckets have become too large."""
         rows, changes = manifest["rows"] or 0, sum(change["rows"] for change in manifest["changes"])
-        if changes < FOLD_SHARE * rows and len(manifest["changes"]) < FOLD_COMMITS:
-            return
-        folded, counts = self._read(manifest), Observation()
+        if changes >= FOLD_SHARE * rows or len(manifest["changes"]) >= FOLD_COMMITS:
+            self._renew(manifest, attempt, self._read(manifest))
+
+    def _renew(self, manifest: dict, attempt: str, rows: DataFrame) -> None:
+        """Make these rows, which lie in buckets, the next generation."""
+        counts, buckets = Observation(), manifest["buckets"]
         size = self._files.size(self._folder("rows", manifest)) + self._files.size(self._folder("changes", manifest))
-        buckets = manifest["buckets"]
         while size > 2 * BUCKET_BYTES * buckets:
             buckets *= 2
         if buckets != manifest["buckets"]:
-            folded = folded.repartition(buckets, *[col(key) for key in self.keys])
-        folded = folded.observe(counts, F.count(F.lit(1)).alias("rows"))
+            rows = rows.repartition(buckets, *[col(key) for key in self.keys])
+        rows = rows.select(*[col(name) for name in self.schema.names]).observe(counts, F.count(F.lit(1)).alias("rows"))
         manifest.update(generation=f"{manifest['commit']}-{attempt}", changes=[], buckets=buckets)
-        self._bucketed(self._folder("rows", manifest), self.schema, buckets, folded)
+        self._bucketed(self._folder("rows", manifest), self.schema, buckets, rows)
         manifest["rows"] = counts.get["rows"]
 
     def _known_keys(self, touched: list[int]) -> DataFrame | None:
@@ -292,13 +307,13 @@ class TargetTable:
             found.append(rows.select(*[col(key) for key in self.keys]))
         return None if not found else found[0] if len(found) == 1 else found[0].union(found[1])
 
-    def _affected(self, changes: DataFrame, touched: list[int]) -> dict[tuple[str, bool], int]:
+    def _affected(self, changes: DataFrame, touched: list[int], total: dict[str, int]) -> dict[tuple[str, bool], int]:
         """Rows affected by operation and whether the key was there before. Spark broadcasts the changes if they are few."""
-        operation = col(Bookkeeping(self.prefix).operation).alias("_operation")
-        keys = [col(key) for key in self.keys]
-        of = lambda rows: {r["_operation"]: r["count"] for r in rows.groupBy("_operation").count().collect()}
-        total, known = of(changes.select(operation)), self._known_keys(touched)
-        matched = {} if known is None else of(known.join(changes.select(*keys, operation), self.keys).distinct())
+        operation, known = col(Bookkeeping(self.prefix).operation).alias("_operation"), self._known_keys(touched)
+        matched = {}
+        if known is not None:
+            met = known.join(changes.select(*[col(key) for key in self.keys], operation), self.keys).distinct()
+            matched = {r["_operation"]: r["count"] for r in met.groupBy("_operation").count().collect()}
         counts = {f"{name}_true": matched.get(name, 0) for name in total}
         counts |= {f"{name}_false": count - matched.get(name, 0) for name, count in total.items()}
         return affected_rows(counts)

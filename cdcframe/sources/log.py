@@ -21,6 +21,7 @@ from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -189,7 +190,9 @@ def read_files(
     # A folder has no two files of a name, and each consume its own folder: both make the name of a file.
     file = F.substring_index(F.col("_metadata.file_path"), "/", -2).alias("_file")
     placed = rows.select(*[col(name) for name in names], file, F.col("_metadata.row_index").alias("_place"))
-    starts = spark.createDataFrame([(entry.file.split("/", 1)[1], entry.first) for entry in wanted], "_file string, _start bigint")
+    # As an Arrow table, so that it is a local relation: no task has to make it.
+    starts = pa.table({"_file": [entry.file.split("/", 1)[1] for entry in wanted], "_start": [entry.first for entry in wanted]})
+    starts = spark.createDataFrame(starts)
     starts = F.broadcast(starts) if len(wanted) <= _BROADCAST_FILES else starts
     numbered = placed.join(starts, "_file").select(
         *[col(name) for name in names], (col("_start") + col("_place")).alias(ROW_NUMBER)
