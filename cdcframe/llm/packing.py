@@ -10,28 +10,28 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CAPACITY = 2048
-GROUP_DOCS = 2048
+#: Documents, and bytes of text, of a group, about.
+GROUP_DOCS, GROUP_BYTES = 2048, 1 << 25
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a Python worker remembers; half of them, the older ones, are then given up.
 MEMO = 400_000
 #: Bytes of text that are encoded at a time.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 22
 
 
 class Encoder:
     """Ids of whole texts. White space separates words for this tokenizer, so each distinct word is encoded once.
 
-    `encode` gives the ids of each UTF-8 text and the end id, as little-endian unsigned numbers of `width` bytes.
+    `encode` gives the ids of each text and the end id, as little-endian unsigned numbers of `width` bytes.
     """
 
     def __init__(self, path: str):
@@ -46,35 +46,48 @@ class Encoder:
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        out: list[bytes] = []
-        end, at = END_ID.to_bytes(self.width, "little"), 0
-        while at < len(texts):
-            size, stop = 0, at
-            while stop < len(texts) and size < CHUNK_BYTES:
-                size, stop = size + len(texts[stop] or b""), stop + 1
-            if len(self.new) > MEMO // 2:
-                self.old, self.new = self.new, {}
-            words = [self._words(text) for text in texts[at:stop]]
-            found = [list(map(self.new.get, some)) for some in words]
-            gaps = [list(compress(range(len(ids)), map(not_, ids))) for ids in found]
-            self._learn({some[k] for some, holes in zip(words, gaps) for k in holes})
-            for some, ids, holes in zip(words, found, gaps):
-                for k in holes:
-                    ids[k] = self.new[some[k]]
-                out.append(b"".join(ids) + end)
-            at = stop
-        return out
-
-    @staticmethod
-    def _words(text: bytes | None) -> list[bytes]:
-        """Parts of a text that are encoded alike alone. On bytes, both methods know ASCII only.
-
-        The tokenizer composes letters and marks before it lowers them, and looks for special tokens before either, so a
-        text with such signs is left as it is.
-        """
-        text = text or b""
-        return (text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()).split()
+    def encode(self, texts: pa.StringArray) -> pa.BinaryArray:
+        """Texts are split and their words numbered by Arrow, a bounded number of bytes at a time, so that only the distinct
+        words of each part are looked up, one Python object each; numpy puts the ids in the places of the words."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // CHUNK_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+        return pa.concat_arrays([self._part(texts.slice(a, b - a)) for a, b in zip(edges, edges[1:])])
+
+    def _part(self, texts: pa.StringArray) -> pa.BinaryArray:
+        texts = pc.fill_null(texts, "")
+        # The tokenizer composes letters and marks before it lowers them, and looks for special tokens before either, so
+        # a text with such signs is left as it is.
+        odd = pc.match_substring_regex(texts, "<\\||[\u0300-\u037f]")
+        lowered = pc.if_else(odd, texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lowered)
+        words = split.flatten().dictionary_encode()
+        table, lengths = self._ids(words.dictionary.cast(pa.binary()).to_pylist())
+        # After the words of each text comes one more, the end.
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        index = np.insert(words.indices.to_numpy(), offsets[1:], len(lengths) - 1)
+        starts = np.cumsum(lengths) - lengths
+        spans = lengths[index]
+        ends = np.cumsum(spans)
+        ids = table[np.repeat(starts[index] - (ends - spans), spans) + np.arange(ends[-1] if len(ends) else 0)]
+        stops = np.r_[0, ends[offsets[1:] + np.arange(len(texts))]] * self.width
+        if stops[-1] >= 1 << 31:
+            raise ValueError("the ids of a text are too many for a value")
+        buffers = [None, pa.py_buffer(stops.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))]
+        return pa.Array.from_buffers(pa.binary(), len(texts), buffers)
+
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words and of the end, end to end, and how many each has."""
+        if len(self.new) > MEMO // 2:
+            self.old, self.new = self.new, {}
+        found = list(map(self.new.get, words))
+        holes = [k for k, ids in enumerate(found) if ids is None]
+        self._learn({words[k] for k in holes})
+        for k in holes:
+            found[k] = self.new[words[k]]
+        found.append(END_ID.to_bytes(self.width, "little"))
+        table = np.frombuffer(b"".join(found), f"<u{self.width}")
+        return table, np.fromiter(map(len, found), np.int64, len(found)) // self.width
 
     def _bytes(self, ids) -> bytes:
         return np.asarray(ids, f"<u{self.width}").tobytes()
@@ -211,15 +224,16 @@ def pack(
 
     A NULL or empty text is the end id alone. Repeated rows are documents of their own. `tokenizer` is the path of a
     tokenizer file on every machine. Groups are drawn by a hash of the row, so no id can make one large; their number
-    follows from that of the rows. Only ids in binary form are shuffled. Other columns are not carried.
+    follows from that of the rows and of the bytes of their texts. Only ids in binary form are shuffled. Other columns are not carried.
     """
-    groups = max(1, -(-docs.count() // group_docs))
+    size = docs.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")).first()
+    groups = max(1, -(-size["rows"] // group_docs), -(-size["bytes"] // GROUP_BYTES))
     kind = docs.schema[id].dataType.simpleString()
 
     def encode(batches):
         encoder = _encoder(tokenizer)
         for batch in batches:
-            ids = pa.array(encoder.encode(batch.column(1).to_pylist()), pa.binary())
+            ids = encoder.encode(batch.column(1))
             width = pa.array(np.full(batch.num_rows, encoder.width, np.int32))
             columns = [batch.column(0), ids, batch.column(2), width]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "number", "width"])
@@ -246,7 +260,7 @@ def pack(
         )
 
     numbered = docs.select(
-        F.col(id).alias("id"), F.col(text).cast("binary").alias("text"), F.monotonically_increasing_id().alias("number")
+        F.col(id).alias("id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("number")
     )
     encoded = numbered.mapInArrow(encode, f"id {kind}, ids binary, number bigint, width int")
     grouped = encoded.withColumn("group", F.pmod(F.xxhash64(F.lit(seed), "number"), F.lit(groups)))

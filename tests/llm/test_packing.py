@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -28,7 +29,7 @@ def test_word_by_word_equals_whole_texts(tokenizer):
     rng = random.Random(3)
     encoder = packing._encoder(None)
     texts = [random_text(rng) for _ in range(3000)]
-    for text, got in zip(texts, encoder.encode([text.encode() for text in texts])):
+    for text, got in zip(texts, encoder.encode(pa.array(texts)).to_pylist()):
         want = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
         assert np.frombuffer(got, "<u2").tolist() == want, repr(text)
 
@@ -39,14 +40,14 @@ def test_memo_is_bounded(monkeypatch, tokenizer):
     for n in (10, 30, 200, 5):
         text = " ".join(f"w{i}x" for i in range(n))
         want = [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
-        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u2").tolist() == want
+        assert np.frombuffer(encoder.encode(pa.array([text]))[0].as_py(), "<u2").tolist() == want
         assert len(encoder.new) <= 50 + n
 
 
 def test_given_texts(tokenizer):
     texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
     encoder = packing._encoder(None)
-    for text, got in zip(texts, encoder.encode([text.encode() for text in texts])):
+    for text, got in zip(texts, encoder.encode(pa.array(texts)).to_pylist()):
         assert np.frombuffer(got, "<u2").tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
