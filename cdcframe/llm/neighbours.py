@@ -71,12 +71,12 @@ def _best(a: np.ndarray, b: np.ndarray, sim: np.ndarray, keep: int) -> tuple[np.
 
 
 def _codes(column: pa.ChunkedArray) -> np.ndarray:
-    """Rows of unit length from vectors in eight bits; shorter ones with zeros at their end."""
+    """Rows from vectors in sixteen bits; shorter ones with zeros at their end. Their products are the measure itself, so a
+    longer vector is nearer to all: the graph leads to what a search by inner product looks for."""
     codes = column.to_pylist()
     size = max(map(len, codes))
-    values = np.frombuffer(b"".join(code.ljust(size, b"\0") for code in codes), np.int8)
-    values = values.reshape(len(codes), size).astype(np.float32)
-    return values / np.maximum(np.linalg.norm(values, axis=-1, keepdims=True), 1e-9)
+    values = np.frombuffer(b"".join(code.ljust(size, b"\0") for code in codes), np.float16)
+    return values.reshape(len(codes), size // 2).astype(np.float32)
 
 
 def _edges(a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
@@ -101,7 +101,7 @@ def _start(nodes: DataFrame, groups: Column, keep: int) -> DataFrame:
             for start, end in zip(np.searchsorted(run, range(run[-1] + 1)), np.searchsorted(run, range(run[-1] + 1), "right")):
                 code = _codes(table["code"].slice(start, end - start))
                 sim = code @ code.T
-                np.fill_diagonal(sim, -2)
+                np.fill_diagonal(sim, -np.inf)
                 near = np.argsort(-sim, axis=1, kind="stable")[:, : min(keep, end - start - 1)]
                 own = node[start:end]
                 found.append((np.repeat(own, near.shape[1]), own[near].ravel(), np.take_along_axis(sim, near, 1).ravel()))
@@ -152,9 +152,9 @@ def neighbour_graph(nodes: DataFrame, cell_rows: int, rounds: int = ROUNDS, keep
         naming = edges.withColumn("place", F.row_number().over(nearest)).filter(F.col("place") <= REVERSE)
         members = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
         members = members.union(naming.select("b", "a"))
-        worst = edges.groupBy("a").agg(F.when(F.count("*") == keep, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
+        worst = edges.groupBy("a").agg(F.when(F.count("*") == keep, F.min("sim")).otherwise(F.lit(float("-inf"))).cast("float").alias("worst"))
         known = nodes.join(worst, F.col("node") == F.col("a"), "left").select(
-            "node", "code", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst")
+            "node", "code", F.coalesce("worst", F.lit(float("-inf"))).cast("float").alias("worst")
         )
         met = members.join(known, F.col("v") == F.col("node")).select("u", "v", "code", "worst")
         edges = cut(_merge(edges.union(_compared(met, keep)), keep))
@@ -169,7 +169,8 @@ def walk(
     `links` has the places of each node's neighbours, -1 for none. `own` is the query's place in the cell or -1.
     """
     n, q = len(vectors), len(queries)
-    entries = np.unique(np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64))
+    longest = np.argsort(-np.einsum("nd,nd->n", vectors, vectors), kind="stable")[: ENTRIES // 2]
+    entries = np.unique(np.r_[np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64), longest])
     seen = np.zeros((q, n + 1), bool)
     seen[:, n] = True  # stands for no node
     beam = np.concatenate([np.broadcast_to(entries, (q, len(entries))), np.where(own >= 0, own, n)[:, None]], axis=1)
@@ -203,7 +204,7 @@ def walk(
             beam, sims, gone = (np.take_along_axis(x, top, 1) for x in (beam, sims, gone))
     order = np.argsort(-sims, axis=1, kind="stable")[:, :keep]
     beam, sims = np.take_along_axis(beam, order, 1), np.take_along_axis(sims, order, 1)
-    return np.where(np.isfinite(sims), beam, -1), sims
+    return np.where(beam < n, beam, -1), sims
 
 
 def _links(places: dict[int, int], a: np.ndarray, b: np.ndarray, sim: np.ndarray) -> np.ndarray:
@@ -246,7 +247,9 @@ def nearest(
     asked = rows.filter("asks").select("vector").distinct().withColumn("asks", F.lit(True))
     nodes = copies.join(asked, "vector", "left").withColumn("node", F.monotonically_increasing_id())
     nodes = cut(nodes)  # with this, the numbers of the nodes stay as they are
-    count = nodes.agg(F.count("*"), F.count("asks")).first()
+    greatest = F.max(F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double")))))
+    count = nodes.agg(F.count("*"), F.count("asks"), greatest).first()
+    unit = count[2] or 1.0  # with all components within one, no product leaves the float
     cells, lines = max(1, math.ceil(count[0] / cell)), max(1, math.ceil(count[1] / queries))
     part = F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(cells))
 
@@ -254,8 +257,7 @@ def nearest(
         for batch in batches:
             codes = []
             for value in batch.column(2).to_pylist():
-                value = np.array(value, np.float64)
-                codes.append(np.round(value / np.abs(value).max() * 127).astype(np.int8).tobytes())
+                codes.append((np.array(value, np.float64) / unit).astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(codes, pa.binary())], names=["cell", "node", "code"])
 
     celled = nodes.withColumn("cell", (F.size("vector") * F.lit(cells) + part).cast("long"))
@@ -285,10 +287,12 @@ def nearest(
             sim = given["sims"].combine_chunks().flatten().to_numpy()
             links = _links(places, a, b, sim)
             own = np.array([places.get(x, -1) for x in asker.tolist()])
-            plain = exact.astype(np.float32)
+            plain = (exact.astype(np.float64) / unit).astype(np.float32)
             for at in range(0, len(asker), 256):
                 some = slice(at, at + 256)
-                near, _ = walk(wanted[some].astype(np.float32), own[some], plain, links, k + 1)
+                asked_ = wanted[some].astype(np.float64)
+                asked_ = (asked_ / np.abs(asked_).max(axis=1, keepdims=True)).astype(np.float32)
+                near, _ = walk(asked_, own[some], plain, links, k + 1)
                 for i, places_ in enumerate(near):
                     places_ = places_[places_ >= 0]
                     scores = exact[places_].astype(np.float64) @ wanted[at + i].astype(np.float64)

@@ -56,6 +56,33 @@ def test_many_cells_and_copies(spark):
     assert recall(got, ids, vectors) >= 0.95
 
 
+def worst(got, ids, vectors):
+    return min(recall(group, ids, vectors) for _, group in got.groupby("query_id"))
+
+
+@pytest.mark.parametrize("shape", ["lengths", "clusters", "equal"])
+def test_recall_for_inner_products_of_any_lengths(spark, shape):
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(4000, 32))
+    if shape == "clusters":
+        vectors = rng.normal(size=(40, 32))[rng.integers(0, 40, 4000)] + 0.3 * vectors
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if shape != "equal":
+        vectors *= rng.lognormal(0, 1.0 if shape == "lengths" else 0.5, (4000, 1))
+    vectors, ids = vectors.astype(np.float32), np.arange(4000)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(vectors)]
+    got = neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.expr(ASKS)).toPandas()
+    assert got.query_id.nunique() == 200
+    assert recall(got, ids, vectors) >= 0.95 and worst(got, ids, vectors) >= 0.5
+
+
+def test_a_score_beyond_the_float_loses_no_candidate(spark):
+    rows = [(0, [1e30, 1.0], 0), (1, [1e30, 0.0], 0), (20, [1.0, 1.0], 0), (2, [-3e38, 3e38], 0)]
+    got = neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.expr(ASKS)).toPandas()
+    assert got[got.query_id == 0].vec_id.tolist() == [1, 20, 2]
+    assert got[got.query_id == 20].vec_id.tolist() == [0, 1, 2]
+
+
 def test_odd_rows(spark):
     assert neighbours.nearest(spark.createDataFrame([], SCHEMA), F.expr(ASKS)).collect() == []
     rows = [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (20, [1.0, 0.0], 0), (20, [1.0, 0.0], 1), (40, [0.0, 0.0], 0)]

@@ -48,6 +48,27 @@ def test_few_and_no_rows(spark):
     assert topk.exact_top_k(spark.createDataFrame([], SCHEMA), asks).collect() == []
     two = spark.createDataFrame([(0, [1.0], 0), (1, [2.0], 0)], SCHEMA)
     assert list(map(tuple, topk.exact_top_k(two, asks).collect())) == [(0, 1, 1, 256 * 512)]
-    large = spark.createDataFrame([(0, [1e30], 0), (1, [1.0], 0)], SCHEMA)
-    with pytest.raises(Exception, match="too large"):
-        topk.exact_top_k(large, asks).collect()
+    empty = spark.createDataFrame([(0, []), (1, []), (2, [1.0])], "vec_id bigint, embedding array<float>")
+    assert list(map(tuple, topk.exact_top_k(empty, asks).collect())) == [(0, 1, 1, 0)]
+
+
+@pytest.mark.parametrize("scale", [1e5, 1e9, 1e30])
+def test_large_components_take_part(spark, scale):
+    rng = random.Random(int(scale) % 97)
+    draw = lambda: float(np.float32(rng.gauss(0, 1) * (scale if rng.random() < 0.1 else 1)))
+    rows = [(i, [draw() for _ in range(6)], 0) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = topk.exact_top_k(df, F.col("vec_id") % 50 == 0, candidates=60, queries=2).collect()
+    whole = {i: [math.floor(256 * x) for x in v] for i, v, _ in rows}
+    for query in (0, 50, 100, 150):
+        scores = {i: sum(x * y for x, y in zip(whole[query], v)) for i, v in whole.items() if i != query}
+        scores = {i: max(min(score, (1 << 63) - 1), -(1 << 63)) for i, score in scores.items()}
+        want = sorted(scores, key=lambda i: (-scores[i], i))[:5]
+        mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == query)
+        assert mine == [(n + 1, i, scores[i]) for n, i in enumerate(want)]
+
+
+def test_repeated_ids(spark):
+    rows = [(0, [1.0], 0), (0, [3.0], 0), (1, [2.0], 0), (1, [2.0], 0)]
+    got = topk.exact_top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0).collect()
+    assert {r["vec_id"] for r in got} == {1} and all(r["query_id"] == 0 for r in got)
