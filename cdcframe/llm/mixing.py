@@ -1,8 +1,9 @@
 """Mix sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 The words of a shard (a hash share of a source, of bounded size) lie end to end in a seeded order and are cut into blocks
-of equal size. Blocks go to sources, and a source's blocks to its shards, by the highest quotients share / (2k - 1). A
-shard then takes each of its blocks as often as its quota divides, and the rest once more, in the order of a seeded hash.
+of equal size, smaller ones in small sources, down to single words. Words go to sources, and a source's blocks to its shards,
+by the highest quotients share / (2k - 1). A shard then takes each of its blocks as often as its quota divides, and the rest
+once more, in the order of a seeded hash.
 Everything is a DataFrame expression.
 """
 
@@ -18,6 +19,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 TIMES = 3
 BLOCK_WORDS = 64
 SHARD_WORDS = 1 << 20
+#: A source has at least so many blocks, if it has as many words.
+LEAST_BLOCKS = 64
 
 
 def n_words(text: str) -> Column:
@@ -111,20 +114,28 @@ def mix(
         )
     )
     sources = targets(rows, weights, times)
-    count = F.floor(F.sum("source_size").over(W.partitionBy()) / block_words + 0.5).cast("long")
-    sources = sainte_lague(sources.withColumn("blocks", count), [], "place", "target", "blocks")
+    # Words to sources: as many as all sources have.
+    sources = sources.withColumn("words", F.sum("source_size").over(W.partitionBy()).cast("long"))
+    sources = sainte_lague(sources, [], "place", "target", "words").withColumnRenamed("quota", "source_words")
     sources = sources.withColumn("shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)))
-    sources = cut(sources.withColumnRenamed("quota", "source_quota").drop("blocks"))
+    even = F.floor(F.col("source_size") / LEAST_BLOCKS)
+    sources = sources.withColumn("block_words", F.greatest(F.lit(1).cast("long"), F.least(F.lit(block_words).cast("long"), even)))
+    sources = cut(sources.drop("words"))
 
     named = sources.withColumnRenamed("source", "name")
     placed = rows.join(named, rows["source"].eqNullSafe(named["name"])).drop("name", "source")
     hashed = F.conv(F.substring("order", 1, 8), 16, 10).cast("long")
     placed = placed.withColumn("shard", hashed % F.col("shards"))
-    shards = placed.groupBy("place", "shard", "source_quota").agg(F.sum("size").alias("shard_size"))
-    shards = sainte_lague(shards, ["place"], "shard", "shard_size", "source_quota").withColumn(
-        "n_blocks", F.greatest(F.lit(1).cast("long"), F.floor(F.col("shard_size") / block_words + 0.5))
-    )
-    shards = shards.withColumn("quota", F.least("quota", F.col("n_blocks") * times)).drop("source_quota")
+    shards = placed.groupBy("place", "shard", "source_words", "source_size", "block_words").agg(F.sum("size").alias("shard_size"))
+    blocks = F.greatest(F.lit(1).cast("long"), F.floor(F.col("shard_size") / F.col("block_words") + 0.5))
+    shards = shards.withColumn("n_blocks", F.when(F.col("shard_size") > 0, blocks).otherwise(F.lit(0).cast("long")))
+    # The source's words in blocks of its shards. No more than `times` of them all, so no shard gets more of its own: the
+    # quotient of one more than that is below every other shard's last within it.
+    every = F.sum("n_blocks").over(W.partitionBy("place"))
+    share = F.when(F.col("source_size") > 0, F.floor(F.col("source_words") / F.col("source_size") * every + 0.5))
+    shards = shards.withColumn("seats", F.least(F.coalesce(share, F.lit(0)).cast("long"), every * times))
+    shards = sainte_lague(shards, ["place"], "shard", "n_blocks", "seats")
+    shards = shards.select("place", "shard", "shard_size", "n_blocks", "quota")
 
     shard = W.partitionBy("place", "shard")
     lined = placed.join(shards, ["place", "shard"]).withColumns(
@@ -174,20 +185,20 @@ def mixed_texts(docs: DataFrame, pieces: DataFrame, id: str = "doc_id", text: st
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
     spans = (
         pieces.filter((F.col("copies") > 0) & F.col("start").isNotNull())
-        .select(F.col("key").alias("_key"), "size", "place", "shard", "n", F.struct("start", "end").alias("span"), copy)
-        .groupBy("_key", "size", "place", "shard", "n", "copy")
+        .select(F.col("key").alias("_mix_key"), "size", "place", "shard", "n", F.struct("start", "end").alias("span"), copy)
+        .groupBy("_mix_key", "size", "place", "shard", "n", "copy")
         .agg(
-            F.sort_array(F.collect_list("span")).alias("_spans"),
-            (F.sum(F.col("span.end") - F.col("span.start")) == F.col("size")).alias("_whole"),
+            F.sort_array(F.collect_list("span")).alias("_mix_spans"),
+            (F.sum(F.col("span.end") - F.col("span.start")) == F.col("size")).alias("_mix_whole"),
         )
-        .select("_key", "_spans", "_whole")
+        .select("_mix_key", "_mix_spans", "_mix_whole")
     )
     # Rows with the same id and text are one here; each of their copies comes back through its own spans.
-    keyed = docs.withColumn("_key", row_key(id, text)).dropDuplicates(["_key"])
+    keyed = docs.withColumn("_mix_key", row_key(id, text)).dropDuplicates(["_mix_key"])
     words = F.regexp_extract_all(F.col(text), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    part = F.flatten(F.transform("_spans", lambda s: F.slice("_words", s["start"] + 1, s["end"] - s["start"])))
-    joined = keyed.join(spans, "_key").withColumn("_words", F.when(~F.col("_whole"), words))
-    taken_text = F.when(F.col("_whole"), F.col(text)).otherwise(F.array_join(part, ""))
+    part = F.flatten(F.transform("_mix_spans", lambda s: F.slice("_mix_words", s["start"] + 1, s["end"] - s["start"])))
+    joined = keyed.join(spans, "_mix_key").withColumn("_mix_words", F.when(~F.col("_mix_whole"), words))
+    taken_text = F.when(F.col("_mix_whole"), F.col(text)).otherwise(F.array_join(part, ""))
     return joined.withColumn(text, taken_text).select(*docs.columns)
 
 
@@ -210,27 +221,34 @@ levels as (
   window w as (order by (3 * source_size)::double / weight, place rows between unbounded preceding and 1 preceding)),
 goals as (
   select place, source, source_size, least((3 * source_size)::double, weight * max(level) over ()) as target,
-    floor(sum(source_size) over ()::double / {BLOCK_WORDS} + 0.5)::bigint as blocks from levels),
+    (sum(source_size) over ())::bigint as all_words,
+    greatest(1, least({BLOCK_WORDS}, source_size // {LEAST_BLOCKS}))::bigint as block_words from levels),
 seats as (
-  select place, row_number() over (order by target / (2 * k - 1) desc, place, k) as rank, blocks
-  from (select *, unnest(range(1, blocks + 1)) as k from goals where target > 0)),
-quotas as (select place, count(*) as quota from seats where rank <= blocks group by place),
+  select place, row_number() over (order by target / (2 * k - 1) desc, place, k) as rank, all_words
+  from (select *, unnest(range(1, least(all_words, 3 * source_size + 2) + 1)) as k from goals where target > 0)),
+quotas as (select place, count(*) as quota from seats where rank <= all_words group by place),
 sourced as (
-  select g.*, coalesce(q.quota, 0) as quota, greatest(1, ceil(source_size::double / {SHARD_WORDS}))::bigint as shards
+  select g.*, coalesce(q.quota, 0) as source_words, greatest(1, ceil(source_size::double / {SHARD_WORDS}))::bigint as shards
   from goals g left join quotas q using (place)),
 placed as (
-  select r.doc_id, r.size, r.ord, r.row_id, s.place, s.source_size, s.target, s.quota,
+  select r.doc_id, r.size, r.ord, r.row_id, s.place, s.source_size, s.target, s.source_words, s.block_words,
     ('0x' || substr(r.ord, 1, 8))::bigint % s.shards as shard
   from rows_ r join sourced s on r.source is not distinct from s.source),
+sized as (
+  select place, shard, source_words, source_size, block_words, sum(size)::bigint as shard_size from placed group by all),
 shards as (
-  select place, shard, quota, sum(size)::bigint as shard_size from placed group by all),
+  select *, case when shard_size > 0 then greatest(1, floor(shard_size::double / block_words + 0.5)) else 0 end::bigint as n_blocks
+  from sized),
+wanted as (
+  select *, least(case when source_size > 0 then
+      floor(source_words::double / source_size * (sum(n_blocks) over (partition by place))::double + 0.5) else 0 end,
+    3 * sum(n_blocks) over (partition by place))::bigint as seats from shards),
 shard_seats as (
-  select place, shard, quota, row_number() over (partition by place order by shard_size::double / (2 * k - 1) desc, shard, k) as rank
-  from (select *, unnest(range(1, quota + 1)) as k from shards where shard_size > 0)),
-shard_quotas as (select place, shard, count(*) as shard_quota from shard_seats where rank <= quota group by all),
+  select place, shard, seats, row_number() over (partition by place order by n_blocks::double / (2 * k - 1) desc, shard, k) as rank
+  from (select *, unnest(range(1, seats + 1)) as k from wanted where n_blocks > 0)),
+shard_quotas as (select place, shard, count(*) as shard_quota from shard_seats where rank <= seats group by all),
 cut_ as (
-  select s.place, s.shard, s.shard_size, greatest(1, floor(s.shard_size::double / {BLOCK_WORDS} + 0.5))::bigint as n_blocks,
-    least(coalesce(q.shard_quota, 0), 3 * n_blocks) as shard_quota
+  select s.place, s.shard, s.shard_size, s.n_blocks, coalesce(q.shard_quota, 0) as shard_quota
   from shards s left join shard_quotas q using (place, shard)),
 lined as (
   select p.*, c.shard_size, c.n_blocks, c.shard_quota,

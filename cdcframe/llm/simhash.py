@@ -169,6 +169,6 @@ def keep_one(
 ) -> DataFrame:
     """One row of each component, that with the smallest id, with all its columns. Of rows that repeat id and text, one."""
     rows = cut(fingerprints(docs, id, text, shingle, keyed=True))
-    chosen = _firsts(rows, radius, bucket_rows).select(F.col("first.key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", row_key(id, text))
-    return keyed.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    chosen = _firsts(rows, radius, bucket_rows).select(F.col("first.key").alias("_simhash_key")).distinct()
+    keyed = docs.withColumn("_simhash_key", row_key(id, text))
+    return keyed.join(chosen, "_simhash_key", "left_semi").dropDuplicates(["_simhash_key"]).select(*docs.columns)
