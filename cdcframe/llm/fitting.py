@@ -31,12 +31,15 @@ def labelled_sample(
     """Rows of `docs` with a 0 / 1 `label` and `slot`, at most `per_class` ids of each class; and how many ids each class has.
 
     `learn` says which ids may be learnt from. Ids are drawn by their hash. The drawn ids number `2 * per_class` at most,
-    so they are broadcast to the texts, which stay where they are. `slot` numbers the draw from 0.
+    so they are broadcast to the texts. Of an id with several texts the smallest counts. `slot` numbers the draw from 0.
+    `docs` has the id and the text.
     """
+    text = next(c for c in docs.columns if c != id)
     known = labels.filter(learn & F.col(id).isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy(id).agg(F.max(label).cast("int").alias("label"))
     counts = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
-    return docs.join(F.broadcast(draw(known, "label", id, per_class)), id), counts
+    sample = docs.join(F.broadcast(draw(known, "label", id, per_class)), id)
+    return sample.groupBy(id, "label", "slot").agg(F.min(text).alias(text)), counts
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray, ridge: float = 1e-2) -> np.ndarray:

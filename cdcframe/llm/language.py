@@ -15,14 +15,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from cdcframe.llm.fitting import draw
 
 #: What is learnt from at most: documents of each language.
 SAMPLE_PER_LANGUAGE = 2000
-#: The most frequent words, and n-grams of each length, that the model keeps.
-KNOWN_WORDS, KNOWN_GRAMS = 100_000, 50_000
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
 #: Scores of unseen words that a task remembers before it starts anew.
 MEMO = 200_000
@@ -71,14 +68,15 @@ def fit_language(
 ) -> LanguageModel:
     """A model from rows for which `learn` holds and the language is known. Documents are drawn by the hash of their id.
 
-    The drawn ids are bounded by the languages, so they are broadcast; texts stay where they are. Counts are summed in
-    Spark; what reaches the driver is the `KNOWN_WORDS` and `KNOWN_GRAMS` most frequent entries.
+    Distinct ids are drawn, `per_language` of each, so they are broadcast; of an id with several texts in a language the
+    smallest counts. Counts are summed in Spark; what reaches the driver is each word and n-gram of those documents, once.
     """
     known = docs.filter(learn & F.col(id).isNotNull() & F.col(lang).isNotNull())
-    drawn = draw(known.select(id, lang), lang, id, per_language)
-    drawn = drawn.select(F.col(id).alias("_id"), F.col(lang).alias("_lang")).distinct()
+    drawn = draw(known.select(id, lang).distinct(), lang, id, per_language)
+    drawn = drawn.select(F.col(id).alias("_id"), F.col(lang).alias("_lang"))
     same = (F.col(id) == F.col("_id")) & (F.col(lang) == F.col("_lang"))
-    sample = known.select(id, lang, text).join(F.broadcast(drawn), same).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sample = known.select(id, lang, text).join(F.broadcast(drawn), same)
+    sample = sample.groupBy("_id", "_lang").agg(F.min(text).alias("text")).select(F.col("_lang").alias("lang"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,14 +99,13 @@ def fit_language(
         counted.groupBy("length", "entry", "lang")
         .agg(F.sum("n").alias("n"))
         .groupBy("length", "entry")
-        .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"), F.sum("n").alias("all"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
     )
-    place = F.row_number().over(W.partitionBy("length").orderBy(F.col("all").desc(), "entry"))
-    most = F.when(F.col("length") == 0, KNOWN_WORDS).otherwise(KNOWN_GRAMS)
-    kept = by_entry.withColumn("place", place).filter((F.col("place") <= KNOWN_WORDS) & (F.col("place") <= most))
     entries: dict[int, list[tuple[str, dict[str, int]]]] = {}
-    for row in kept.orderBy("length", "place").collect():
+    for row in by_entry.collect():  # of a bounded sample
         entries.setdefault(row["length"], []).append((row["entry"], row["by_lang"]))
+    for rows in entries.values():
+        rows.sort(key=lambda row: row[0])
     languages = sorted({language for rows in entries.values() for _, by in rows for language in by})
     index = {n: {entry: i for i, (entry, _) in enumerate(rows)} for n, rows in entries.items()}
     scores = {n: _scores(rows, languages).astype(np.float32) for n, rows in entries.items()}
