@@ -1,9 +1,13 @@
 """Quality, toxicity and language: held-out accuracy on the given tables, and edge cases."""
 
+import math
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from cdcframe.llm import fitting, language, quality, toxicity
@@ -104,6 +108,125 @@ def test_language_backs_off(spark):
     assert language.predict_language(odd.limit(0), model).collect() == []
 
 
+SMALL = "/root/testdata/sf0.001"
+
+
+def sigmoid(coefficients, *features):
+    return 1 / (1 + math.exp(-sum(c * x for c, x in zip(coefficients, (1, *features)))))
+
+
+def test_quality_equals_plain_compression(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{name}.parquet") for name in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels, F.lit(True))
+    texts = {row["doc_id"]: (row["text"] or "").encode() for row in docs.collect()}
+
+    def size(piece, dictionary):
+        given = zstandard.ZstdCompressionDict(dictionary)
+        options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=3, dict_data=given, **options).compress(piece))
+
+    got = {row["doc_id"]: row["score"] for row in quality.score_quality(docs, model).collect()}
+    assert got.keys() == texts.keys()
+    for id, text in texts.items():
+        pieces = [text[at : at + 1024] for at in range(0, len(text), 1024)]
+        saved = sum(size(piece, model.bad) - size(piece, model.good) for piece in pieces)
+        assert got[id] == pytest.approx(sigmoid(model.coefficients, saved / (len(text) + 32), math.log1p(len(text))), abs=1e-9)
+
+
+def plain_weights(text, lexicon, exceptions):
+    """The weight of each entry at each place where it stands, outside exceptions."""
+    plain = [c for c in text.lower()]
+    folded = "".join(toxicity.HOMOGLYPHS.get(c, c) for c in plain)
+    found, harmless = set(), set()
+    for line in (folded, "".join(toxicity.DIGITS.get(c, c) for c in folded)):
+        for entry in [*lexicon, *exceptions]:
+            word = entry.removesuffix("*")
+            after = "" if word != entry else r"(?![^\W_])"
+            for match in re.finditer(rf"(?<![^\W_])(?={re.escape(word)}{after})", line):
+                (found if entry in lexicon else harmless).add((match.start(), match.start() + len(word), lexicon.get(entry)))
+    return [w for a, b, w in found if not any(x <= a and b <= y for x, y, _ in harmless)]
+
+
+def test_toxicity_equals_plain_search(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs, labels, F.lit(True))
+    model.lexicon = model.lexicon | {"idiot": 6.0, "stupid": 5.0, "trash": 4.5, "scum*": 4.0}
+    odd = ["1d10t", "a trash can; tr@sh, trashcan", "SCUMMY pond scum scums", "іdiоt stupid question stupid", "st0p1d stup1d!", "", None]
+    docs = docs.select("doc_id", "text").union(spark.createDataFrame([(-i, t) for i, t in enumerate(odd, 1)], DOCS))
+    texts = {row["doc_id"]: row["text"] or "" for row in docs.collect()}
+    got = {row["doc_id"]: row["score"] for row in toxicity.score_toxicity(docs, model).collect()}
+    assert got.keys() == texts.keys()
+    hits = 0
+    for id, text in texts.items():
+        total = sum(plain_weights(text, model.lexicon, model.exceptions))
+        hits += total > 0
+        features = (math.log1p(total), math.log1p(100 * total / max(1, len(text.split())))) if total else (0, 0)
+        assert got[id] == pytest.approx(sigmoid(model.coefficients, *features), abs=1e-9)
+    assert hits > 10
+
+
+def test_language_equals_plain_counts(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    learnt = [row for row in rows if zlib.crc32(str(row["doc_id"]).encode()) % 3 != 1 and row["lang"]]
+    counts = {n: defaultdict(Counter) for n in range(6)}  # whole words at 0
+    for row in learnt:
+        for word in re.findall(r"[^\W\d_]+", (row["text"] or "").lower()):
+            counts[0][word][row["lang"]] += 1
+            for n in range(1, 6):
+                line = f" {word} " if n > 1 else word
+                for at in range(len(line) - n + 1):
+                    counts[n][line[at : at + n]][row["lang"]] += 1
+    languages = sorted({row["lang"] for row in learnt if re.search(r"[^\W\d_]", row["text"] or "")})
+    totals = {n: {l: sum(by[l] + 0.5 for by in entries.values()) for l in languages} for n, entries in counts.items()}
+
+    def scores(n, entry):
+        shares = [(counts[n][entry][l] + 0.5) / totals[n][l] for l in languages]
+        return np.log(np.array(shares) / sum(shares))
+
+    def unseen(word):
+        for n in range(5, 0, -1):
+            line = f" {word} " if n > 1 else word
+            known = [line[at : at + n] for at in range(len(line) - n + 1) if line[at : at + n] in counts[n]]
+            if known:
+                return np.mean([scores(n, gram) for gram in known], axis=0)
+        return np.zeros(len(languages))
+
+    model = language.fit_language(docs, remainder("doc_id", 3) != 1)
+    assert model.languages == languages and len(model.words) == len(counts[0])
+    assert {n: len(known) for n, known in model.grams.items()} == {n: len(counts[n]) for n in range(1, 6)}
+    got = {row["doc_id"]: row for row in language.predict_language(docs, model).collect()}
+    backed_off = 0
+    for row in rows:
+        words = Counter(re.findall(r"[^\W\d_]+", (row["text"] or "").lower()))
+        if not words:
+            assert got[row["doc_id"]]["lang_pred"] == "und"
+            continue
+        backed_off += any(word not in counts[0] for word in words)
+        total = sum(n * (scores(0, word) if word in counts[0] else unseen(word)) for word, n in words.items())
+        posterior = np.exp(total - total.max())
+        best = int(total.argmax())
+        score = 1 / posterior.sum()
+        assert got[row["doc_id"]]["score"] == pytest.approx(score, abs=1e-3)
+        if score > 0.51:
+            assert got[row["doc_id"]]["lang_pred"] == languages[best]
+    assert backed_off > 10
+
+
+def test_a_repeated_id_counts_once(spark):
+    """One id on a third of all rows is drawn once, with its smallest text, and takes no other's place."""
+    rows = [(0, f"veq {i}", "xx") for i in range(50)] + [(i, f"haus {i}", "xx") for i in range(1, 20)] + [(20, None, "xx")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = docs.select("doc_id").distinct().withColumn("quality", F.lit(1))
+    sample, counts = fitting.labelled_sample(docs.select("doc_id", "text"), labels, "quality", F.lit(True), 21)
+    texts = {row["doc_id"]: row["text"] for row in sample.collect()}
+    assert counts == {1: 21} and sample.count() == 21 and texts[0] == "veq 0" and texts[20] is None
+    model = language.fit_language(docs, F.lit(True), per_language=21)
+    assert model.words.keys() == {"veq", "haus"}
+    one = language.fit_language(docs.dropDuplicates(["doc_id"]).replace({f"veq {i}": "veq 0" for i in range(50)}, subset="text"), F.lit(True))
+    assert model.words == one.words and np.array_equal(model.word_scores, one.word_scores)
+
+
 def test_logistic_regression_finds_known_coefficients():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(20000, 2))
