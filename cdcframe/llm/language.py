@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,15 +48,19 @@ def grams_of(word: str, length: int) -> list[str]:
     return [padded[i : i + length] for i in range(len(padded) - length + 1)]
 
 
-def _scores(counts: list[tuple[str, dict[str, int]]], languages: list[str]) -> np.ndarray:
-    """Log share of each language in each entry, of frequencies smoothed by half an occurrence."""
-    at = {language: i for i, language in enumerate(languages)}
-    table = np.full((len(counts), len(languages)), 0.5)
-    for row, (_, by_language) in enumerate(counts):
-        for language, count in by_language.items():
-            table[row, at[language]] += count
+def _scores(counts: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+    """The row of each entry, and there the log share of each language, of frequencies smoothed by half an occurrence."""
+    encoded = counts["entry"].combine_chunks().dictionary_encode()
+    names = encoded.dictionary.to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    table = np.full((len(names), len(languages)), 0.5)
+    columns = pc.index_in(counts["lang"], pa.array(languages, pa.string())).to_numpy()
+    np.add.at(table, (place[encoded.indices.to_numpy()], columns), counts["n"].to_numpy())
     table /= np.maximum(table.sum(axis=0), 1)
-    return np.log(table / table.sum(axis=1, keepdims=True))
+    scores = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
+    return {names[i]: row for row, i in enumerate(order)}, scores
 
 
 def fit_language(
@@ -95,27 +100,15 @@ def fit_language(
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "length", "entry", "n"])
 
     counted = sample.mapInArrow(count, "lang string, length int, entry string, n bigint")
-    by_entry = (
-        counted.groupBy("length", "entry", "lang")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("length", "entry")
-        .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-    )
-    entries: dict[int, list[tuple[str, dict[str, int]]]] = {}
-    for row in by_entry.collect():  # of a bounded sample
-        entries.setdefault(row["length"], []).append((row["entry"], row["by_lang"]))
-    for rows in entries.values():
-        rows.sort(key=lambda row: row[0])
-    languages = sorted({language for rows in entries.values() for _, by in rows for language in by})
-    index = {n: {entry: i for i, (entry, _) in enumerate(rows)} for n, rows in entries.items()}
-    scores = {n: _scores(rows, languages).astype(np.float32) for n, rows in entries.items()}
-    empty = np.zeros((0, len(languages)), np.float32)
+    # Of a bounded sample, and kept in columns: each entry as a Python object would take many times the room.
+    found = counted.groupBy("length", "entry", "lang").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(found["lang"].unique().to_pylist())
+    parts = {n: _scores(found.filter(pc.equal(found["length"], n)), languages) for n in (0, *GRAM_LENGTHS)}
     return LanguageModel(
         languages,
-        index.get(0, {}),
-        scores.get(0, empty),
-        {n: index.get(n, {}) for n in GRAM_LENGTHS},
-        {n: scores.get(n, empty) for n in GRAM_LENGTHS},
+        *parts[0],
+        {n: parts[n][0] for n in GRAM_LENGTHS},
+        {n: parts[n][1] for n in GRAM_LENGTHS},
     )
 
 
