@@ -1,7 +1,8 @@
 """Quality classifier by compression.
 
-Two zstandard dictionaries are built, one from good and one from bad labelled text. A text is compressed with either, in
-pieces; the difference of the two sizes for its length, and the length, give a score by logistic calibration.
+Two zstandard dictionaries are built, one from good and one from bad labelled text, whole texts in pieces: first one for
+each group of pieces, in tasks, then one of what those hold. A text is compressed with either, in pieces; the difference of
+the two sizes for its length, and the length, give a score by logistic calibration.
 """
 
 from __future__ import annotations
@@ -15,14 +16,17 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcframe.llm.common import cut
 from cdcframe.llm.fitting import class_weights, labelled_sample, logistic, probability
 
 #: What is learnt from at most: ids of each class, half for the dictionaries and half for the calibration.
 SAMPLE_PER_CLASS = 4000
-#: Passages of a sampled text that go into a dictionary's sample, evenly spread, and their characters.
-PASSAGES, PASSAGE_CHARS = 4, 512
 DICTIONARY_BYTES = 65536
 PIECE_BYTES = 1024
+#: Text in a group of pieces, about.
+GROUP_BYTES = 1 << 20
+#: Bytes that are taken into a dictionary at a time, and of the samples that the groups' dictionaries are cut into.
+SEGMENT, SAMPLE_BYTES = 64, 256
 LEVEL = 3
 THRESHOLD = 0.7
 
@@ -55,13 +59,40 @@ def _features(texts: list[bytes | None], good: bytes, bad: bytes) -> np.ndarray:
     return found
 
 
-def _dictionary(samples: list[bytes]) -> bytes:
-    if not samples:
-        return b""
+def _dictionary(samples: list[bytes], limit: int = DICTIONARY_BYTES) -> bytes:
+    """A dictionary of the samples. Text that fits into one is the dictionary, as is what cannot be trained on."""
+    if sum(map(len, samples)) <= limit:
+        return b"".join(samples)
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # too little text for a trained one: the text itself
-        return b"".join(samples)[:DICTIONARY_BYTES]
+        return zstandard.train_dictionary(limit, samples, k=SEGMENT, d=8).as_bytes()
+    except zstandard.ZstdError:  # the same few pieces again and again
+        return b"".join(dict.fromkeys(samples))[-limit:]
+
+
+def _dictionaries(texts: DataFrame) -> dict[int, bytes]:
+    """A dictionary of each class from all of its texts (`label`, `text`)."""
+    sizes = texts.groupBy("label").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    groups = {row["label"]: max(1, -(-row["bytes"] // GROUP_BYTES)) for row in sizes}
+    last = F.floor((F.octet_length("text") - 1) / PIECE_BYTES).cast("int")
+    pieces = F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.substring(F.col("text").cast("binary"), i * PIECE_BYTES + 1, F.lit(PIECE_BYTES))
+    )
+    count = F.when(F.col("label") == 1, groups.get(1, 1)).otherwise(groups.get(0, 1))
+    pieces = texts.filter(F.octet_length("text") > 0).select("label", "slot", F.posexplode(pieces).alias("at", "piece"))
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("slot", "at"), count))
+
+    def build(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.sort_by([("slot", "ascending"), ("at", "ascending")])
+        content = _dictionary(group["piece"].to_pylist())
+        return pa.table({"label": [key[0]], "part": [key[1]], "content": [content]})
+
+    built = pieces.groupBy("label", "part").applyInArrow(build, "label int, part bigint, content binary").collect()
+    found = {}
+    for value in (0, 1):
+        parts = [bytes(row["content"]) for row in sorted(built, key=lambda row: row["part"]) if row["label"] == value]
+        samples = [part[at : at + SAMPLE_BYTES] for part in parts for at in range(0, len(part), SAMPLE_BYTES)]
+        found[value] = parts[0] if len(parts) == 1 else _dictionary(samples)
+    return found
 
 
 def fit_quality(
@@ -73,21 +104,14 @@ def fit_quality(
     label: str = "quality",
     per_class: int = SAMPLE_PER_CLASS,
 ) -> QualityModel:
-    """A model from labelled rows for which `learn` holds. Without labels every score is 0.5; with one class, near its value."""
+    """A model from labelled rows for which `learn` holds. Without labels every score is 0.5; with one class, near its value.
+
+    Half of the drawn texts, whole, make the dictionaries; the driver holds a part of 64 KB for each MB of them.
+    """
     sample, counts = labelled_sample(docs.select(id, text), labels, label, learn, per_class, id)
-    sample = sample.withColumn("text", F.coalesce(text, F.lit("")))
-    chars = F.length("text")
-    passages = F.transform(
-        F.sequence(F.lit(0), F.lit(PASSAGES - 1)),
-        lambda i: F.substring("text", F.floor(i * chars / PASSAGES).cast("int") + 1, F.lit(PASSAGE_CHARS)),
-    )
-    rows = sample.filter(F.col("slot") % 2 == 0).select("label", "slot", passages.alias("passages")).collect()
-    rows.sort(key=lambda row: (row["slot"], row["label"], row["passages"]))
-    texts = {
-        value: [p.encode() for row in rows if row["label"] == value for p in row["passages"] if len(p.encode()) >= 8]
-        for value in (0, 1)
-    }
-    good, bad = _dictionary(texts[1]), _dictionary(texts[0])
+    sample = cut(sample.select("label", "slot", F.coalesce(text, F.lit("")).alias("text")))
+    dictionaries = _dictionaries(sample.filter(F.col("slot") % 2 == 0))
+    good, bad = dictionaries[1], dictionaries[0]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

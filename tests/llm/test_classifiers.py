@@ -133,6 +133,39 @@ def test_quality_equals_plain_compression(spark):
         assert got[id] == pytest.approx(sigmoid(model.coefficients, saved / (len(text) + 32), math.log1p(len(text))), abs=1e-9)
 
 
+def test_quality_learns_from_whole_texts(spark):
+    """What tells the classes apart stands between 40 and 90 percent of long texts, each time somewhere else."""
+    def made(i, word):
+        body = [f"w{(i * 7919 + j * 104729) % 99991}" for j in range(3000)]
+        for j in range(40):
+            body[1200 + (i * 37 + j * 41) % 1500] = f"{word} phrase of {word} kind with {word} words"
+        return " ".join(body)
+
+    rows = [(i, made(i, ("wretched", "splendid")[i % 2]), i % 2) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    model = quality.fit_quality(df.select("doc_id", "text"), df, F.lit(True))
+    assert b"splendid words" in model.good and b"wretched" not in model.good
+    assert b"wretched words" in model.bad and b"splendid" not in model.bad
+    assert max(len(model.good), len(model.bad)) <= quality.DICTIONARY_BYTES
+
+
+def test_dictionary_of_little_or_one_kind_of_text():
+    assert quality._dictionary([], 100) == b"" and quality._dictionary([b"ab", b"c"], 3) == b"abc"
+    assert b"word word" in quality._dictionary([b"word " * 200] * 500, 16384)
+
+
+def test_draw_is_the_first_by_hash(spark):
+    """Also of a group with nearly all rows, and of groups smaller than the draw."""
+    rows = spark.range(30_000).select(F.col("id"), F.when(F.col("id") % 1000 == 0, "few").otherwise("most").alias("kind"))
+    hashed = rows.withColumn("h", F.xxhash64(F.lit(1), "id")).collect()
+    for n in (5, 700):
+        want = {}
+        for kind in ("few", "most"):
+            ids = [row["id"] for row in sorted(hashed, key=lambda row: row["h"]) if row["kind"] == kind][:n]
+            want |= {(kind, slot): id for slot, id in enumerate(ids)}
+        assert {(r["kind"], r["slot"]): r["id"] for r in fitting.draw(rows, "kind", "id", n).collect()} == want
+
+
 def plain_weights(text, lexicon, exceptions):
     """The weight of each entry at each place where it stands, outside exceptions."""
     plain = [c for c in text.lower()]
