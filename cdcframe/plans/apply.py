@@ -153,7 +153,7 @@ def apply_by_count(
 
     The records that do not fill a batch wait in files beside the table for the next call of the same writer, which they
     come before; with `close` they are a batch of their own. So where batches end depends on the records alone and not on
-    how they come, and a call that is repeated cuts the same ones. Within each batch the rules of `compact` hold; from
+    how calls cut them, as long as calls follow the sequence, and a call that is repeated cuts the same ones. Within each batch the rules of `compact` hold; from
     batch to batch those of `merge`, whose outcome is found without going through the batches one by one.
     """
     if size < 1:

@@ -23,7 +23,10 @@ Flatten = Callable[[DataFrame], DataFrame]
 
 
 def stream_changes(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
-    """The parquet files of a folder as a stream in the order they were written. For a change log, see `stream_log`."""
+    """The parquet files of a folder as a stream in the order they were written. For a change log, see `stream_log`.
+
+    The files that one job writes have no order among themselves: where the order matters, `max_files` is for jobs of one file.
+    """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -508,10 +508,11 @@ def stream_apply(spark, sf):
 def stream_apply_by_count(spark, sf):
     batch = i.event_batch(spark, sf)
     table, folder = _event_table(spark, batch, "counted"), work_folder(spark, "stream")
+    stream = c.stream_changes(spark, f"{folder}/in/*", batch.schema)
+    # The files that one write makes have no order among themselves, so each range is a micro-batch, whatever its files.
     for n, part in enumerate(_cuts(batch, 3)):
         part.write.parquet(f"{folder}/in/{n}")
-    stream = c.stream_changes(spark, f"{folder}/in/*", batch.schema, max_files=1)
-    c.run_to_end(c.stream_apply(stream, table, f"{folder}/checkpoint", records=PAGE))
+        c.run_to_end(c.stream_apply(stream, table, f"{folder}/checkpoint", records=PAGE))
     c.close_stream(table, f"{folder}/checkpoint", PAGE)
     return i.shown_target(table.read())
 

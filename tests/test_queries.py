@@ -43,5 +43,17 @@ def test_query_equals_sql(spark, duck, name):
     assert rows(df.columns, map(tuple, df.collect())) == expected
 
 
+def test_counted_batches_of_a_range_in_many_files(spark, folder):
+    """Files of one write have no order: the batches still follow the sequence."""
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    events.repartition(6, "user_id").write.parquet(f"{folder}/events.parquet")
+    df = QUERIES["stream_apply_by_count"](spark, folder)
+    connection = duckdb.connect()
+    connection.execute(f"create view events as select * from '{folder}/events.parquet/*.parquet'")
+    result = connection.execute(ORACLES["stream_apply_by_count"])
+    columns = [d[0] for d in result.description]
+    assert rows(df.columns, map(tuple, df.collect())) == rows(columns, result.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
