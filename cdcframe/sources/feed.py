@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcframe.functions.columns import col, require
@@ -32,9 +32,9 @@ def net_changes(
     The row id is a digest of the key. Where a key has several rows on one side, so that it does not
     identify them, it is a digest of the row and the number of the copy.
 
-    The versions are taken as bags of rows and cancelled against each other by a grouped sum over whole
-    rows, which is combined before the shuffle; copies of a row, and keys with many rows, are therefore
-    never paired with one another. Only the rows left over are then brought together by key.
+    The versions are taken as bags of rows, shuffled once, by key, and cancelled against each other by a
+    grouped sum over whole rows; copies of a row, and keys with many rows, are therefore never paired with
+    one another. A window over the rows left over of each key tells which of them were changed.
     """
     keys = require(old, keys, "key column")
     names = list(old.columns) if columns is None else require(old, columns)
@@ -50,20 +50,24 @@ def net_changes(
     texts = {name: text for name, text in texts.items() if text is not None}
     whole = [texts[name].alias(f"_json {name}") if name in texts else col(name) for name in names]
     sums = [F.sum("_net").alias("_net"), *[F.first(col(name)).alias(name) for name in texts]]
+    # All rows of a key go to one task, in as many tasks as the session has shuffle partitions: the sum over whole rows and
+    # the look at the rows left over of each key then need no shuffle of their own, and what a task holds stays small.
+    parts = int(old.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(parts, *[col(key) for key in keys])
     left = both.groupBy(*whole).agg(*sums).filter(col("_net") != 0).select(*[col(name) for name in names], "_net")
 
-    sides = left.groupBy(*[col(key).alias(f"_key{i}") for i, key in enumerate(keys)]).agg(
-        F.sum(F.greatest(-col("_net"), F.lit(0))).alias("_gone"), F.sum(F.greatest(col("_net"), F.lit(0))).alias("_come")
-    )
+    of_one = Window.partitionBy(*[col(key) for key in keys])
+    gone = F.sum(F.greatest(-col("_net"), F.lit(0))).over(of_one)
+    come = F.sum(F.greatest(col("_net"), F.lit(0))).over(of_one)
+    sides = left.select(*left.columns, gone.alias("_gone"), come.alias("_come"))
     pair, many = (col("_gone") > 0) & (col("_come") > 0), (col("_gone") > 1) | (col("_come") > 1)
-    marked = sides.select(*sides.columns[: len(keys)], pair.alias("_pair"), many.alias("_many")).filter(pair | many)
-    same_key = [col(key).eqNullSafe(col(f"_key{i}")) for i, key in enumerate(keys)]
-    rows = _repeat(left.join(marked, same_key, "left"), F.abs(col("_net")))
+    marked = sides.select(*left.columns, pair.alias("_pair"), many.alias("_many"))
+    rows = _repeat(marked, F.abs(col("_net")))
     of_key, of_row = json_object(rows, keys), json_object(rows, [*names, "_step", "_copy"])
     return rows.select(
         *[col(name) for name in names],
         F.when(col("_net") > 0, INSERT).otherwise(DELETE).alias(ACTION),
-        F.coalesce(col("_pair"), F.lit(False)).alias(IS_UPDATE),
+        col("_pair").alias(IS_UPDATE),
         F.sha2(F.when(col("_many"), of_row).otherwise(of_key), 256).alias(ROW_ID),
     )
 

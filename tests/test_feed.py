@@ -9,6 +9,7 @@ from cdcframe import net_changes
 from cdcframe.functions.columns import MissingColumn
 from cdcframe.sources import feed
 from cdcframe.sources.feed import ACTION, IS_UPDATE, ROW_ID
+from tests.inspect_plan import plan
 
 SCHEMA = "k bigint, a string, b double"
 
@@ -109,3 +110,10 @@ def test_variants_and_maps_at_any_depth(spark):
     assert sorted((r["k"], r["a"], r["u"], r["w"]) for r in got) == [
         (1, "DELETE", True, "x"), (1, "INSERT", True, "x"), (2, "DELETE", True, "y"), (2, "INSERT", True, "Y"),
     ]
+
+
+def test_the_versions_are_shuffled_once(spark):
+    rows = spark.range(1000).selectExpr("id k", "'x' a", "id * 0.5d b")
+    text = plan(net_changes(rows, rows.filter("k % 3 > 0"), "k"))
+    # By a number of tasks that is not made smaller afterwards, since rows take more room in memory than in a shuffle.
+    assert text.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in text and "Join" not in text

@@ -11,7 +11,7 @@ from cdcframe import consume, log_after, log_page, number_batches, number_rows,
 from cdcframe.files import Files
 from cdcframe.sources import log as log_module
 from cdcframe.sources.feed import ACTION, CONSUMED_AT, IS_UPDATE, ROW_ID
-from cdcframe.sources.log import ROW_NUMBER
+from cdcframe.sources.log import ROW_NUMBER, in_ranges
 from tests.inspect_plan import plan
 
 AT = datetime(2024, 5, 1, 23, 59, 59, tzinfo=timezone.utc)
@@ -183,3 +183,15 @@ def test_empty_log(spark, folder):
 def test_consume_needs_a_zone(spark, folder):
     with pytest.raises(ValueError):
         consume(feed(spark, 0, 1), folder, 0, datetime(2024, 1, 1))
+
+
+def test_a_change_takes_one_row_id_of_room_in_the_shuffle(spark):
+    """Neither its digest nor the text of its hex digits goes through; any text comes out as it was."""
+    ids = ["ABCD", "abcd", "abc", "", "00", "zz", "0aBc", "ünï"] + [digest(str(n)) for n in range(50)]
+    rows = [(n, "INSERT", False, name) for n, name in enumerate(ids)]
+    changes = spark.createDataFrame(rows, f"k bigint, `{ACTION}` string, `{IS_UPDATE}` boolean, `{ROW_ID}` string")
+    ranged = in_ranges(changes, 4)
+    before = plan(ranged).split("Exchange", 1)[1]
+    assert "_packed" in before and "_digest" not in before
+    got = [(r["k"], r[ROW_ID], r["_digest"]) for r in ranged.collect()]
+    assert got == sorted(((n, name, digest(name)) for n, name in enumerate(ids)), key=lambda row: (row[2], row[1]))
