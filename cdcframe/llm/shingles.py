@@ -1,9 +1,10 @@
 """Near-duplicates by the Jaccard similarity of their sets of word shingles.
 
-Candidates come from minwise hashing: the fingerprint of a set has 64 bands of 6 minima, and a pair of similarity s has a
-band in common with the probability 1 - (1 - s^6)^64, which at 0.8 is all but 4 in 10^9. Each candidate is then checked
-against the sets themselves, so no pair below the threshold links. A covering SimHash cannot do this: such pairs differ in
-about 10 of 64 bits, and the number of its tables doubles with each bit.
+The first candidates come from covering SimHash: what fingerprints of 64 bits connect that differ in 4 bits or fewer. Pairs at
+the threshold differ in about 10 bits, and the number of tables doubles with each bit, so it cannot find them all. What it
+leaves comes from minwise hashing: a set has 64 bands of 6 minima, and a pair of similarity s has a band in common with the
+probability 1 - (1 - s^6)^64, which at 0.8 is all but 4 in 10^9. Each candidate of either kind is checked against the sets
+themselves, so no pair below the threshold links; members that have a component by then are not compared again.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from cdcframe.llm.common import cut, row_key
 from cdcframe.llm.components import connected
+from cdcframe.llm.simhash import BITS, near_links
 
 SEED = 42
 BANDS, ROWS = 64, 6
@@ -48,23 +50,34 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return ((least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64) + _BAND).view(np.int64)
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash of a set of shingles as a signed 64-bit number; 0 if it is empty."""
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 65536):
+        bits = hashes[at : at + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(bits, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little").view("<i8")[0])
+
+
 def _sketches(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
-    """`id`, `key` (of id and text), `node` (a hash of the shingle set), `size` and `bands` of every row."""
+    """`id`, `key` (of id and text), `node` (a hash of the shingle set), `size`, `fingerprint` and `bands` of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, bands = [], [], []
+            nodes, sizes, prints, bands = [], [], [], []
             for value in batch.column(2).to_pylist():
                 hashes = shingle_set(value, shingle)
                 nodes.append(np.int64(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)).view(np.int64)))
                 sizes.append(len(hashes))
+                prints.append(set_fingerprint(hashes))
                 bands.append(band_keys(hashes) if len(hashes) else [])
-            arrays = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["id", "key", "node", "size", "bands"])
+            arrays = [pa.array(values, pa.int64()) for values in (nodes, sizes, prints)] + [pa.array(bands, pa.list_(pa.int64()))]
+            names = ["id", "key", "node", "size", "fingerprint", "bands"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=names)
 
     kind = docs.schema[id].dataType.simpleString()
     plain = docs.select(F.col(id).alias("id"), row_key(id, text).alias("key"), F.col(text).cast("binary").alias("text"))
-    return plain.mapInArrow(sketch, f"id {kind}, key string, node bigint, size bigint, bands array<bigint>")
+    return plain.mapInArrow(sketch, f"id {kind}, key string, node bigint, size bigint, fingerprint bigint, bands array<bigint>")
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -137,31 +150,44 @@ def _cell_links(cells: DataFrame, sets: DataFrame, threshold: float) -> DataFram
     return cells.join(sets, "node").groupBy("bucket", "p", "q").applyInArrow(link, "a bigint, b bigint")
 
 
+def simhash_pairs(distinct: DataFrame, radius: int = 4) -> DataFrame:
+    """Pairs (`a` < `b`) of nodes that connect what `fingerprint`s connect that differ in at most `radius` bits."""
+    prints = cut(distinct.filter("size > 0").select("node", "fingerprint"))
+    firsts = prints.groupBy("fingerprint").agg(F.min("node").alias("first"))
+    same = prints.join(firsts, "fingerprint").filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = near_links(firsts.select("fingerprint"), radius)
+    links = links.join(firsts.select(F.col("fingerprint").alias("a"), F.col("first").alias("p")), "a")
+    links = links.join(firsts.select(F.col("fingerprint").alias("b"), F.col("first").alias("q")), "b")
+    return same.union(links.select(F.least("p", "q"), F.greatest("p", "q")))
+
+
 def _links(
     docs: DataFrame, distinct: DataFrame, id: str, text: str, shingle: int, threshold: float, cell: int
 ) -> DataFrame:
     """Links (`a`, `b`) that connect exactly what the candidates of the similarity `threshold` or more connect.
 
-    In each bucket all members are checked against its smallest and its largest node first. Buckets whose members are then
-    still in different components are gone through member by member, without pairs as rows.
+    The candidates of SimHash are checked together with those of each bucket against its smallest and its largest node.
+    Buckets whose members are then still in different components are gone through member by member, without pairs as rows.
     """
     dealt = distinct.select("node", "size", F.explode("bands").alias("bucket"))
-    ends = dealt.groupBy("bucket").agg(F.min(F.struct("node", "size")).alias("least"), F.max(F.struct("node", "size")).alias("most"))
-    shared = cut(dealt.join(ends.filter("least.node < most.node"), "bucket"))
-
-    def fit(a, b):  # sets as different in size as this cannot be so similar
-        return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b) - 1e-6
+    ends = dealt.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    shared = cut(dealt.join(ends.filter("least < most"), "bucket"))
 
-    members = shared.select("node").distinct().join(distinct.select("node", "own.key"), "node")
+    def against(end: str) -> DataFrame:
+        a, b = F.col("node"), F.col(end)
+        return shared.filter(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+
+    pairs = against("least").union(against("most")).union(simhash_pairs(distinct)).distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(distinct.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}")), end)
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    # Sets as different in size as this cannot be so similar.
+    tried = cut(pairs.filter(small >= F.lit(threshold) * large - 1e-6).select("a", "b"))
+
+    members = shared.select("node").union(tried.select("a")).union(tried.select("b")).distinct()
+    members = members.join(distinct.select("node", "own.key"), "node")
     texts = docs.select(row_key(id, text).alias("key"), F.col(text).alias("text")).join(members, "key").dropDuplicates(["node"])
     sets = cut(_sets(texts, shingle))
-
-    def against(end: str) -> DataFrame:
-        rows = shared.filter((F.col("node") != F.col(f"{end}.node")) & fit(F.col("size"), F.col(f"{end}.size")))
-        a, b = F.col("node"), F.col(f"{end}.node")
-        return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-
-    tried = cut(against("least").union(against("most")).distinct())
     found = cut(_similar(tried, sets, threshold))
     roots = connected(found)
     placed = shared.select("bucket", "node", "size").join(roots, "node", "left")
@@ -181,7 +207,8 @@ def keep_one(
     """
     rows = _sketches(docs, id, text, shingle)
     own = F.min(F.struct(F.col("id").isNull().alias("lost"), "id", "key"))
-    distinct = cut(rows.groupBy("node").agg(own.alias("own"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    sketch = [F.first(name).alias(name) for name in ("size", "fingerprint", "bands")]
+    distinct = cut(rows.groupBy("node").agg(own.alias("own"), *sketch))
     roots = connected(_links(docs, distinct, id, text, shingle, threshold, cell))
     placed = distinct.select("node", "own").join(roots, "node", "left")
     firsts = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("own").alias("first"))

@@ -32,7 +32,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, Jaccard similarity 0.8 or more) the document with the smallest
-    id. Texts without words are one group."""
+    id. Candidates come from covering SimHash, then from minima of the sets. Texts without words are one group."""
     return shingles.keep_one(docs.select(*COLUMNS))
 
 

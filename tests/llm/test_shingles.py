@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline as cp
-from cdcframe.llm import shingles
+from cdcframe.llm import shingles, simhash
 
 
 def brute_set(text):
@@ -81,3 +81,37 @@ def test_exactly_the_threshold_links():
     assert similarity(brute_set(" ".join(words)), brute_set(" ".join([*words, "x", "y"]))) == 0.8
     a, b = shingles.shingle_set(" ".join(words).encode()), shingles.shingle_set(" ".join([*words, "x", "y"]).encode())
     assert (len(a), len(b), len(set(a.tolist()) & set(b.tolist()))) == (8, 10, 8)
+
+
+def test_the_simhash_of_a_set():
+    words = [f"w{i}" for i in range(90)]
+    text = " ".join(words).encode()
+    assert shingles.set_fingerprint(shingles.shingle_set(text)) == simhash.fingerprint(text, 5)
+    assert shingles.set_fingerprint(shingles.shingle_set(b"")) == 0
+
+
+def test_simhash_finds_the_first_candidates(spark):
+    """Copies share a fingerprint, others are a few bits away: all are connected, and no others."""
+    random.seed(4)
+    prints = [random.getrandbits(63) for _ in range(40)]
+    for value in prints[:20]:
+        prints += [value, value ^ 0b1011, value ^ (1 << 40) ^ (1 << 3)]
+    rows = [(node * 7 - 300, 5, value) for node, value in enumerate(prints)]
+    pairs = shingles.simhash_pairs(spark.createDataFrame([*rows, (9999, 0, 0)], "node bigint, size bigint, fingerprint bigint"))
+    parent = {row[0]: row[0] for row in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs.collect():
+        assert a < b
+        parent[find(a)] = find(b)
+    found = {a[0]: find(a[0]) for a in rows}
+    parent = {row[0]: row[0] for row in rows}
+    for a in rows:
+        for b in rows:
+            if (a[2] ^ b[2]).bit_count() <= 4:
+                parent[find(a[0])] = find(b[0])
+    assert all((found[a[0]] == found[b[0]]) == (find(a[0]) == find(b[0])) for a in rows for b in rows)
