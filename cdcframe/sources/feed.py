@@ -18,6 +18,8 @@ CONSUMED_AT = "METADATA$TS"
 METADATA = [ACTION, IS_UPDATE, ROW_ID, CONSUMED_AT]
 INSERT = "INSERT"
 DELETE = "DELETE"
+#: Rows of the two versions for each task, at most about.
+ROWS_PER_TASK = 250_000
 
 
 def net_changes(
@@ -34,7 +36,8 @@ def net_changes(
 
     The versions are taken as bags of rows, shuffled once, by key, and cancelled against each other by a
     grouped sum over whole rows; copies of a row, and keys with many rows, are therefore never paired with
-    one another. A window over the rows left over of each key tells which of them were changed.
+    one another. A window over the rows left over of each key tells which of them were changed. The versions are
+    counted at the call, for the number of tasks to follow from their rows.
     """
     keys = require(old, keys, "key column")
     names = list(old.columns) if columns is None else require(old, columns)
@@ -50,9 +53,10 @@ def net_changes(
     texts = {name: text for name, text in texts.items() if text is not None}
     whole = [texts[name].alias(f"_json {name}") if name in texts else col(name) for name in names]
     sums = [F.sum("_net").alias("_net"), *[F.first(col(name)).alias(name) for name in texts]]
-    # All rows of a key go to one task, in as many tasks as the session has shuffle partitions: the sum over whole rows and
-    # the look at the rows left over of each key then need no shuffle of their own, and what a task holds stays small.
+    # All rows of a key go to one task: the sum over whole rows and the look at the rows left over of each key then need no
+    # shuffle of their own. A task holds its rows in memory, so there are more tasks than the session's where it has few.
     parts = int(old.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, -(-(old.count() + new.count()) // ROWS_PER_TASK))
     both = both.repartition(parts, *[col(key) for key in keys])
     left = both.groupBy(*whole).agg(*sums).filter(col("_net") != 0).select(*[col(name) for name in names], "_net")
 

@@ -34,8 +34,9 @@ ROW_NUMBER = "METADATA$ROW_NUMBER"
 BATCH_ID = "batch_id"
 INDEX_IN_BATCH = "index_in_batch"
 _DIGEST = "_digest"
-_ORDER = [_DIGEST, ROW_ID, IS_UPDATE, ACTION]
 _DIGEST_RANGE = 16**8
+#: Hex digits of a digest that make a positive bigint.
+_LEADING = 15
 #: The index is broadcast up to so many files; beyond, Spark joins it as it sees fit.
 _BROADCAST_FILES = 100_000
 
@@ -123,8 +124,8 @@ def consume(
 def in_ranges(changes: DataFrame, parts: int) -> DataFrame:
     """The changes in `parts` ranges of the order of the log, sorted within each, with the digest of their row ids.
 
-    The digest is made anew after the shuffle, and a row id in lower-case hex goes through it as bytes, so that a change
-    takes a row id's worth of room there and not three.
+    The digest is made anew after the shuffle, and a row id in lower-case hex goes through it, and through the sort, as
+    bytes, so that a change takes a row id's worth of room there and not three.
     """
     row_id = checked(col(ROW_ID).isNotNull(), col(ROW_ID), "a change has no row id")
     names = [col(name) for name in changes.columns if name != ROW_ID]
@@ -134,7 +135,12 @@ def in_ranges(changes: DataFrame, parts: int) -> DataFrame:
     whole = F.coalesce(F.lower(F.hex("_packed")), col("_plain"))
     slot = F.conv(F.substring(F.md5(whole), 1, 8), 16, 10).cast("bigint")
     ranged = slim.repartitionById(parts, F.floor(slot * F.lit(parts) / F.lit(_DIGEST_RANGE)).cast("int"))
-    return ranged.select(*names, whole.alias(ROW_ID)).withColumn(_DIGEST, F.md5(col(ROW_ID))).sortWithinPartitions(*_ORDER)
+    # Nor does the sort hold the texts: it goes by the leading digits as a number, and makes the rest where those are equal.
+    digest = F.md5(whole)
+    leading = F.conv(F.substring(digest, 1, _LEADING), 16, 10).cast("bigint").alias("_leading")
+    placed = ranged.select(*names, "_packed", "_plain", leading)
+    ordered = placed.sortWithinPartitions("_leading", digest, whole, IS_UPDATE, ACTION)
+    return ordered.select(*names, whole.alias(ROW_ID), digest.alias(_DIGEST))
 
 
 def _next_number(files: Files, path: str, done: list[int]) -> int:

@@ -117,3 +117,15 @@ def test_the_versions_are_shuffled_once(spark):
     text = plan(net_changes(rows, rows.filter("k % 3 > 0"), "k"))
     # By a number of tasks that is not made smaller afterwards, since rows take more room in memory than in a shuffle.
     assert text.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in text and "Join" not in text
+
+
+def test_tasks_follow_the_rows_where_the_session_has_few(spark, monkeypatch):
+    """A task holds its rows in memory, so tables that grow need more tasks, or they spill."""
+    monkeypatch.setattr(feed, "ROWS_PER_TASK", 100, raising=False)
+    old = spark.range(3000).selectExpr("id k", "'x' a", "id * 0.5d b")
+    new = old.filter("k % 3 > 0").selectExpr("k", "'y' a", "b")
+    changes = net_changes(old, new, "k")
+    assert changes.rdd.getNumPartitions() == 50
+    kinds = {(r[ACTION], r[IS_UPDATE]): r["count"] for r in changes.groupBy(ACTION, IS_UPDATE).count().collect()}
+    assert kinds == {("DELETE", False): 1000, ("DELETE", True): 2000, ("INSERT", True): 2000}
+    assert net_changes(old.limit(5), new.limit(5), "k").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -195,3 +195,17 @@ def test_a_change_takes_one_row_id_of_room_in_the_shuffle(spark):
     assert "_packed" in before and "_digest" not in before
     got = [(r["k"], r[ROW_ID], r["_digest"]) for r in ranged.collect()]
     assert got == sorted(((n, name, digest(name)) for n, name in enumerate(ids)), key=lambda row: (row[2], row[1]))
+
+
+def test_the_sort_of_a_consume_holds_no_texts_of_row_ids(spark):
+    text = plan(in_ranges(feed(spark, 0, 100), 4))
+    below = text[text.index("Sort [") :].splitlines()[1]
+    assert "Sort [_leading" in text and "_leading" in below and "_digest" not in below and ROW_ID not in below
+
+
+def test_equal_leading_digits_are_told_apart_by_the_rest(spark, monkeypatch):
+    monkeypatch.setattr(log_module, "_LEADING", 1)
+    rows = [(n, "INSERT" if n % 2 else "DELETE", True, digest(str(n // 2)) if n % 3 else f"zz{n}") for n in range(400)]
+    changes = spark.createDataFrame(rows, f"k bigint, `{ACTION}` string, `{IS_UPDATE}` boolean, `{ROW_ID}` string")
+    got = [(r["_digest"], r[ROW_ID], r[ACTION], r["k"]) for r in in_ranges(changes, 3).collect()]
+    assert got == sorted((digest(row_id), row_id, action, n) for n, action, _, row_id in rows)
