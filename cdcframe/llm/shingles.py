@@ -15,7 +15,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcframe.llm.common import cut, row_key
@@ -118,12 +118,13 @@ def _cells(placed: DataFrame, cell: int) -> DataFrame:
 
 
 def _cell_links(cells: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links that connect what is similar within each cell and not in one component yet."""
+    """Links between roots that connect what is similar within each cell and not in one component yet."""
 
     def link(members: pa.Table) -> pa.Table:
-        _, label, count = np.unique(members["root"].to_numpy(), return_inverse=True, return_counts=True)
+        root = members["root"].to_numpy()
+        _, label, count = np.unique(root, return_inverse=True, return_counts=True)
         order = np.argsort(count[label], kind="stable")  # members of the largest component last: they need no look at each other
-        label, node = label[order], members["node"].to_numpy()[order]
+        label, root = label[order], root[order]
         hashes = members["hashes"].combine_chunks()
         hashes = [np.frombuffer(hashes[i].as_buffer(), np.uint64) for i in order.tolist()]
         sizes = np.array([len(x) for x in hashes])
@@ -131,7 +132,7 @@ def _cell_links(cells: DataFrame, sets: DataFrame, threshold: float) -> DataFram
         starts = ends - sizes
         values, ids = np.unique(np.concatenate(hashes), return_inverse=True)
         seen, found = np.zeros(len(values), np.bool_), []
-        for i in range(len(node) - 1):
+        for i in range(len(root) - 1):
             other = label[i + 1 :] != label[i]
             if not other.any():
                 continue
@@ -142,7 +143,7 @@ def _cell_links(cells: DataFrame, sets: DataFrame, threshold: float) -> DataFram
             near = other & (shared / (sizes[i + 1 :] + sizes[i] - shared) >= threshold)
             for j in (np.flatnonzero(near) + i + 1).tolist():
                 if label[j] != label[i]:
-                    found.append((node[i], node[j]))
+                    found.append((root[i], root[j]))
                     label[label == label[j]] = label[i]
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -150,51 +151,75 @@ def _cell_links(cells: DataFrame, sets: DataFrame, threshold: float) -> DataFram
     return cells.join(sets, "node").groupBy("bucket", "p", "q").applyInArrow(link, "a bigint, b bigint")
 
 
-def simhash_pairs(distinct: DataFrame, radius: int = 4) -> DataFrame:
-    """Pairs (`a` < `b`) of nodes that connect what `fingerprint`s connect that differ in at most `radius` bits."""
-    prints = cut(distinct.filter("size > 0").select("node", "fingerprint"))
-    firsts = prints.groupBy("fingerprint").agg(F.min("node").alias("first"))
-    same = prints.join(firsts, "fingerprint").filter("first < node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+def _possible(size: Column, other: Column, threshold: float) -> Column:
+    """Whether sets of these sizes can have the similarity `threshold`."""
+    return F.least(size, other) >= F.lit(threshold) * F.greatest(size, other) - 1e-6
+
+
+def simhash_pairs(distinct: DataFrame, radius: int = 4, threshold: float = 0.0) -> DataFrame:
+    """Pairs (`a` < `b`) of nodes that connect what `fingerprint`s connect that differ in at most `radius` bits.
+
+    Those of them that are too different in `size` for the similarity `threshold` are left out.
+    """
+    prints = distinct.filter("size > 0").select("node", "size", "fingerprint")
+    own = [F.min("node").alias("first"), F.min_by("size", "node").alias("first_size")]
+    firsts = cut(prints.groupBy("fingerprint").agg(*own))
+    same = prints.join(firsts, "fingerprint").filter(F.col("first") < F.col("node"))
+    same = same.select(F.col("first").alias("p"), "node", "first_size", "size")
     links = near_links(firsts.select("fingerprint"), radius)
-    links = links.join(firsts.select(F.col("fingerprint").alias("a"), F.col("first").alias("p")), "a")
-    links = links.join(firsts.select(F.col("fingerprint").alias("b"), F.col("first").alias("q")), "b")
-    return same.union(links.select(F.least("p", "q"), F.greatest("p", "q")))
+    for end, node, size in (("a", "p", "p_size"), ("b", "q", "q_size")):
+        named = firsts.select(F.col("fingerprint").alias(end), F.col("first").alias(node), F.col("first_size").alias(size))
+        links = links.join(named, end)
+    pairs = same.union(links.select("p", "q", "p_size", "q_size")).toDF("p", "q", "p_size", "q_size")
+    pairs = pairs.filter(_possible(F.col("p_size"), F.col("q_size"), threshold))
+    return pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+
+
+def _shared(distinct: DataFrame) -> DataFrame:
+    """`bucket`, `node` and `size` of the members of each bucket that has several, with its smallest and its largest node
+    (`least`, `most`) and their sizes. Of buckets with the same members one stays, so near copies are in few.
+
+    The bands are shuffled once, for the aggregate and for the join.
+    """
+    dealt = distinct.select("node", "size", F.explode("bands").alias("bucket")).filter("bucket is not null").repartition("bucket")
+    ends = [F.min("node").alias("least"), F.max("node").alias("most")]
+    ends += [F.min_by("size", "node").alias("least_size"), F.max_by("size", "node").alias("most_size")]
+    members = [F.count("*").alias("members"), F.bit_xor("node").alias("mixed"), F.sum("size").alias("total")]
+    buckets = dealt.groupBy("bucket").agg(*ends, *members).filter("least < most")
+    ends = ["least", "most", "least_size", "most_size"]
+    chosen = buckets.groupBy(*ends, "members", "mixed", "total").agg(F.min("bucket").alias("bucket"))
+    return dealt.join(chosen.select("bucket", *ends), "bucket")
 
 
-def _links(
+def _roots(
     docs: DataFrame, distinct: DataFrame, id: str, text: str, shingle: int, threshold: float, cell: int
 ) -> DataFrame:
-    """Links (`a`, `b`) that connect exactly what the candidates of the similarity `threshold` or more connect.
+    """`node` and `root` of the components that the candidates of the similarity `threshold` or more make, without the roots.
 
     The candidates of SimHash are checked together with those of each bucket against its smallest and its largest node.
     Buckets whose members are then still in different components are gone through member by member, without pairs as rows.
+    What they connect are components, so only links between roots are left to follow then.
     """
-    dealt = distinct.select("node", "size", F.explode("bands").alias("bucket"))
-    ends = dealt.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-    shared = cut(dealt.join(ends.filter("least < most"), "bucket"))
-
-    def against(end: str) -> DataFrame:
-        a, b = F.col("node"), F.col(end)
-        return shared.filter(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-
-    pairs = against("least").union(against("most")).union(simhash_pairs(distinct)).distinct()
-    for end in ("a", "b"):
-        pairs = pairs.join(distinct.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}")), end)
-    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    # Sets as different in size as this cannot be so similar.
-    tried = cut(pairs.filter(small >= F.lit(threshold) * large - 1e-6).select("a", "b"))
-
-    members = shared.select("node").union(tried.select("a")).union(tried.select("b")).distinct()
+    shared = cut(_shared(distinct))
+    node, end = F.col("node"), F.col("end.node")
+    ends = [F.struct(F.col(x).alias("node"), F.col(f"{x}_size").alias("size")) for x in ("least", "most")]
+    pairs = shared.select("node", "size", F.explode(F.array(*ends)).alias("end"))
+    pairs = pairs.filter((node != end) & _possible(F.col("size"), F.col("end.size"), threshold))
+    pairs = pairs.select(F.least(node, end).alias("a"), F.greatest(node, end).alias("b"))
+    tried = cut(pairs.union(simhash_pairs(distinct, threshold=threshold)).distinct())
+
+    members = shared.select("node").union(tried.select(F.explode(F.array("a", "b")))).distinct()
     members = members.join(distinct.select("node", "own.key"), "node")
     texts = docs.select(row_key(id, text).alias("key"), F.col(text).alias("text")).join(members, "key").dropDuplicates(["node"])
     sets = cut(_sets(texts, shingle))
-    found = cut(_similar(tried, sets, threshold))
-    roots = connected(found)
+    roots = connected(_similar(tried, sets, threshold))
     placed = shared.select("bucket", "node", "size").join(roots, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("size").alias("total"))
     placed = placed.join(mixed.filter("low < high").select("bucket", "total"), "bucket")
-    return found.union(cut(_cell_links(_cells(placed, cell), sets, threshold)))
+    later = connected(_cell_links(_cells(placed, cell), sets, threshold))
+    above = later.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return roots.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(later)
 
 
 def keep_one(
@@ -209,7 +234,7 @@ def keep_one(
     own = F.min(F.struct(F.col("id").isNull().alias("lost"), "id", "key"))
     sketch = [F.first(name).alias(name) for name in ("size", "fingerprint", "bands")]
     distinct = cut(rows.groupBy("node").agg(own.alias("own"), *sketch))
-    roots = connected(_links(docs, distinct, id, text, shingle, threshold, cell))
+    roots = _roots(docs, distinct, id, text, shingle, threshold, cell)
     placed = distinct.select("node", "own").join(roots, "node", "left")
     firsts = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("own").alias("first"))
     keyed = docs.withColumn("_shingle_key", row_key(id, text))

@@ -108,6 +108,7 @@ def near_links(distinct: DataFrame, radius: int = 4, bucket_rows: int = 4096) ->
 
     A bucket of more than `bucket_rows` fingerprints is dealt out again by the covering masks of the bits that its table
     leaves free, which loses no pair. Of 64 bits each step keeps half, so a bucket of the second step has at most 2^16.
+    Each step shuffles its rows once, for the counts and for what is done with them.
     """
     masks = covering_masks(radius)
     fp = F.col("fingerprint")
@@ -115,24 +116,28 @@ def near_links(distinct: DataFrame, radius: int = 4, bucket_rows: int = 4096) ->
     def deal(rows: DataFrame, key: F.Column, *more: F.Column) -> DataFrame:
         return rows.select("fingerprint", *more, F.posexplode(key).alias("table", "key"))
 
+    def counted(rows: DataFrame) -> DataFrame:
+        """Members of buckets that have several, with their number in `members`."""
+        rows = rows.repartition("table", "key")
+        ends = [F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most")]
+        buckets = rows.groupBy("table", "key").agg(*ends, F.count("*").alias("members")).filter("least < most")
+        return rows.join(buckets.select("table", "key", "members"), ["table", "key"])
+
     def gathered(rows: DataFrame) -> DataFrame:
-        lists = rows.groupBy("table", "key").agg(F.collect_list("fingerprint").alias("members"))
-        return _bucket_links(lists.filter(F.size("members") > 1), radius)
+        return _bucket_links(rows.groupBy("table", "key").agg(F.collect_list("fingerprint").alias("members")), radius)
 
-    dealt = deal(distinct, F.array(*(fp.bitwiseAND(F.lit(_signed(mask))) for mask in masks)))
-    large = dealt.groupBy("table", "key").count().filter(F.col("count") > bucket_rows).select("table", "key")
-    large = cut(large)
-    small = gathered(dealt.join(large, ["table", "key"], "left_anti"))
+    dealt = counted(deal(distinct, F.array(*(fp.bitwiseAND(F.lit(_signed(mask))) for mask in masks))))
+    small = gathered(dealt.filter(F.col("members") <= bucket_rows))
 
     fine = [
         F.array(*(F.lit(_signed(mask | more)) for more in covering_masks(radius, ~mask & ((1 << BITS) - 1))))
         for mask in masks
     ]
-    crowded = dealt.join(large, ["table", "key"], "left_semi").withColumnRenamed("table", "outer").drop("key")
+    crowded = dealt.filter(F.col("members") > bucket_rows).select("fingerprint", F.col("table").alias("outer"))
     inner = F.transform(F.array(*fine)[F.col("outer")], lambda mask: fp.bitwiseAND(mask))
     again = deal(crowded, inner, F.col("outer"))
     again = again.select("fingerprint", (F.col("outer") * len(masks) + F.col("table")).alias("table"), "key")
-    return small.union(gathered(again)).distinct()
+    return small.union(gathered(counted(again))).distinct()
 
 
 def _firsts(rows: DataFrame, radius: int, bucket_rows: int) -> DataFrame:
