@@ -24,6 +24,7 @@ from cdcframe.llm.simhash import BITS, near_links
 
 SEED = 42
 BANDS, ROWS = 64, 6
+MARKS = 1 << 24
 _RANDOM = np.random.default_rng(SEED)
 _TURNS = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _RANDOM.integers(0, 1 << 63, (BANDS, ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -80,6 +81,20 @@ def _sketches(docs: DataFrame, id: str, text: str, shingle: int) -> DataFrame:
     return plain.mapInArrow(sketch, f"id {kind}, key string, node bigint, size bigint, fingerprint bigint, bands array<bigint>")
 
 
+def _marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """`docs` with `marked`: true where `key` is one of `keys`, and for few others.
+
+    Each key has one of `MARKS` bits, so what is broadcast has 2 MB at most. It keeps texts that nothing asks for out of a shuffle.
+    """
+    mark = F.pmod(F.xxhash64("key"), F.lit(MARKS)) + 1
+    bits = keys.select(F.bitmap_bucket_number(mark).alias("part"), F.bitmap_bit_position(mark).alias("bit"))
+    bits = bits.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    rows = docs.withColumns({"part": F.bitmap_bucket_number(mark), "bit": F.bitmap_bit_position(mark)})
+    byte = F.expr("cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)")
+    marked = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0, F.lit(False))
+    return rows.join(F.broadcast(bits), "part", "left").withColumn("marked", marked).drop("part", "bit", "bits")
+
+
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     """`node` and `hashes` (eight bytes each) of rows with `node` and `text`."""
 
@@ -209,9 +224,9 @@ def _roots(
     tried = cut(pairs.union(simhash_pairs(distinct, threshold=threshold)).distinct())
 
     members = shared.select("node").union(tried.select(F.explode(F.array("a", "b")))).distinct()
-    members = members.join(distinct.select("node", "own.key"), "node")
-    texts = docs.select(row_key(id, text).alias("key"), F.col(text).alias("text")).join(members, "key").dropDuplicates(["node"])
-    sets = cut(_sets(texts, shingle))
+    members = cut(members.join(distinct.select("node", "own.key"), "node"))
+    texts = _marked(docs.select(row_key(id, text).alias("key"), F.col(text).alias("text")), members).filter("marked")
+    sets = cut(_sets(texts.join(members, "key").dropDuplicates(["node"]), shingle))
     roots = connected(_similar(tried, sets, threshold))
     placed = shared.select("bucket", "node", "size").join(roots, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
@@ -237,6 +252,9 @@ def keep_one(
     roots = _roots(docs, distinct, id, text, shingle, threshold, cell)
     placed = distinct.select("node", "own").join(roots, "node", "left")
     firsts = placed.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("own").alias("first"))
-    keyed = docs.withColumn("_shingle_key", row_key(id, text))
-    chosen = firsts.select(F.col("first.key").alias("_shingle_key"))
-    return keyed.join(chosen, "_shingle_key", "left_semi").dropDuplicates(["_shingle_key"]).select(*docs.columns)
+    chosen = firsts.select(F.col("first.key").alias("key"), F.lit(True).alias("chosen"))
+    keys = docs.select(row_key(id, text).alias("key")).groupBy("key").agg(F.count("*").alias("rows")).join(chosen, "key", "left")
+    keys = cut(keys.filter("rows > 1 or chosen is null"))  # rows of all others stay as they are
+    rows = _marked(docs.select(row_key(id, text).alias("key"), F.struct(*docs.columns).alias("row")), keys)
+    again = rows.filter("marked").join(keys, "key", "left").filter("rows is null or chosen")
+    return rows.filter("not marked").select("row.*").union(again.dropDuplicates(["key"]).select("row.*"))

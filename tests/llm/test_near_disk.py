@@ -90,3 +90,20 @@ def test_buckets_are_shuffled_once(spark):
     assert exchanges(shingles._shared(distinct), "Exchange hashpartitioning(bucket") == 1
     prints = components.cut(rows.select("fingerprint").distinct())
     assert exchanges(simhash.near_links(prints), "Exchange hashpartitioning(table") == 1
+
+
+def test_marks_are_those_of_the_keys_and_few_others(spark):
+    docs = spark.range(4000).select(F.md5(F.col("id").cast("string")).alias("key"), "id")
+    found = shingles._marked(docs, docs.filter("id % 10 = 3").select("key")).collect()
+    marked = {r["id"] for r in found if r["marked"]}
+    assert len(found) == 4000 and marked >= set(range(3, 4000, 10)) and len(marked) < 420
+    assert not any(r["marked"] for r in shingles._marked(docs, docs.filter("id < 0")).collect())
+
+
+@pytest.mark.parametrize("marks", [1, 1 << 24])
+def test_rows_are_right_however_many_are_marked(spark, monkeypatch, marks):
+    monkeypatch.setattr(shingles, "MARKS", marks)
+    rows, _ = near_copies(spark)
+    rows += [(1000 + i, f"own text number {i} of many") for i in range(300)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[-1], rows[-1]], "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in shingles.keep_one(docs).collect()) == brute_kept(rows)
